@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtledger.functions import megabytes, ratio, whole_units_between
-from courtledger.operators.integrity import null_fks, orphan_players
+from courtledger.operators.integrity import orphan_players
 from courtledger.schemas import TABLES
 
 # Thresholds of the checks.
@@ -33,9 +33,9 @@ def _text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
 
-def _check(table: str, check: str, status: Column, detail: Column) -> Column:
+def _check(table: str | Column, check: str, status: Column, detail: Column) -> Column:
     return F.struct(
-        F.lit(table).alias("table_name"),
+        (F.lit(table) if isinstance(table, str) else table).alias("table_name"),
         F.lit(check).alias("check_name"),
         status.alias("status"),
         detail.alias("detail"),
@@ -223,84 +223,67 @@ def load_history(tables: dict[str, DataFrame]) -> DataFrame:
 # ---- post-load validation ----------------------------------------------------
 
 
-def _minimum_rows(metadata: DataFrame) -> DataFrame:
-    enough = F.col("row_count") >= F.col("expected_min")
-    return (
-        expected_minimums(metadata.sparkSession)
-        .join(metadata, "table_id", "left")
-        .select(
-            F.lit("minimum_rows").alias("check_name"),
-            F.col("table_id").alias("table_name"),
-            F.when(enough, "PASS").otherwise("FAIL").alias("status"),
-            F.coalesce(
-                F.concat(
-                    _text("row_count"), F.lit(" rows (expected >= "), _text("expected_min"), F.lit(")")
-                ),
-                F.lit("table not found"),
-            ).alias("detail"),
-        )
-    )
-
-
-def _freshness(metadata: DataFrame, as_of: datetime | Column) -> DataFrame:
+def _metadata_checks(metadata: DataFrame, as_of: datetime | Column) -> DataFrame:
+    """Minimum rows and freshness of every expected table, present in the metadata or not."""
     modified = F.timestamp_millis("last_modified_time")
-    age_seconds = whole_units_between("SECOND", modified, _as_of(as_of))
-    limit = STALE_POSTLOAD_HOURS * 3600
-    # Milliseconds decide at the limit itself: exactly two hours is still fresh.
-    fresh = modified >= _as_of(as_of) - F.expr(f"INTERVAL {limit} SECONDS")
-    return (
-        expected_minimums(metadata.sparkSession)
-        .join(metadata, "table_id", "left")
-        .select(
-            F.lit("freshness").alias("check_name"),
-            F.col("table_id").alias("table_name"),
-            F.when(fresh, "PASS").otherwise("FAIL").alias("status"),
-            F.coalesce(
-                F.concat(F.lit("last modified "), _text(age_seconds), F.lit(" s ago")),
-                F.lit("not found in metadata"),
-            ).alias("detail"),
-        )
+    now = _as_of(as_of)
+    enough = _check(
+        F.col("table_id"),
+        "minimum_rows",
+        F.when(F.col("row_count") >= F.col("expected_min"), "PASS").otherwise("FAIL"),
+        F.coalesce(
+            F.concat(_text("row_count"), F.lit(" rows (expected >= "), _text("expected_min"), F.lit(")")),
+            F.lit("table not found"),
+        ),
     )
-
-
-def _one_row(df: DataFrame, check: str, table: str, status: Column, detail: Column) -> DataFrame:
-    return df.select(
-        F.lit(check).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        status.alias("status"),
-        detail.alias("detail"),
+    # Exactly two hours is still fresh.
+    fresh = modified >= now - F.make_dt_interval(hours=F.lit(STALE_POSTLOAD_HOURS))
+    recent = _check(
+        F.col("table_id"),
+        "freshness",
+        F.when(fresh, "PASS").otherwise("FAIL"),
+        F.coalesce(
+            F.concat(
+                F.lit("last modified "),
+                _text(whole_units_between("SECOND", modified, now)),
+                F.lit(" s ago"),
+            ),
+            F.lit("not found in metadata"),
+        ),
     )
+    expected = expected_minimums(metadata.sparkSession)
+    return expected.join(metadata, "table_id", "left").select(F.inline(F.array(enough, recent)))
+
+
+def _key_checks(matches: DataFrame, players: DataFrame) -> DataFrame:
+    """NULL and unknown player ids, from one pass over the matches."""
+
+    def check(name: str, what: str, winners: str, losers: str) -> Column:
+        return _check(
+            "fact_matches",
+            name,
+            F.when(F.col(winners) + F.col(losers) > 0, "FAIL").otherwise("PASS"),
+            F.concat(
+                F.lit(f"winner_id {what}="),
+                _text(winners),
+                F.lit(f", loser_id {what}="),
+                _text(losers),
+                F.lit(", rows="),
+                _text("total_rows"),
+            ),
+        )
 
+    nulls = check("null_foreign_keys", "nulls", "null_winners", "null_losers")
+    unknown = check("orphaned_players", "orphans", "orphaned_winners", "orphaned_losers")
+    return orphan_players(matches, players).select(F.inline(F.array(nulls, unknown)))
 
-def postload_validation(
-    tables: dict[str, DataFrame], metadata: DataFrame, as_of: datetime | Column
-) -> DataFrame:
-    """Five checks: minimum rows, NULL keys, role balance, unknown players, freshness.
 
-    All are evaluated; ``raise_on_failure`` turns a failed one into an error.
-    """
-    matches, players, stats = (
-        tables[name] for name in ("fact_matches", "dim_players", "fact_match_stats")
-    )
-    nulls = _one_row(
-        null_fks(matches),
-        "null_foreign_keys",
-        "fact_matches",
-        F.when(F.col("null_winners") + F.col("null_losers") > 0, "FAIL").otherwise("PASS"),
-        F.concat(
-            F.lit("winner_id nulls="),
-            _text("null_winners"),
-            F.lit(", loser_id nulls="),
-            _text("null_losers"),
-            F.lit(", rows="),
-            _text("total_rows"),
-        ),
-    )
-    balance = _one_row(
-        role_balance(stats),
-        "role_balance",
+def _balance_check(stats: DataFrame) -> DataFrame:
+    lopsided = F.col("postload_status").isin("missing roles", "imbalance")
+    check = _check(
         "fact_match_stats",
-        F.when(F.col("postload_status").isin("missing roles", "imbalance"), "FAIL").otherwise("PASS"),
+        "role_balance",
+        F.when(lopsided, "FAIL").otherwise("PASS"),
         F.concat(
             F.col("postload_status"),
             F.lit(": winners="),
@@ -309,21 +292,23 @@ def postload_validation(
             _text("loser_count"),
         ),
     )
-    orphans = _one_row(
-        orphan_players(matches, players),
-        "orphaned_players",
-        "fact_matches",
-        F.when(F.col("orphaned_winners") + F.col("orphaned_losers") > 0, "FAIL").otherwise("PASS"),
-        F.concat(
-            F.lit("winner_id orphans="),
-            _text("orphaned_winners"),
-            F.lit(", loser_id orphans="),
-            _text("orphaned_losers"),
-            F.lit(", rows="),
-            _text("total_rows"),
-        ),
+    return role_balance(stats).select(F.inline(F.array(check)))
+
+
+def postload_validation(
+    tables: dict[str, DataFrame], metadata: DataFrame, as_of: datetime | Column
+) -> DataFrame:
+    """Five checks: minimum rows, NULL keys, role balance, unknown players, freshness.
+
+    All are evaluated; ``raise_on_failure`` turns a failed one into an error.
+    """
+    return _union(
+        [
+            _metadata_checks(metadata, as_of),
+            _key_checks(tables["fact_matches"], tables["dim_players"]),
+            _balance_check(tables["fact_match_stats"]),
+        ]
     )
-    return _union([_minimum_rows(metadata), nulls, balance, orphans, _freshness(metadata, as_of)])
 
 
 class ValidationError(RuntimeError):

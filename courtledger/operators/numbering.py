@@ -27,8 +27,15 @@ def find_hot_groups(
     keys: Sequence[str],
     hot_rows: int = HOT_GROUP_ROWS,
     fraction: float = SAMPLE_FRACTION,
+    at_most: int | None = None,
 ) -> DataFrame | None:
-    """The keys of groups estimated at ``hot_rows`` rows or more; None when there are none."""
+    """The keys of groups estimated at ``hot_rows`` rows or more; None when there are none.
+
+    Where the caller knows a bound on the number of rows (file footers hold it) and it is
+    below ``hot_rows``, no sample is needed.
+    """
+    if at_most is not None and at_most < hot_rows:
+        return None
     found = (
         df.select(*keys)
         .sample(fraction, seed=17)

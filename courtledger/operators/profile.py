@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtledger.functions import percent, ratio, score_residue
+from courtledger.session import stored
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 BINS = 65536
@@ -46,11 +47,14 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def value_histogram(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    """``(column_name, value, n)`` of all the columns, NULL left out, from one read."""
+    """``(column_name, value, n)`` of all the columns, NULL and NaN left out, from one read."""
+    present = F.col("value").isNotNull()
+    if kind == "double":
+        present = present & ~F.isnan("value")
     return (
         df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
         .unpivot([], list(columns), "column_name", "value")
-        .filter(F.col("value").isNotNull())
+        .filter(present)
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
     )
@@ -175,9 +179,13 @@ def exact_quantiles(histogram: DataFrame, summary: DataFrame, wanted: dict[str,
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample standard deviation, minimum, quartiles and maximum."""
+    """Count, mean, sample standard deviation, minimum, quartiles and maximum.
+
+    The table is read once, for the counts per distinct value; these are stored, and
+    everything else is computed from them.
+    """
     columns = columns or _columns_of(df, T.NumericType)
-    histogram = value_histogram(df, columns, "double")
+    histogram = stored(value_histogram(df, columns, "double"), "histogram")
     summary = histogram.groupBy("column_name").agg(
         F.sum("n").alias("count"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),

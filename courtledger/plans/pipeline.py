@@ -26,7 +26,7 @@ from courtledger.operators.rankings import (
     sequence_rankings,
 )
 from courtledger.schemas import CSV_SCHEMAS, SOURCE_LABELS
-from courtledger.session import scratch_path
+from courtledger.session import stored
 from courtledger.sources import land, read_bronze, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.sources.landing import landing_events
@@ -45,7 +45,7 @@ def counted(df: DataFrame, stage: str, metrics: list[tuple[str, Observation]]) -
 
 @dataclass
 class LoadReport:
-    """What a load saw: rows per stage, and the audit frames (lazy)."""
+    """What a load saw: rows read and rows per table written, and the audit frames (lazy)."""
 
     rows: dict[str, int] = field(default_factory=dict)
     audits: dict[str, DataFrame] = field(default_factory=dict)
@@ -65,18 +65,17 @@ class Loader:
 
     def scan_once(self, kind: str, input_path: str) -> DataFrame:
         """CSV text parsed a single time, into a table several outputs can read."""
-        staged = scratch_path(self.spark, f"staged-{kind}")
-        scan_csv(self.spark, input_path, CSV_SCHEMAS[kind], keep_malformed=True).write.parquet(staged)
-        return self.spark.read.parquet(staged)
+        scanned = scan_csv(self.spark, input_path, CSV_SCHEMAS[kind], keep_malformed=True)
+        return stored(scanned, f"staged-{kind}")
 
     def load_players(self, raw: DataFrame) -> LoadReport:
-        report = self._new_report("players", raw)
+        report = self._new_report(raw)
         self._write("dim_players", transform_players(raw), "players", report)
         return report
 
     def load_matches(self, raw: DataFrame) -> LoadReport:
         """The tournament dimension first, then the match facts."""
-        report = self._new_report("matches", raw)
+        report = self._new_report(raw)
         cleaned = clean_matches(raw)
         self._write("dim_tournaments", derive_tournaments(cleaned), "matches", report)
         self._write("fact_matches", project_matches(cleaned), "matches", report)
@@ -84,15 +83,17 @@ class Loader:
         return report
 
     def load_match_stats(self, raw: DataFrame) -> LoadReport:
-        report = self._new_report("matches", raw)
+        report = self._new_report(raw)
         kept = drop_empty_stats(unpivot_stats(clean_matches(raw)))
         self._write("fact_match_stats", kept, "matches", report)
         report.audits["stat_ranges"] = audits.audit_stat_ranges(self.warehouse.table("fact_match_stats"))
         return report
 
     def load_rankings(self, raw: DataFrame) -> LoadReport:
-        report = self._new_report("rankings", raw)
-        hot = find_hot_groups(clean_rankings(raw), ["ranking_date", "player_id"])
+        report = self._new_report(raw)
+        hot = find_hot_groups(
+            clean_rankings(raw), ["ranking_date", "player_id"], at_most=report.rows["read"]
+        )
         self._write("fact_rankings", sequence_rankings(dedup_rankings(raw), hot), "rankings", report)
         written = self.warehouse.table("fact_rankings")
         report.audits.update(audits.audit_rankings(written))
@@ -100,8 +101,10 @@ class Loader:
         report.audits["rejected"] = rejected_rankings(raw)
         return report
 
-    def _new_report(self, kind: str, raw: DataFrame) -> LoadReport:
+    def _new_report(self, raw: DataFrame) -> LoadReport:
         report = LoadReport()
+        # Inputs of a load are parquet: counting them reads file footers only.
+        report.rows["read"] = raw.count()
         if CORRUPT in raw.columns:
             report.audits["malformed"] = raw.filter(F.col(CORRUPT).isNotNull())
         return report

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
-from functools import reduce
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +24,7 @@ from courtledger.operators import (
 from courtledger.functions import compact_date
 from courtledger.operators.numbering import find_hot_groups
 from courtledger.operators.players import transform_players
-from courtledger.plans.fixtures import raw_matches, raw_players, raw_rankings, read_table
+from courtledger.plans.fixtures import RANKING_COPIES, raw_matches, raw_players, raw_rankings, read_table
 from courtledger.plans.pipeline import counted
 from courtledger.schemas import (
     CSV_SCHEMAS,
@@ -33,7 +34,7 @@ from courtledger.schemas import (
     SOURCE_LABELS,
     TABLES,
 )
-from courtledger.session import scratch_path
+from courtledger.session import scratch_path, stored
 from courtledger.sources import land, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.warehouse import Warehouse
@@ -45,47 +46,68 @@ BRONZE_AS_OF = date(2025, 1, 20)
 LANDING_DATE = date(2025, 2, 1)
 
 
-# ---- the five tables over the derived inputs ---------------------------------
+class Inputs:
+    """Raw inputs and tables of one query, each declared once however often it is used."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
 
-def _players(spark, sf):
-    return transform_players(raw_players(spark, sf))
+    @cached_property
+    def raw_players(self) -> DataFrame:
+        return raw_players(self.spark, self.sf_dir)
 
+    @cached_property
+    def raw_matches(self) -> DataFrame:
+        return raw_matches(self.spark, self.sf_dir)
 
-def _cleaned(spark, sf):
-    return match_ops.clean_matches(raw_matches(spark, sf))
+    @cached_property
+    def raw_rankings(self) -> DataFrame:
+        return raw_rankings(self.spark, self.sf_dir)
 
+    def hot_rankings(self, rankings: DataFrame) -> DataFrame | None:
+        events = read_table(self.spark, self.sf_dir, "events").count()
+        keys = ["ranking_date", "player_id"]
+        return find_hot_groups(rankings, keys, at_most=events * RANKING_COPIES)
 
-def _matches(spark, sf):
-    return match_ops.project_matches(_cleaned(spark, sf))
+    @cached_property
+    def cleaned_matches(self) -> DataFrame:
+        return match_ops.clean_matches(self.raw_matches)
 
+    @cached_property
+    def deduped_rankings(self) -> DataFrame:
+        return ranking_ops.dedup_rankings(self.raw_rankings)
 
-def _tournaments(spark, sf):
-    return match_ops.derive_tournaments(_cleaned(spark, sf))
+    @cached_property
+    def players(self) -> DataFrame:
+        return transform_players(self.raw_players)
 
+    @cached_property
+    def matches(self) -> DataFrame:
+        return match_ops.project_matches(self.cleaned_matches)
 
-def _stats(spark, sf):
-    return stats_ops.match_stats(raw_matches(spark, sf))
+    @cached_property
+    def tournaments(self) -> DataFrame:
+        return match_ops.derive_tournaments(self.cleaned_matches)
 
+    @cached_property
+    def stats(self) -> DataFrame:
+        return stats_ops.drop_empty_stats(stats_ops.unpivot_stats(self.cleaned_matches))
 
-def _deduped(spark, sf):
-    return ranking_ops.dedup_rankings(raw_rankings(spark, sf))
+    @cached_property
+    def rankings(self) -> DataFrame:
+        hot = self.hot_rankings(ranking_ops.clean_rankings(self.raw_rankings))
+        return ranking_ops.sequence_rankings(self.deduped_rankings, hot)
 
-
-def _rankings(spark, sf):
-    raw = raw_rankings(spark, sf)
-    hot = find_hot_groups(ranking_ops.clean_rankings(raw), ["ranking_date", "player_id"])
-    return ranking_ops.transform_rankings(raw, hot)
-
-
-def _tables(spark, sf) -> dict[str, DataFrame]:
-    return {
-        "dim_players": _players(spark, sf),
-        "dim_tournaments": _tournaments(spark, sf),
-        "fact_matches": _matches(spark, sf),
-        "fact_match_stats": _stats(spark, sf),
-        "fact_rankings": _rankings(spark, sf),
-    }
+    @cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            "dim_players": self.players,
+            "dim_tournaments": self.tournaments,
+            "fact_matches": self.matches,
+            "fact_match_stats": self.stats,
+            "fact_rankings": self.rankings,
+        }
 
 
 # ---- scans, sinks, landing ---------------------------------------------------
@@ -108,25 +130,25 @@ def _written_and_scanned(spark, df, schema, **options) -> DataFrame:
     return scan_csv(spark, path, schema, **options)
 
 
-def scan_players(spark, sf):
-    scanned = _written_and_scanned(spark, raw_players(spark, sf), PLAYERS_CSV)
+def scan_players(inp: Inputs):
+    scanned = _written_and_scanned(inp.spark, inp.raw_players, PLAYERS_CSV)
     return scanned.withColumn("source_file", F.lit(SOURCE_LABELS["players"]))
 
 
-def scan_matches(spark, sf):
-    return _written_and_scanned(spark, raw_matches(spark, sf), MATCHES_CSV)
+def scan_matches(inp: Inputs):
+    return _written_and_scanned(inp.spark, inp.raw_matches, MATCHES_CSV)
 
 
-def scan_rankings(spark, sf):
-    return _written_and_scanned(spark, raw_rankings(spark, sf), RANKINGS_CSV)
+def scan_rankings(inp: Inputs):
+    return _written_and_scanned(inp.spark, inp.raw_rankings, RANKINGS_CSV)
 
 
-def scan_quarantine(spark, sf):
+def scan_quarantine(inp: Inputs):
     heights = F.when(F.col("player_id") % 9 == 0, F.concat("height", F.lit(".0"))).otherwise(
         F.col("height").cast("string")
     )
-    damaged = raw_players(spark, sf).withColumn("height", heights)
-    scanned = _written_and_scanned(spark, damaged, PLAYERS_CSV, keep_malformed=True)
+    damaged = inp.raw_players.withColumn("height", heights)
+    scanned = _written_and_scanned(inp.spark, damaged, PLAYERS_CSV, keep_malformed=True)
     return scanned.select("player_id", "height", F.col(CORRUPT).alias("malformed_text"))
 
 
@@ -138,43 +160,46 @@ def _warehouse(spark, tables: dict[str, DataFrame]) -> Warehouse:
     return warehouse
 
 
-def sink_roundtrip(spark, sf):
-    warehouse = _warehouse(spark, {"fact_matches": _matches(spark, sf)})
+def sink_roundtrip(inp: Inputs):
+    warehouse = _warehouse(inp.spark, {"fact_matches": inp.matches})
     return warehouse.table("fact_matches").select(*TABLES["fact_matches"].columns.fieldNames())
 
 
-def table_status(spark, sf):
-    written = {"dim_players": _players(spark, sf), "fact_rankings": _rankings(spark, sf)}
-    warehouse = _warehouse(spark, written)
-    _stats(spark, sf).write.option("path", f"{warehouse.path}/scratch").saveAsTable(
+def table_status(inp: Inputs):
+    written = {"dim_players": inp.players, "fact_rankings": inp.rankings}
+    warehouse = _warehouse(inp.spark, written)
+    inp.stats.write.option("path", f"{warehouse.path}/scratch").saveAsTable(
         f"`{warehouse.database}`.`scratch_stats`"
     )
     return warehouse.status()
 
 
-def preflight(spark, sf):
-    written = {"dim_players": _players(spark, sf), "dim_tournaments": _tournaments(spark, sf)}
-    return _warehouse(spark, written).preflight()
+def preflight(inp: Inputs):
+    written = {"dim_players": inp.players, "dim_tournaments": inp.tournaments}
+    return _warehouse(inp.spark, written).preflight()
 
 
-def stage_metrics(spark, sf):
-    """Row counts of each stage, observed while the ranking table is written."""
-    metrics: list[tuple] = []
-    raw = counted(raw_rankings(spark, sf), "read", metrics)
-    deduped = counted(ranking_ops.dedup_rankings(raw), "deduplicated", metrics)
-    sequenced = counted(ranking_ops.sequence_rankings(deduped), "written", metrics)
-    sequenced.write.parquet(scratch_path(spark, "stages"))
+def stage_metrics(inp: Inputs):
+    """Row counts of each stage, observed while the ranking stages are written."""
+    metrics: list[tuple[str, Observation]] = []
+    raw = counted(inp.raw_rankings, "read", metrics)
+    deduped = stored(
+        counted(ranking_ops.dedup_rankings(raw), "deduplicated", metrics), "deduplicated"
+    )
+    sequenced = ranking_ops.sequence_rankings(deduped, inp.hot_rankings(deduped))
+    stored(counted(sequenced, "written", metrics), "sequenced")
     rows = [(name, seen.get["n"]) for name, seen in metrics]
-    return spark.createDataFrame(rows, "stage string, row_count bigint")
+    return inp.spark.createDataFrame(rows, "stage string, row_count bigint")
 
 
-def land_changed(spark, sf):
+def land_changed(inp: Inputs):
     """Lands the derived inputs as source files, one per year, decade and table."""
+    spark = inp.spark
     root, bronze = scratch_path(spark, "source"), scratch_path(spark, "bronze")
     named = {
-        "players": (raw_players(spark, sf), F.lit("atp_players.csv")),
+        "players": (inp.raw_players, F.lit("atp_players.csv")),
         "matches": (
-            raw_matches(spark, sf),
+            inp.raw_matches,
             F.concat(
                 F.lit("atp_matches_"),
                 F.when(F.col("tourney_date") == "n/a", "1990").otherwise(
@@ -184,7 +209,7 @@ def land_changed(spark, sf):
             ),
         ),
         "rankings": (
-            raw_rankings(spark, sf),
+            inp.raw_rankings,
             F.concat(F.lit("atp_rankings_"), F.substring("ranking_date", 3, 1), F.lit("0s.csv")),
         ),
     }
@@ -195,19 +220,19 @@ def land_changed(spark, sf):
     return land(spark, root, bronze, LANDING_DATE).summary(spark).select("dt", "file_count")
 
 
-def _document_paths(spark, sf):
+def _document_paths(inp: Inputs):
     path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
-    return read_table(spark, sf, "documents").select("doc_id", path.alias("path"), "text")
+    return read_table(inp.spark, inp.sf_dir, "documents").select("doc_id", path.alias("path"), "text")
 
 
-def content_fingerprint(spark, sf):
-    return _document_paths(spark, sf).select(
+def content_fingerprint(inp: Inputs):
+    return _document_paths(inp).select(
         "path", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("size")
     )
 
 
-def _manifests(spark, sf):
-    docs = _document_paths(spark, sf)
+def _manifests(inp: Inputs):
+    docs = _document_paths(inp)
     old = docs.filter(F.col("doc_id") % 10 != 0).select("path", F.sha2("text", 256).alias("sha256"))
     edited = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))
     new = docs.filter((F.col("doc_id") % 11 != 0) | (F.col("doc_id") % 10 == 0)).select(
@@ -216,17 +241,17 @@ def _manifests(spark, sf):
     return old, new
 
 
-def manifest_diff(spark, sf):
-    return manifest.manifest_diff(*_manifests(spark, sf))
+def manifest_diff(inp: Inputs):
+    return manifest.manifest_diff(*_manifests(inp))
 
 
-def manifest_merge(spark, sf):
-    return manifest.manifest_merge(*_manifests(spark, sf))
+def manifest_merge(inp: Inputs):
+    return manifest.manifest_merge(*_manifests(inp))
 
 
-def bronze_latest(spark, sf):
+def bronze_latest(inp: Inputs):
     """Documents stand for landings: every source is landed again on many dates."""
-    docs = read_table(spark, sf, "documents")
+    docs = read_table(inp.spark, inp.sf_dir, "documents")
     landed = docs.select(
         F.col("source").alias("path"),
         F.date_add(F.lit(date(2025, 1, 1)), (F.col("doc_id") % 28).cast("int")).alias("dt"),
@@ -238,29 +263,29 @@ def bronze_latest(spark, sf):
 # ---- cleaning and transforms -------------------------------------------------
 
 
-def clean_strings(spark, sf):
-    return clean.clean_strings(raw_players(spark, sf))
+def clean_strings(inp: Inputs):
+    return clean.clean_strings(inp.raw_players)
 
 
-def audit_columns(spark, sf):
-    return clean.add_audit_columns(_players(spark, sf), SOURCE_LABELS["players"], LOADED_AT)
+def audit_columns(inp: Inputs):
+    return clean.add_audit_columns(inp.players, SOURCE_LABELS["players"], LOADED_AT)
 
 
-def parse_dates(spark, sf):
-    return raw_matches(spark, sf).select(
+def parse_dates(inp: Inputs):
+    return inp.raw_matches.select(
         "match_num", "tourney_date", compact_date(F.col("tourney_date")).alias("parsed_date")
     )
 
 
-def unpivot_stats(spark, sf):
-    return stats_ops.unpivot_stats(_cleaned(spark, sf))
+def unpivot_stats(inp: Inputs):
+    return stats_ops.unpivot_stats(inp.cleaned_matches)
 
 
 # ---- audits ------------------------------------------------------------------
 
 
-def audit_tournaments(spark, sf):
-    audited = audits.audit_tournaments(_cleaned(spark, sf))
+def audit_tournaments(inp: Inputs):
+    audited = audits.audit_tournaments(inp.cleaned_matches)
     return audited.withColumns(
         {
             f.name: F.array_join(F.col(f.name).cast("array<string>"), "|")
@@ -273,7 +298,7 @@ def audit_tournaments(spark, sf):
 # ---- integrity and monitoring ------------------------------------------------
 
 
-def _metadata(spark, sf):
+def _metadata(inp: Inputs):
     """Table metadata with sizes and modification times that follow from the rows."""
     newest = {
         "dim_players": "dob",
@@ -289,12 +314,12 @@ def _metadata(spark, sf):
             (F.col("row_count") * 1000).alias("size_bytes"),
             F.unix_millis(F.col("newest").cast("timestamp")).alias("last_modified_time"),
         )
-        for name, df in _tables(spark, sf).items()
+        for name, df in inp.tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def load_history(spark, sf):
+def load_history(inp: Inputs):
     loads = {
         "dim_players": F.lit(LOADED_AT),
         "dim_tournaments": F.date_trunc("YEAR", "last_seen_date"),
@@ -304,14 +329,14 @@ def load_history(spark, sf):
     }
     tables = {
         name: clean.add_audit_columns(df, name, loads[name])
-        for name, df in _tables(spark, sf).items()
+        for name, df in inp.tables.items()
     }
     return monitoring.load_history(tables)
 
 
-def orphan_tournaments(spark, sf):
-    facts = {"fact_matches": _matches(spark, sf), "fact_match_stats": _stats(spark, sf)}
-    return integrity.orphan_tournaments(facts, _tournaments(spark, sf))
+def orphan_tournaments(inp: Inputs):
+    facts = {"fact_matches": inp.matches, "fact_match_stats": inp.stats}
+    return integrity.orphan_tournaments(facts, inp.tournaments)
 
 
 # ---- profiling ---------------------------------------------------------------
@@ -328,12 +353,12 @@ def _rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def value_counts(spark, sf):
+def value_counts(inp: Inputs):
     columns = ["surface", "tourney_level", "round", "tourney_name", "winner_hand", "winner_ioc", "score"]
-    return profile.value_counts(_cleaned(spark, sf), columns, top=10)
+    return profile.value_counts(inp.cleaned_matches, columns, top=10)
 
 
-QUERIES = {
+_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # scans, sinks, landing
     "scan_players": scan_players,
     "scan_matches": scan_matches,
@@ -352,59 +377,66 @@ QUERIES = {
     "clean_strings": clean_strings,
     "audit_columns": audit_columns,
     "parse_dates": parse_dates,
-    "transform_players": _players,
-    "transform_matches": _matches,
-    "dim_tournaments": _tournaments,
+    "transform_players": lambda inp: inp.players,
+    "transform_matches": lambda inp: inp.matches,
+    "dim_tournaments": lambda inp: inp.tournaments,
     "unpivot_stats": unpivot_stats,
-    "match_stats": _stats,
-    "dedup_rankings": _deduped,
-    "transform_rankings": _rankings,
+    "match_stats": lambda inp: inp.stats,
+    "dedup_rankings": lambda inp: inp.deduped_rankings,
+    "transform_rankings": lambda inp: inp.rankings,
     # audits
     "audit_tournaments": audit_tournaments,
-    "audit_rank_dupes": lambda s, d: audits.audit_rank_dupes(_deduped(s, d)),
-    "audit_rank_gaps": lambda s, d: audits.audit_rank_gaps(_deduped(s, d)),
-    "audit_point_inversions": lambda s, d: audits.audit_point_inversions(_deduped(s, d)),
-    "audit_invalid_ranks": lambda s, d: audits.audit_invalid_ranks(_rankings(s, d)),
-    "audit_stat_ranges": lambda s, d: audits.audit_stat_ranges(_stats(s, d)),
+    "audit_rank_dupes": lambda inp: audits.audit_rank_dupes(inp.deduped_rankings),
+    "audit_rank_gaps": lambda inp: audits.audit_rank_gaps(inp.deduped_rankings),
+    "audit_point_inversions": lambda inp: audits.audit_point_inversions(inp.deduped_rankings),
+    "audit_invalid_ranks": lambda inp: audits.audit_invalid_ranks(inp.rankings),
+    "audit_stat_ranges": lambda inp: audits.audit_stat_ranges(inp.stats),
     # integrity
-    "orphan_players": lambda s, d: integrity.orphan_players(_matches(s, d), _players(s, d)),
-    "orphan_match_ids": lambda s, d: integrity.orphan_match_ids(_matches(s, d), _players(s, d)),
-    "orphan_ranking_ids": lambda s, d: integrity.orphan_ranking_ids(_deduped(s, d), _players(s, d)),
-    "orphan_stats": lambda s, d: integrity.orphan_stats(_stats(s, d), _matches(s, d)),
+    "orphan_players": lambda inp: integrity.orphan_players(inp.matches, inp.players),
+    "orphan_match_ids": lambda inp: integrity.orphan_match_ids(inp.matches, inp.players),
+    "orphan_ranking_ids": lambda inp: integrity.orphan_ranking_ids(inp.deduped_rankings, inp.players),
+    "orphan_stats": lambda inp: integrity.orphan_stats(inp.stats, inp.matches),
     "orphan_tournaments": orphan_tournaments,
-    "null_fks": lambda s, d: integrity.null_fks(_matches(s, d)),
-    "required_columns": lambda s, d: integrity.required_columns(_tables(s, d)),
-    "player_matches": lambda s, d: match_ops.player_matches(
-        _matches(s, d), _players(s, d), _tournaments(s, d)
+    "null_fks": lambda inp: integrity.null_fks(inp.matches),
+    "required_columns": lambda inp: integrity.required_columns(inp.tables),
+    "player_matches": lambda inp: match_ops.player_matches(
+        inp.matches, inp.players, inp.tournaments
     ),
     # monitoring
-    "role_balance": lambda s, d: monitoring.role_balance(_stats(s, d)),
-    "quality_summary": lambda s, d: monitoring.quality_summary(_tables(s, d)),
-    "pipeline_health": lambda s, d: monitoring.pipeline_health(_metadata(s, d), HEALTH_AS_OF),
+    "role_balance": lambda inp: monitoring.role_balance(inp.stats),
+    "quality_summary": lambda inp: monitoring.quality_summary(inp.tables),
+    "pipeline_health": lambda inp: monitoring.pipeline_health(_metadata(inp), HEALTH_AS_OF),
     "load_history": load_history,
-    "postload_validation": lambda s, d: monitoring.postload_validation(
-        _tables(s, d), _metadata(s, d), POSTLOAD_AS_OF
+    "postload_validation": lambda inp: monitoring.postload_validation(
+        inp.tables, _metadata(inp), POSTLOAD_AS_OF
     ),
     # profiling
-    "null_profile": lambda s, d: profile.null_profile(_cleaned(s, d)),
-    "describe_numeric": lambda s, d: _rounded(profile.describe_numeric(raw_matches(s, d))),
-    "describe_categorical": lambda s, d: profile.describe_categorical(_cleaned(s, d)),
+    "null_profile": lambda inp: profile.null_profile(inp.cleaned_matches),
+    "describe_numeric": lambda inp: _rounded(profile.describe_numeric(inp.raw_matches)),
+    "describe_categorical": lambda inp: profile.describe_categorical(inp.cleaned_matches),
     "value_counts": value_counts,
-    "key_uniqueness": lambda s, d: profile.key_uniqueness(raw_players(s, d), "player_id"),
-    "grain_check": lambda s, d: profile.grain_check(raw_rankings(s, d), ["ranking_date", "player"]),
-    "date_coverage": lambda s, d: profile.date_coverage(
-        ranking_ops.clean_rankings(raw_rankings(s, d)), "ranking_date"
+    "key_uniqueness": lambda inp: profile.key_uniqueness(inp.raw_players, "player_id"),
+    "grain_check": lambda inp: profile.grain_check(inp.raw_rankings, ["ranking_date", "player"]),
+    "date_coverage": lambda inp: profile.date_coverage(
+        ranking_ops.clean_rankings(inp.raw_rankings), "ranking_date"
     ),
-    "participation": lambda s, d: profile.participation(_cleaned(s, d)),
-    "duplicate_rows": lambda s, d: profile.duplicate_rows(
-        _deduped(s, d), ["ranking_date", "player_id"]
+    "participation": lambda inp: profile.participation(inp.cleaned_matches),
+    "duplicate_rows": lambda inp: profile.duplicate_rows(
+        inp.deduped_rankings, ["ranking_date", "player_id"]
     ),
-    "score_tokens": lambda s, d: profile.score_tokens(_cleaned(s, d)),
-    "hand_distribution": lambda s, d: profile.hand_distribution(_players(s, d)),
-    "head_to_head": lambda s, d: match_ops.find_matches(
-        _cleaned(s, d), winner_id=8, loser_id=15, tourney_name="Tourney 8"
+    "score_tokens": lambda inp: profile.score_tokens(inp.cleaned_matches),
+    "hand_distribution": lambda inp: profile.hand_distribution(inp.players),
+    "head_to_head": lambda inp: match_ops.find_matches(
+        inp.cleaned_matches, winner_id=8, loser_id=15, tourney_name="Tourney 8"
     ),
-    "issue_summary": lambda s, d: profile.issue_summary(
-        clean.clean_strings(raw_players(s, d)), _cleaned(s, d)
+    "issue_summary": lambda inp: profile.issue_summary(
+        clean.clean_strings(inp.raw_players), inp.cleaned_matches
     ),
 }
+
+
+def _registered(query: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(Inputs(spark, sf_dir))
+
+
+QUERIES = {name: _registered(query) for name, query in _QUERIES.items()}

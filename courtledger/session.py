@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -25,6 +25,9 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # The JVM never compiles methods above 8000 bytes. Projections of wide tables
+        # exceed that as one fused method; below the limit they are split instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **(settings or {}),
     }
     for key, value in conf.items():
@@ -50,3 +53,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used before, inside the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a parquet table in the shared folder, for plans that read them repeatedly.
+
+    Later steps then depend neither on the optimizer noticing the repetition nor, when
+    executors are lost, on running everything before this point again.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

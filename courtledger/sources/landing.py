@@ -36,7 +36,7 @@ _SOURCE_FILE = rf"^((?:.*/)?(?:[^/=]+=)?(?:{_NAMES}))(?:/.*)?$"
 MANIFEST_LOG = "_manifest"
 EVENT_LOG = "_events"
 _MANIFEST_SCHEMA = "path string, sha256 string, size bigint, kind string, dt date"
-_EVENT_SCHEMA = "dt date, prefix string, file_count bigint"
+EVENT_SCHEMA = "dt date, prefix string, file_count bigint"
 
 
 def _relative(spark: SparkSession, file_path: Column, root: str) -> Column:
@@ -112,7 +112,7 @@ def manifest_log(spark: SparkSession, bronze: str) -> DataFrame:
 
 
 def landing_events(spark: SparkSession, bronze: str) -> DataFrame:
-    return _open_log(spark, f"{bronze}/{EVENT_LOG}", _EVENT_SCHEMA)
+    return _open_log(spark, f"{bronze}/{EVENT_LOG}", EVENT_SCHEMA)
 
 
 def current_manifest(spark: SparkSession, bronze: str, as_of: date | None = None) -> DataFrame:
@@ -128,7 +128,7 @@ class Landing:
     def summary(self, spark: SparkSession) -> DataFrame:
         """The landing event; no row when nothing changed."""
         rows = [(self.dt, self.prefix, len(self.files))] if self.files else []
-        return spark.createDataFrame(rows, _EVENT_SCHEMA)
+        return spark.createDataFrame(rows, EVENT_SCHEMA)
 
 
 def _read_changed(spark: SparkSession, root: str, kind: str, paths: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,17 @@ class Warehouse:
             if spec.year_of:
                 self._recover(spec.name)
 
+    def attach(self) -> None:
+        """Registers the tables already stored below the path, for sessions without a metastore."""
+        stored = []
+        for name in TABLES:
+            try:
+                self.spark.read.parquet(f"{self.path}/{name}")
+                stored.append(name)
+            except AnalysisException:
+                pass
+        self.create(stored)
+
     def _recover(self, table: str) -> None:
         """Makes partitions known that an earlier session wrote."""
         try:
