@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courtledger.session import stored
+
 CORRUPT = "_corrupt_record"
 
 
@@ -45,11 +47,13 @@ def scan_csv(
 def split_malformed(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(rows that fit, rows that did not)`` of a scan that kept malformed text.
 
-    A row that does not fit is still in the scan, with NULL where a field was bad.
-    Which rows fit depends on the columns parsed, so both sides keep all of them.
+    A row that does not fit is still in the scan, with NULL where a field was bad. The
+    CSV reader judges a row by the columns a query asks for, so the scan is stored whole
+    first: both sides then agree, and the text is parsed once for the two of them.
     """
+    rows = stored(scanned, "scanned")
     bad = F.col(CORRUPT).isNotNull()
-    return scanned.filter(~bad).drop(CORRUPT), scanned.filter(bad)
+    return rows.filter(~bad).drop(CORRUPT), rows.filter(bad)
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:

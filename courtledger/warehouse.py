@@ -49,36 +49,33 @@ class Warehouse:
             wanted = tables is None or spec.name in tables
             if not wanted or self.exists(spec.name):
                 continue
+            location = f"{self.path}/{spec.name}"
+            empty = self.spark.createDataFrame([], spec.stored).write.mode("ignore")
             columns = ", ".join(
                 f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored.fields
             )
-            partitioned = f"PARTITIONED BY (`{spec.year_column}`)" if spec.year_of else ""
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self._name(spec.name)} ({columns}) "
-                f"USING parquet {partitioned} LOCATION '{self.path}/{spec.name}'"
-            )
+            create = f"CREATE TABLE IF NOT EXISTS {self._name(spec.name)} ({columns}) USING parquet"
             if spec.year_of:
-                self._recover(spec.name)
+                empty.partitionBy(spec.year_column).parquet(location)
+                self.spark.sql(
+                    f"{create} PARTITIONED BY (`{spec.year_column}`) LOCATION '{location}'"
+                )
+                self.spark.sql(f"ALTER TABLE {self._name(spec.name)} RECOVER PARTITIONS")
+            else:
+                empty.parquet(location)
+                self.spark.sql(f"{create} LOCATION '{location}'")
 
     def attach(self) -> None:
-        """Registers the tables already stored below the path, for sessions without a metastore."""
-        stored = []
-        for name in TABLES:
+        """Registers the tables found below the path, for sessions without a metastore."""
+        found = []
+        for spec in TABLES.values():
             try:
-                self.spark.read.parquet(f"{self.path}/{name}")
-                stored.append(name)
-            except AnalysisException:
-                pass
-        self.create(stored)
-
-    def _recover(self, table: str) -> None:
-        """Makes partitions known that an earlier session wrote."""
-        try:
-            self.spark.sql(f"ALTER TABLE {self._name(table)} RECOVER PARTITIONS")
-        except Exception as error:
-            # Nothing was written there yet.
-            if "FileNotFoundException" not in str(error):
-                raise
+                self.spark.read.schema(spec.stored).parquet(f"{self.path}/{spec.name}")
+                found.append(spec.name)
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+        self.create(found)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._name(name))
@@ -96,9 +93,16 @@ class Warehouse:
         self.create([name])
         written = Observation()
         rows = clustered(conform(df, spec), spec).observe(written, F.count(F.lit(1)).alias("n"))
-        mode = "static" if replace_all else "dynamic"
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
-        writer.insertInto(self._name(name))
+        writer = rows.write.mode("overwrite")
+        if replace_all or not spec.year_of:
+            writer.insertInto(self._name(name))
+        else:
+            # Dynamic overwrite per write exists for paths only; the catalog follows.
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(
+                spec.year_column
+            ).parquet(f"{self.path}/{name}")
+            self.spark.sql(f"ALTER TABLE {self._name(name)} RECOVER PARTITIONS")
+            self.spark.catalog.refreshTable(self._name(name))
         return written
 
     def exists(self, name: str) -> bool:
