@@ -6,7 +6,14 @@ import argparse
 from datetime import date, datetime, timezone
 
 from courtledger.operators import monitoring
-from courtledger.plans.pipeline import Loader, run_all, run_landing, run_transform, run_validation
+from courtledger.plans.pipeline import (
+    Loader,
+    run_all,
+    run_landing,
+    run_preflight,
+    run_transform,
+    run_validation,
+)
 from courtledger.session import build_session
 from courtledger.sources.landing import landing_events
 from courtledger.streaming.arrivals import on_landing
@@ -73,9 +80,7 @@ def main(argv: list[str] | None = None) -> None:
         warehouse.create()
     elif args.command == "preflight":
         warehouse.attach()
-        missing = [row.table_name for row in warehouse.preflight().collect() if not row.present]
-        if missing:
-            raise monitoring.ValidationError(f"missing tables: {', '.join(missing)}")
+        run_preflight(warehouse).show()
     elif args.command == "land":
         day = date.fromisoformat(args.dt) if args.dt else None
         run_landing(spark, args.source, args.bronze, day).show(truncate=False)

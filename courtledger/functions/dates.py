@@ -1,4 +1,4 @@
-"""Date and timestamp expressions. Unparseable text becomes NULL, also in ANSI mode."""
+"""Date and timestamp expressions. Text that is no date becomes NULL, also in ANSI mode."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def compact_date(text: Column) -> Column:
-    """``yyyyMMdd`` text as a date."""
-    return F.try_to_date(text, "yyyyMMdd")
+def compact_date(text: Column, strict: bool = False) -> Column:
+    """``yyyyMMdd`` text as a date; ``strict`` fails on other text instead (in ANSI mode)."""
+    return F.to_date(text, "yyyyMMdd") if strict else F.try_to_date(text, "yyyyMMdd")
 
 
 def birth_date(text: Column) -> Column:

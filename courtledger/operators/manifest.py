@@ -41,8 +41,18 @@ def manifest_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def changed_paths(diff: DataFrame) -> DataFrame:
-    return diff.filter(F.col("status").isin("new", "changed")).select("path")
+def new_or_changed(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The entries of ``new`` that ``old`` lacks or has with another digest.
+
+    The part of the diff a landing needs; ``new`` is evaluated once, which matters when
+    it hashes the content of every file.
+    """
+    before = old.select("path", F.col("sha256").alias("old_sha"))
+    return (
+        new.join(before, "path", "left")
+        .filter(~F.col("sha256").eqNullSafe(F.col("old_sha")))
+        .drop("old_sha")
+    )
 
 
 def manifest_merge(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -57,8 +67,9 @@ def manifest_merge(old: DataFrame, new: DataFrame) -> DataFrame:
 def latest_per_path(landed: DataFrame, as_of: date | None = None) -> DataFrame:
     """The newest landing of each path, not later than ``as_of``.
 
-    ``landed``: ``path, dt`` and any further columns. Taken as a maximum, which is
-    combined map-side, so that a path landed very often is no burden.
+    ``landed``: ``path, dt`` and any further columns, by which landings of one date are
+    ordered. Taken as a maximum, which is combined map-side, so that a path landed very
+    often is no burden.
     """
     if as_of is not None:
         landed = landed.filter(F.col("dt") <= F.lit(as_of))

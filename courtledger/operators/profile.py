@@ -76,6 +76,10 @@ def value_counts(df: DataFrame, columns: Sequence[str], top: int | None = None)
     )
 
 
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    return df.select(column).distinct()
+
+
 def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, distinct values, most frequent value and its frequency of text columns."""
     columns = columns or _columns_of(df, T.StringType)

@@ -304,10 +304,10 @@ def _histogram(columns: list[str], source: str) -> str:
 
 _PATH = "source || '/' || CAST(doc_id AS VARCHAR)"
 _MANIFESTS = f"""
-    WITH old AS (SELECT {_PATH} AS path, sha256(text) AS old_sha FROM documents WHERE doc_id % 10 <> 0),
-    new AS (SELECT {_PATH} AS path,
+    WITH old AS (SELECT {_PATH} AS path, sha256(text) AS old_sha FROM documents),
+    new AS (SELECT {_PATH} || CASE WHEN doc_id % 10 = 0 THEN '-moved' ELSE '' END AS path,
               sha256(CASE WHEN doc_id % 7 = 0 THEN text || 'x' ELSE text END) AS new_sha
-            FROM documents WHERE doc_id % 11 <> 0 OR doc_id % 10 = 0)"""
+            FROM documents)"""
 
 _COUNTED_TOP = ["surface", "tourney_level", "round", "tourney_name", "winner_hand", "winner_ioc", "score"]
 

@@ -137,6 +137,15 @@ def run_transform(
     }
 
 
+def run_preflight(warehouse: Warehouse) -> DataFrame:
+    """Presence of the expected tables; raises when one is missing."""
+    found = warehouse.preflight()
+    missing = [row.table_name for row in found.collect() if not row.present]
+    if missing:
+        raise monitoring.ValidationError(f"missing tables: {', '.join(missing)}")
+    return found
+
+
 def run_validation(warehouse: Warehouse, as_of: datetime | None = None) -> DataFrame:
     """The post-load checks; raises when one of them fails."""
     checks = monitoring.postload_validation(

@@ -232,13 +232,15 @@ def content_fingerprint(inp: Inputs):
 
 
 def _manifests(inp: Inputs):
+    """All documents before and after: some edited, some moved to another path."""
     docs = _document_paths(inp)
-    old = docs.filter(F.col("doc_id") % 10 != 0).select("path", F.sha2("text", 256).alias("sha256"))
-    edited = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))
-    new = docs.filter((F.col("doc_id") % 11 != 0) | (F.col("doc_id") % 10 == 0)).select(
-        "path", F.sha2(edited, 256).alias("sha256")
+    doc = F.col("doc_id")
+    moved = F.when(doc % 10 == 0, F.concat("path", F.lit("-moved"))).otherwise(F.col("path"))
+    edited = F.when(doc % 7 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))
+    return (
+        docs.select("path", F.sha2("text", 256).alias("sha256")),
+        docs.select(moved.alias("path"), F.sha2(edited, 256).alias("sha256")),
     )
-    return old, new
 
 
 def manifest_diff(inp: Inputs):

@@ -1,4 +1,4 @@
-from courtledger.sources.csv import read_optional, scan_csv, split_malformed
+from courtledger.sources.csv import read_optional, read_present, scan_csv, split_malformed
 from courtledger.sources.landing import current_manifest, fingerprint, land, read_bronze
 
 __all__ = [
@@ -7,6 +7,7 @@ __all__ = [
     "land",
     "read_bronze",
     "read_optional",
+    "read_present",
     "scan_csv",
     "split_malformed",
 ]

@@ -66,3 +66,9 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | None =
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+
+
+def read_present(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """Those of the named files that exist in a folder, for exploration."""
+    found = {name: read_optional(spark, f"{folder.rstrip('/')}/{name}") for name in names}
+    return {name: df for name, df in found.items() if df is not None}

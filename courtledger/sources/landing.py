@@ -12,17 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtledger.operators.manifest import (
-    changed_paths,
-    combined_digest,
-    latest_per_path,
-    manifest_diff,
-)
+from courtledger.operators.manifest import combined_digest, latest_per_path, new_or_changed
 from courtledger.schemas import CSV_SCHEMAS, FILE_PATTERNS
 from courtledger.sources.csv import scan_csv
 
@@ -35,7 +30,10 @@ _SOURCE_FILE = rf"^((?:.*/)?(?:[^/=]+=)?(?:{_NAMES}))(?:/.*)?$"
 
 MANIFEST_LOG = "_manifest"
 EVENT_LOG = "_events"
-_MANIFEST_SCHEMA = "path string, sha256 string, size bigint, kind string, dt date"
+# Of several landings of a file on one date, the one landed last is current.
+_MANIFEST_SCHEMA = (
+    "path string, dt date, landed_at timestamp, sha256 string, size bigint, kind string"
+)
 EVENT_SCHEMA = "dt date, prefix string, file_count bigint"
 
 
@@ -69,6 +67,7 @@ def fingerprint(
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
         .load(root)
         .withColumn("path", _source_file(_relative(spark, F.col("path"), root)))
         .filter(F.col("path") != "")
@@ -79,6 +78,7 @@ def fingerprint(
     # The condition on file size is applied to the file listing, before any line is read.
     large = (
         spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
         .text(root)
         .filter(F.col("_metadata.file_size") > whole_file_limit)
         .select(
@@ -138,15 +138,15 @@ def _read_changed(spark: SparkSession, root: str, kind: str, paths: Sequence[str
     )
 
 
-def land(spark: SparkSession, root: str, bronze: str, dt: date) -> Landing:
+def land(
+    spark: SparkSession, root: str, bronze: str, dt: date, landed_at: datetime | None = None
+) -> Landing:
     """Stores the new and changed files below ``root`` in the partition of ``dt``.
 
     Only names and digests of files come to the driver, where Spark lists the files
     anyway; rows go from the source splits straight to the partitions, unshuffled.
     """
-    seen = fingerprint(spark, root)
-    diff = manifest_diff(current_manifest(spark, bronze), seen)
-    changed = seen.join(changed_paths(diff), "path", "left_semi").collect()
+    changed = new_or_changed(current_manifest(spark, bronze), fingerprint(spark, root)).collect()
     for kind in CSV_SCHEMAS:
         paths = sorted(row.path for row in changed if row.kind == kind)
         if paths:
@@ -160,7 +160,8 @@ def land(spark: SparkSession, root: str, bronze: str, dt: date) -> Landing:
             )
     result = Landing(dt, bronze, sorted(row.path for row in changed))
     if changed:
-        rows = [(row.path, row.sha256, row.size, row.kind, dt) for row in changed]
+        at = landed_at or datetime.now(timezone.utc)
+        rows = [(row.path, dt, at, row.sha256, row.size, row.kind) for row in changed]
         spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{bronze}/{MANIFEST_LOG}"
         )

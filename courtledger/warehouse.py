@@ -105,6 +105,10 @@ class Warehouse:
             self.spark.catalog.refreshTable(self._name(name))
         return written
 
+    def publish(self, name: str, fmt: str, mode: str = "overwrite", **options: str) -> None:
+        """Copies a table to another system through whatever connector the session has."""
+        self.table(name).write.format(fmt).options(**options).mode(mode).save()
+
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self._name(name))
 

@@ -4,6 +4,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from courtledger.operators import numbering
+from courtledger.plans import fixtures
+from courtledger.plans import queries as registered
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
@@ -36,6 +39,18 @@ def test_query(spark, duck, name):
     assert comparable(rows) == comparable(expected)
 
 
+@pytest.mark.parametrize("name", ["transform_rankings", "duplicate_rows", "load_history"])
+def test_query_with_every_large_group_split(spark, duck, monkeypatch, name):
+    """The same results when days and players count as hot from a few rows on."""
+
+    def eager(df, keys, at_most=None):
+        return numbering.find_hot_groups(df, keys, hot_rows=3 if len(keys) > 1 else 20, fraction=1.0)
+
+    monkeypatch.setattr(fixtures, "find_hot_groups", eager)
+    monkeypatch.setattr(registered, "find_hot_groups", eager)
+    test_query(spark, duck, name)
+
+
 def test_every_sql_belongs_to_a_query():
     assert set(oracle_sql()) <= set(queries())
 

@@ -2,6 +2,8 @@
 
 from datetime import date, datetime
 
+import pytest
+
 from courtledger.functions import compact_date, score_residue, whole_units_between
 from courtledger.operators import audits, clean, integrity, match_stats, matches, profile, rankings
 from courtledger.operators.players import transform_players
@@ -40,6 +42,8 @@ def test_dates_that_do_not_parse_are_null(spark):
     df = spark.createDataFrame([("20240229",), ("20230229",), ("n/a",), (None,)], "t string")
     parsed = [r[0] for r in df.select(compact_date(F.col("t"))).collect()]
     assert parsed == [date(2024, 2, 29), None, None, None]
+    with pytest.raises(Exception, match="CANNOT_PARSE|parse"):
+        df.select(compact_date(F.col("t"), strict=True)).collect()
 
 
 def test_whole_units_truncate(spark):
@@ -234,6 +238,7 @@ def test_profile_of_keys_dates_and_duplicates(spark):
 
 def test_value_counts_and_participation(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "y")], "winner_name string, loser_name string")
+    assert rows(profile.distinct_values(df, "winner_name"), "winner_name") == [("a",), ("b",)]
     assert rows(profile.value_counts(df, ["winner_name"], top=1)) == [("winner_name", "a", 2)]
     assert rows(profile.participation(df, top=2)) == [("a", 2), ("b", 1)]
     assert rows(profile.participation_summary(df)) == [(4, 5)]

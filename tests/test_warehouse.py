@@ -70,6 +70,12 @@ def test_tables_survive_the_session_catalog(spark, warehouse):
     assert other.table("fact_rankings").count() == 1 and not other.exists("dim_players")
 
 
+def test_publish_copies_to_another_format(spark, warehouse, tmp_path):
+    warehouse.write("fact_rankings", rankings(spark, (date(2024, 1, 1), 1, 1, 20, 1)))
+    warehouse.publish("fact_rankings", "json", path=str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).first().points == 20
+
+
 def test_metadata_and_status(spark, warehouse):
     warehouse.write("fact_rankings", rankings(spark, (date(2023, 1, 2), 1, 1, 10, 1), (date(2024, 1, 1), 1, 1, 20, 1)))
     warehouse.create(["dim_players"])
