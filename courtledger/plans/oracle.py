@@ -350,6 +350,14 @@ ORACLE = {
             SELECT source AS path, DATE '2025-01-01' + CAST(doc_id % 28 AS INT) AS dt, sha256(text) AS sha256
             FROM documents) WHERE dt <= DATE '2025-01-20')
         WHERE rn = 1""",
+    "land_changed": _with(
+        "fx_players fx_matches fx_rankings",
+        """SELECT DATE '2025-02-01' AS dt, count(DISTINCT file) AS file_count, count(*) AS landed_rows
+           FROM (SELECT 'players' AS file FROM fx_players
+                 UNION ALL SELECT 'matches ' || CASE WHEN tourney_date = 'n/a' THEN '1990'
+                                                ELSE left(tourney_date, 4) END FROM fx_matches
+                 UNION ALL SELECT 'rankings ' || substr(ranking_date, 3, 1) FROM fx_rankings)""",
+    ),
     "clean_strings": _with("cp", "SELECT * FROM cp"),
     "audit_columns": _with(
         "tp",

@@ -35,7 +35,7 @@ from courtledger.schemas import (
     TABLES,
 )
 from courtledger.session import scratch_path, stored
-from courtledger.sources import land, scan_csv
+from courtledger.sources import land, read_bronze, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.warehouse import Warehouse
 
@@ -193,7 +193,10 @@ def stage_metrics(inp: Inputs):
 
 
 def land_changed(inp: Inputs):
-    """Lands the derived inputs as source files, one per year, decade and table."""
+    """Lands the derived inputs as source files, one per year, decade and table.
+
+    The landing event, and the rows found in the bronze partitions afterwards.
+    """
     spark = inp.spark
     root, bronze = scratch_path(spark, "source"), scratch_path(spark, "bronze")
     named = {
@@ -217,7 +220,9 @@ def land_changed(inp: Inputs):
         _write_csv(
             df.withColumn("file", file_name), CSV_SCHEMAS[kind], f"{root}/{kind}", by="file"
         )
-    return land(spark, root, bronze, LANDING_DATE).summary(spark).select("dt", "file_count")
+    event = land(spark, root, bronze, LANDING_DATE).summary(spark)
+    landed = sum(read_bronze(spark, bronze, kind).count() for kind in named)
+    return event.select("dt", "file_count", F.lit(landed).cast("bigint").alias("landed_rows"))
 
 
 def _document_paths(inp: Inputs):
