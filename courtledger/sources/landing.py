@@ -37,11 +37,13 @@ _MANIFEST_SCHEMA = (
 EVENT_SCHEMA = "dt date, prefix string, file_count bigint"
 
 
-def _relative(spark: SparkSession, file_path: Column, root: str) -> Column:
+def _relative(file_path: Column, root: str) -> Column:
     """The part of a file URI below the root, percent signs decoded."""
     base = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
     decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    return F.substring_index(decoded, base, -1)
+    # Most paths need no decoding, and this runs for every row that is landed.
+    plain = F.when(file_path.contains("%"), decoded).otherwise(file_path)
+    return F.substring_index(plain, base, -1)
 
 
 def _file_kind(path: Column) -> Column:
@@ -52,9 +54,15 @@ def _file_kind(path: Column) -> Column:
 
 
 def _source_file(path: Column) -> Column:
+    """The source file a file belongs to; empty for files that are not recognised."""
     return F.regexp_extract(path, _SOURCE_FILE, 1)
 
 
+def _recognised_source_file(path: Column) -> Column:
+    """The same for files known to be recognised: only part files need the pattern."""
+    return F.when(path.contains(".csv/"), _source_file(path)).otherwise(path)
+
+
 def fingerprint(
     spark: SparkSession, root: str, whole_file_limit: int = WHOLE_FILE_LIMIT
 ) -> DataFrame:
@@ -69,7 +77,7 @@ def fingerprint(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .load(root)
-        .withColumn("path", _source_file(_relative(spark, F.col("path"), root)))
+        .withColumn("path", _source_file(_relative(F.col("_metadata.file_path"), root)))
         .filter(F.col("path") != "")
     )
     small = listing.filter(F.col("length") <= whole_file_limit).select(
@@ -89,7 +97,7 @@ def fingerprint(
         .groupBy("file", "size")
         .agg(combined_digest(F.col("digest")).alias("digest"))
         .select(
-            _source_file(_relative(spark, F.col("file"), root)).alias("path"), "digest", "size"
+            _source_file(_relative(F.col("file"), root)).alias("path"), "digest", "size"
         )
         .filter(F.col("path") != "")
     )
@@ -134,7 +142,7 @@ class Landing:
 def _read_changed(spark: SparkSession, root: str, kind: str, paths: Sequence[str]) -> DataFrame:
     files = [f"{root.rstrip('/')}/{path}" for path in paths]
     return scan_csv(spark, files, CSV_SCHEMAS[kind], keep_malformed=True).withColumn(
-        "path", _source_file(_relative(spark, F.col("_metadata.file_path"), root))
+        "path", _recognised_source_file(_relative(F.col("_metadata.file_path"), root))
     )
 
 

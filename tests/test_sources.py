@@ -154,6 +154,17 @@ def test_landing_is_incremental_and_repeatable(spark, source, tmp_path):
     assert read_bronze(spark, bronze, "players").filter("_corrupt_record IS NOT NULL").count() == 1
 
 
+def test_odd_folder_names_land_whole(spark, source, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    nested = source / "archive 50%+x.csv"
+    nested.mkdir()
+    (nested / "atp_rankings_00s.csv").write_text(f"{RANKINGS_HEADER}\n20010101,1,1,1\n")
+    landed = land(spark, str(source), bronze, DAY1)
+    assert "archive 50%+x.csv/atp_rankings_00s.csv" in landed.files
+    assert read_bronze(spark, bronze, "rankings").count() == 4
+    assert land(spark, str(source), bronze, DAY2).files == []
+
+
 def test_repeating_a_landing_of_the_same_day_replaces_it(spark, source, tmp_path):
     root, bronze = str(source), str(tmp_path / "bronze")
     land(spark, root, bronze, DAY1)
