@@ -6,6 +6,7 @@ while they happen, and is the only place that looks at the clock.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
@@ -129,12 +130,19 @@ def run_transform(
     warehouse.create()
     loader = Loader(warehouse, now)
     matches = read_bronze(spark, bronze, "matches", day)
-    return {
-        "players": loader.load_players(read_bronze(spark, bronze, "players", day)),
-        "matches": loader.load_matches(matches),
-        "rankings": loader.load_rankings(read_bronze(spark, bronze, "rankings", day)),
-        "match_stats": loader.load_match_stats(matches),
-    }
+
+    def matches_then_stats() -> dict[str, LoadReport]:
+        return {
+            "matches": loader.load_matches(matches),
+            "match_stats": loader.load_match_stats(matches),
+        }
+
+    # Independent loads share the cluster: while one ends in a few tasks, another fills it.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        players = pool.submit(loader.load_players, read_bronze(spark, bronze, "players", day))
+        facts = pool.submit(matches_then_stats)
+        rankings = pool.submit(loader.load_rankings, read_bronze(spark, bronze, "rankings", day))
+        return {"players": players.result(), **facts.result(), "rankings": rankings.result()}
 
 
 def run_preflight(warehouse: Warehouse) -> DataFrame:
