@@ -44,7 +44,7 @@ class Warehouse:
 
     def create(self, tables: list[str] | None = None) -> None:
         """Database and tables where they do not exist. Stored partitions are picked up."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.path}'")
         for spec in TABLES.values():
             wanted = tables is None or spec.name in tables
             if not wanted or self.exists(spec.name):
