@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from courtledger.llm.common import documents, row_id, text_hash
 from courtledger.llm.minhash import near_duplicates
+from courtledger.llm.packing import pack
+from courtledger.llm.subwords import vocabulary
+from courtledger.llm.wavelet import read_shards, write_shards
+from courtledger.session import scratch_path
 
 
 def _per_row(docs: DataFrame, results: DataFrame, columns: list[str]) -> DataFrame:
@@ -28,7 +32,19 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), end_id=2, capacity=1024)
+
+
+def op5_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-shards")
+    write_shards(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"), end_id=2)
+    return read_shards(spark, path)
+
+
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op5_wavelet": op5_wavelet,
     "op7_minhash": op7_minhash,
 }
 ORACLE: dict[str, str] = {}

@@ -16,7 +16,7 @@ from itertools import chain
 
 import numpy as np
 
-from courtledger.llm.blocks import WHITE, first_of_text, groups, segment_hashes
+from courtledger.llm.blocks import WHITE, first_of_text, groups, segment_hashes, texts_of
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -191,3 +191,11 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def ended_ids(column, path: str, end_id: int):
+    """For each text of an Arrow column its ids followed by ``end_id``; null counts as empty."""
+    data, offsets = texts_of(column)
+    for _, _, ids, first in encoder(path).encode(data, offsets):
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+            yield np.append(ids[a:b], np.uint32(end_id))
