@@ -9,6 +9,7 @@ from courtledger.llm.common import documents, row_id, text_hash
 from courtledger.llm.minhash import near_duplicates
 from courtledger.llm.packing import pack
 from courtledger.llm.subwords import vocabulary
+from courtledger.llm.suffixes import remove_repeats
 from courtledger.llm.wavelet import read_shards, write_shards
 from courtledger.session import scratch_path
 
@@ -21,6 +22,18 @@ def _per_row(docs: DataFrame, results: DataFrame, columns: list[str]) -> DataFra
     return ids.join(results, ["rid", "rth"]).select("doc_id", *columns)
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    span_sizes = F.transform("spans", lambda s: s["stop"] - s["start"])
+    removed = F.aggregate(span_sizes, F.lit(0).cast("bigint"), lambda total, size: total + size)
+    return remove_repeats(documents(spark, sf_dir), length=200).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = near_duplicates(docs, shingle_words=2, threshold=80)
@@ -45,6 +58,7 @@ def op5_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op5_wavelet": op5_wavelet,
+    "op6_suffixes": op6_suffixes,
     "op7_minhash": op7_minhash,
 }
 ORACLE: dict[str, str] = {}
