@@ -13,6 +13,7 @@ from courtledger.llm.lines import drop_repeated_lines
 from courtledger.llm.minhash import near_duplicates
 from courtledger.llm.packing import pack
 from courtledger.llm.quality import measures
+from courtledger.llm.scoring import score_texts
 from courtledger.llm.sharding import shard_documents
 from courtledger.llm.subwords import vocabulary
 from courtledger.llm.suffixes import remove_repeats
@@ -108,6 +109,10 @@ def op5_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(spark, path)
 
 
+def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_lines": op1_lines,
     "op2_packing": op2_packing,
@@ -118,5 +123,6 @@ QUERIES = {
     "op7_minhash": op7_minhash,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
+    "op10_scoring": op10_scoring,
 }
 ORACLE: dict[str, str] = {"op1_lines": LINES_ORACLE}
