@@ -11,12 +11,16 @@ are the keys of banded buckets.
   members. Edges whose sketches rule the similarity out go; the others are confirmed on the
   full sets, computed anew from the texts.
 * A star can miss a link between two members that are both unlike its centre. So buckets
-  that still hold several components are looked at again: their classes outside the largest
-  component are compared with those of other components. Two classes that share a bucket are
-  then confirmed, ruled out by sketch, or connected anyway.
+  that still hold several components are looked at again. Each gets a second star, around a
+  class that its hash with the bucket picks from the largest component, so that a class meets
+  other centres in each of its buckets. What then still lies outside a bucket's largest
+  component is compared with the other components, within the join, by bit sets of all
+  shingles: a bit that only one side has is a shingle that the other lacks, which bounds the
+  similarity from above. Pairs that remain are confirmed. So two classes that share a bucket
+  are confirmed, ruled out, or connected anyway.
 
 A pair at similarity s shares no bucket with probability (1 - s^4)^32: 5e-8 at 0.8. The
-sketch drops such a pair with probability below 1e-11.
+sketch drops such a pair with probability 7e-8.
 """
 
 from __future__ import annotations
@@ -35,7 +39,9 @@ from courtledger.session import stored
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 #: Of 128 one-bit samples, a pair at 0.8 differs in 13 on average, unrelated ones in 64.
-SKETCH_APART = 43
+SKETCH_APART = 36
+#: Numbers of 64 bits in which the shingles of a set leave their marks.
+MARKS = 24
 
 _rng = np.random.default_rng(7)
 #: The walk of each bin over all bins, in the order in which it looks for a filled one.
@@ -44,7 +50,7 @@ _BAND = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)
 _SALT = _rng.integers(1, 2**63, BINS, dtype=np.uint64)
 _SHIFT = np.uint64(64 - (BINS - 1).bit_length())
 
-_PROFILE = "rid bigint, rth bigint, n bigint, h1 bigint, h2 bigint, s1 bigint, s2 bigint, bands array<bigint>"
+_PROFILE = "rid bigint, rth bigint, n bigint, h1 bigint, h2 bigint, s1 bigint, s2 bigint, bits array<bigint>, bands array<bigint>"
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
@@ -68,24 +74,28 @@ def _profiles(size: int):
             n = len(offsets) - 1
             counts, digests = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64)
             signatures = np.zeros((n, BINS), np.uint64)
+            marks = np.zeros((n, MARKS * 64), dtype=bool)
             for k, shingles in enumerate(shingle_sets(data, offsets, size)):
                 counts[k] = len(shingles)
                 if len(shingles):
                     # Sums of mixed hashes: equal for equal sets, whatever their order.
                     digests[k] = mix(shingles).sum(), mix(shingles ^ _BAND[0]).sum()
                     signatures[k] = _signature(shingles)
+                    marks[k, (shingles % np.uint64(MARKS * 64)).astype(np.int64)] = True
             mixed = mix(signatures ^ _SALT)
             grouped = mixed.reshape(n, BANDS, ROWS)
             bands = _BAND * np.ones((n, 1), np.uint64)
             for r in range(ROWS):
                 bands = mix(bands + grouped[:, :, r])
+            marked = np.packbits(marks, axis=1).view(np.int64)
             bits = np.packbits((mixed >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
             arrays = [batch["rid"], batch["rth"], pa.array(counts)]
             arrays += [pa.array(digests[:, k].view(np.int64)) for k in range(2)]
             arrays += [pa.array(np.ascontiguousarray(bits[:, k])) for k in range(2)]
+            arrays.append(list_array(marked.ravel(), np.full(n, MARKS), pa.int64()))
             lengths = np.where(counts > 0, BANDS, 0)
             arrays.append(list_array(bands[counts > 0].reshape(-1).view(np.int64), lengths, pa.int64()))
-            names = ["rid", "rth", "n", "h1", "h2", "s1", "s2", "bands"]
+            names = ["rid", "rth", "n", "h1", "h2", "s1", "s2", "bits", "bands"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
@@ -100,6 +110,18 @@ def _possible(threshold: int) -> Column:
     return (apart <= SKETCH_APART) & sizes
 
 
+def _allowed(threshold: int) -> Column:
+    """Whether the marks of all shingles (``a_bits``, ``b_bits``) allow it as well."""
+    terms = [
+        " + ".join(f"bit_count({x}_bits[{k}] & ~{y}_bits[{k}])" for k in range(MARKS))
+        for x, y in ("ab", "ba")
+    ]
+    only_a, only_b = (F.expr(t) for t in terms)
+    return _possible(threshold) & (100 * (F.col("a_n") - only_a) >= threshold * (F.col("a_n") + only_b)) & (
+        100 * (F.col("b_n") - only_b) >= threshold * (F.col("b_n") + only_a)
+    )
+
+
 def _confirm(size: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,13 +157,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
         profiles.filter("n > 0")
         .groupBy("h1", "h2", "n")
         .agg(
-            F.first(F.struct("rid", "rth", "s1", "s2", "bands")).alias("one"),
+            F.first(F.struct("rid", "rth", "s1", "s2", "bits", "bands")).alias("one"),
             F.min("rid").alias("least_id"),
         )
         .select("h1", "h2", "n", "least_id", "one.*", F.monotonically_increasing_id().alias("c"))
     )
     classes = stored(classes, "classes")
-    facts = classes.select("c", "n", "s1", "s2")
+    facts = classes.select("c", "n", "s1", "s2", "bits")
 
     members = classes.select("c", F.explode("bands").alias("bucket"))
     centres = (
@@ -159,12 +181,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
             pairs = pairs.join(named, side)
         return pairs
 
+    def texts_of_classes(wanted: DataFrame) -> DataFrame:
+        """``c, text`` of a row of each class in ``wanted``."""
+        ids = classes.join(wanted, "c").select("c", "rid", "rth")
+        return rows.join(ids, ["rid", "rth"]).select("c", "text")
+
     def confirmed(pairs: DataFrame, label: str) -> DataFrame:
         """The pairs ``a, b`` whose full sets are similar enough."""
         pairs = stored(pairs, f"{label}-pairs")
         ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-        wanted = classes.join(ends, "c").select("c", "rid", "rth")
-        texts = stored(rows.join(wanted, ["rid", "rth"]).select("c", "text"), f"{label}-texts")
+        texts = stored(texts_of_classes(ends), f"{label}-texts")
         both = pairs.join(texts.select(F.col("c").alias("a"), F.col("text").alias("a_text")), "a")
         both = both.join(texts.select(F.col("c").alias("b"), F.col("text").alias("b_text")), "b")
         found = both.select("a", "b", "a_text", "b_text").mapInArrow(
@@ -172,51 +198,68 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
         )
         return stored(found.distinct(), f"{label}-links")
 
+    def mixed_buckets(placed: DataFrame) -> DataFrame:
+        """``bucket, largest``: buckets with several components, and their largest one."""
+        parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+        return (
+            parts.groupBy("bucket")
+            .agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("most"))
+            .filter("parts > 1")
+            .select("bucket", F.col("most.component").alias("largest"))
+        )
+
+    def with_component(members: DataFrame, found: DataFrame) -> DataFrame:
+        joined = members.join(found.withColumnRenamed("node", "c"), "c", "left")
+        return joined.withColumn("component", F.coalesce("component", "c"))
+
     stars = (
         shared.filter("c <> centre")
         .groupBy(F.col("c").alias("a"), F.col("centre").alias("b"))
         .agg(F.lit(1).alias("one"))
     )
     links = confirmed(
-        with_facts(stars).filter(_possible(threshold)).select("a", "b"), "stars"
+        with_facts(stars).filter(_allowed(threshold)).select("a", "b"), "stars"
     )
     first = stored(components(links), "components")
 
-    placed = (
-        shared.select("bucket", "c")
-        .join(first.withColumnRenamed("node", "c"), "c", "left")
-        .withColumn("component", F.coalesce("component", "c"))
+    placed = with_component(shared.select("bucket", "c"), first)
+    open_members = stored(placed.join(mixed_buckets(placed), "bucket"), "open")
+    order = F.xxhash64("bucket", "c")
+    middle = (
+        open_members.filter("component = largest")
+        .groupBy("bucket")
+        .agg(F.min(F.struct(order, "c")).alias("middle"))
+        .select("bucket", F.col("middle.c").alias("b"))
     )
-    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    mixed = (
-        parts.groupBy("bucket")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("size", "component")).alias("most"))
-        .filter("parts > 1")
-        .select("bucket", F.col("most.component").alias("largest"))
+    second = (
+        open_members.filter("component <> largest")
+        .join(middle, "bucket")
+        .groupBy(F.col("c").alias("a"), "b")
+        .agg(F.lit(1).alias("one"))
     )
-    open_members = stored(placed.join(mixed, "bucket").join(facts, "c"), "open")
-    a = open_members.filter("component <> largest").select(
-        "bucket", "largest", *(F.col(c).alias(f"a_{c}") for c in ["c", "component", "n", "s1", "s2"])
+    second = with_facts(second).filter(_allowed(threshold)).select("a", "b")
+    links = links.unionByName(confirmed(second, "second"))
+
+    placed = with_component(open_members.select("bucket", "c"), stored(components(links), "components"))
+    left = stored(placed.join(mixed_buckets(placed), "bucket").join(facts, "c"), "left")
+    a = left.filter("component <> largest").select(
+        "bucket", "largest", F.col("component").alias("a_component"), *(F.col(c).alias(f"a_{c}") for c in facts.columns)
     )
-    b = open_members.select(
-        "bucket", *(F.col(c).alias(f"b_{c}") for c in ["c", "component", "n", "s1", "s2"])
+    b = left.select(
+        "bucket", F.col("component").alias("b_component"), *(F.col(c).alias(f"b_{c}") for c in facts.columns)
     )
     # Of two small components each pair is met twice; the second time is left out.
     once = (F.col("b_component") == F.col("largest")) | (F.col("a_c") < F.col("b_c"))
     rest = (
         a.join(b, "bucket")
-        .filter((F.col("a_component") != F.col("b_component")) & once & _possible(threshold))
+        .filter((F.col("a_component") != F.col("b_component")) & once & _allowed(threshold))
         .select(F.col("a_c").alias("a"), F.col("b_c").alias("b"))
         .distinct()
     )
     links = links.unionByName(confirmed(rest, "rest"))
-    final = components(links).withColumnRenamed("node", "c")
+    final = components(links)
 
-    labelled = (
-        classes.select("c", "h1", "h2", "n", "least_id")
-        .join(final, "c", "left")
-        .withColumn("component", F.coalesce("component", "c"))
-    )
+    labelled = with_component(classes.select("c", "h1", "h2", "n", "least_id"), final)
     names = labelled.groupBy("component").agg(F.min("least_id").alias("least"))
     labelled = labelled.join(names, "component").select("h1", "h2", "n", "least")
     distinct = profiles.select("rid", "rth", "n", "h1", "h2").distinct()

@@ -32,6 +32,8 @@ _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigi
 _SWEPT = "task int, kind int, id bigint, size bigint, seq bigint, gap bigint, rank bigint"
 #: A round that places a smaller share of the pieces is followed by opening sequences.
 LEAST_SHARE = 0.05
+#: Small pieces to a sequence beyond which they are bundled.
+MOST_SMALL = 8
 
 
 def _cut(vocabulary_path: str, end_id: int, capacity: int):
@@ -141,11 +143,50 @@ def _round(state: DataFrame) -> tuple[DataFrame, DataFrame]:
     return placed, left
 
 
+def _bundle(most: int):
+    """Joins neighbours of a task's items into bundles of up to ``most`` together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundle, used = None, 0
+        for batch in batches:
+            bundles, inner = [], []
+            for number, size in zip(batch["id"].to_pylist(), batch["size"].to_pylist()):
+                if bundle is None or used + size > most:
+                    bundle, used = number, 0
+                bundles.append(bundle)
+                inner.append(used)
+                used += size
+            arrays = [batch["id"], batch["size"], pa.array(bundles, pa.int64()), pa.array(inner, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "size", "bundle", "inner"])
+
+    return run
+
+
 def best_fit(items: DataFrame, capacity: int) -> DataFrame:
     """``id, sequence_id, offset`` for ``id, size``: distinct numbers, sizes 1 to ``capacity``.
 
-    A sequence is named by the item that opened it. Equal sizes go by number.
+    A sequence is named by the item that opened it. Equal sizes go by number. Where small
+    items outnumber the sequences by far, each would take a round of its own in a sequence;
+    they are joined into bundles first, which are packed as one.
     """
+    small = F.col("size") * 16 <= capacity
+    tokens, tiny = items.agg(F.sum("size"), F.count_if(small)).first()
+    if tiny <= MOST_SMALL * -(-(tokens or 0) // capacity):
+        return _rounds(items, capacity)
+    loose = items.filter(~small)
+    bundled = stored(
+        items.filter(small).mapInArrow(_bundle(capacity // 8), "id bigint, size bigint, bundle bigint, inner bigint"),
+        "bundles",
+    )
+    bundles = bundled.groupBy(F.col("bundle").alias("id")).agg(F.sum("size").alias("size"))
+    places = _rounds(loose.unionByName(bundles), capacity)
+    inside = bundled.join(places.withColumnRenamed("id", "bundle"), "bundle").select(
+        "id", "sequence_id", (F.col("offset") + F.col("inner")).alias("offset")
+    )
+    return places.join(loose.select("id"), "id").unionByName(inside)
+
+
+def _rounds(items: DataFrame, capacity: int) -> DataFrame:
     spark = items.sparkSession
     done = scratch_path(spark, "placed")
     schema = "id bigint, sequence_id bigint, offset bigint"
@@ -156,19 +197,21 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
     def opened(openers: DataFrame) -> DataFrame:
         return openers.select("id", F.col("id").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
 
+    def gaps_of(openers: DataFrame) -> DataFrame:
+        gaps = openers.select(F.lit(1).alias("kind"), "id", (capacity - F.col("size")).alias("size"))
+        return gaps.filter("size > 0")
+
     # Two pieces of more than half never share a sequence.
     big = F.col("size") * 2 > capacity
     keep(opened(items.filter(big)))
-    gaps = items.filter(big).select(F.lit(1).alias("kind"), "id", (capacity - F.col("size")).alias("size"))
     rest = items.filter(~big).select(F.lit(0).alias("kind"), "id", "size")
-    state = stored(gaps.filter("size > 0").unionByName(rest), "packing")
+    state = stored(gaps_of(items.filter(big)).unionByName(rest), "packing")
 
     while True:
         least, many = state.filter("kind = 0").agg(F.min("size"), F.count("*")).first()
         if not many:
             break
-        usable = state.filter(F.col("size") >= least)
-        placed, left = _round(usable)
+        placed, left = _round(state.filter(F.col("size") >= least))
         placed, left = stored(placed, "matched"), stored(left, "left")
         keep(
             placed.select("id", F.col("seq").alias("sequence_id"), (capacity - F.col("gap")).alias("offset"))
@@ -178,12 +221,14 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
         rest = left.filter("kind = 0")
         now, tokens, top = rest.agg(F.count("*"), F.sum("size"), F.max("level")).first()
         if now and now > (1 - LEAST_SHARE) * many:
-            # Pieces left over have the levels up to the highest, one each, by size.
-            from_level = top - max(1, -(-tokens // capacity))
-            opens = stored(rest.filter(F.col("level") > from_level), "opening")
-            keep(opened(opens))
-            gaps = gaps.unionByName(opens.select(F.lit(1).alias("kind"), "id", (capacity - F.col("size")).alias("size")))
-            rest = rest.filter(F.col("level") <= from_level)
+            room = 0 if now == many else gaps.filter(F.col("size") >= least).agg(F.sum("size")).first()[0] or 0
+            opening = -(-(tokens - room) // capacity)
+            if opening > 0:
+                # Pieces left over have the levels up to the highest, one each, by size.
+                opens = stored(rest.filter(F.col("level") > top - opening), "opening")
+                keep(opened(opens))
+                gaps = gaps.unionByName(gaps_of(opens))
+                rest = rest.filter(F.col("level") <= top - opening)
         state = stored(gaps.unionByName(rest.select("kind", "id", "size")), "packing")
     return spark.read.schema(schema).parquet(done)
 
