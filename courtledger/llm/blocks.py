@@ -30,18 +30,15 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _powers(base: int) -> np.ndarray:
-    steps = np.full(SPAN + 1, np.uint64(base))
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
-
-
 _tables: dict[int, np.ndarray] = {}
 
 
-def powers(base: int) -> np.ndarray:
-    if base not in _tables:
-        _tables[base] = _powers(base)
+def powers(base: int, most: int = SPAN) -> np.ndarray:
+    """Powers of ``base`` modulo 2^64 up to ``most`` at least."""
+    if base not in _tables or len(_tables[base]) <= most:
+        steps = np.full(most + 1, np.uint64(base))
+        steps[0] = 1
+        _tables[base] = np.multiply.accumulate(steps)
     return _tables[base]
 
 

@@ -10,11 +10,36 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtledger.session import stored
+from courtledger import session
 
 NO_ID = -(2**63)
 
 
+#: Shuffle files are deleted at the end of a query that runs under this setting.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder; the shuffle files that made it go at once."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return session.stored(df, label)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        for folder in folders:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 
@@ -94,7 +119,8 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(low.select("a", F.col("m").alias("b")))
         )
-        pairs = stored(small.filter("a <> b").distinct(), "components")
+        former, pairs = pairs, stored(small.filter("a <> b").distinct(), "components")
+        discard(former)
         now = pairs.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtledger.llm.common import fresh, row_id, text_hash
-from courtledger.session import stored
+from courtledger.llm.common import fresh, row_id, stored, text_hash
 
 DIVISOR = 4
 #: Of the line before, in the rolling hash.

@@ -33,8 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtledger.llm.blocks import list_array, mix, shingle_sets, texts_of
-from courtledger.llm.common import components, fresh, keyed, row_id, text_hash
-from courtledger.session import stored
+from courtledger.llm.common import components, discard, fresh, keyed, row_id, stored, text_hash
 
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
@@ -196,7 +195,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
         found = both.select("a", "b", "a_text", "b_text").mapInArrow(
             _confirm(shingle_words, threshold), "a bigint, b bigint"
         )
-        return stored(found.distinct(), f"{label}-links")
+        links = stored(found.distinct(), f"{label}-links")
+        discard(pairs, texts)
+        return links
 
     def mixed_buckets(placed: DataFrame) -> DataFrame:
         """``bucket, largest``: buckets with several components, and their largest one."""

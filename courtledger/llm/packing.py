@@ -24,9 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtledger.llm.common import keyed
+from courtledger.llm.common import discard, keyed, stored
 from courtledger.llm.subwords import ended_ids
-from courtledger.session import scratch_path, stored
+from courtledger.session import scratch_path
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _SWEPT = "task int, kind int, id bigint, size bigint, seq bigint, gap bigint, rank bigint"
@@ -229,7 +229,8 @@ def _rounds(items: DataFrame, capacity: int) -> DataFrame:
                 keep(opened(opens))
                 gaps = gaps.unionByName(gaps_of(opens))
                 rest = rest.filter(F.col("level") <= top - opening)
-        state = stored(gaps.unionByName(rest.select("kind", "id", "size")), "packing")
+        former, state = state, stored(gaps.unionByName(rest.select("kind", "id", "size")), "packing")
+        discard(former, placed, left)
     return spark.read.schema(schema).parquet(done)
 
 

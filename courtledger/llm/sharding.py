@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtledger.session import stored
+from courtledger.llm.common import discard, stored
 
 #: Of requests to a target, of single documents, and of slots in a shard.
 BUCKETS = 4096
@@ -99,6 +99,7 @@ def balanced_shards(nodes: DataFrame, shards: int) -> DataFrame:
     linked = stored(nodes.join(several, "link").select("uid", "link", "size", start), "linked")
     for round_no in range(MOST_ROUNDS):
         after = stored(_move(linked, capacity, shards, round_no), "moved")
+        discard(linked)
         linked = after.drop("moved")
         if not after.filter("moved").limit(1).count():
             break

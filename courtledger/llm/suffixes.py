@@ -26,25 +26,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtledger.llm.blocks import _BASE, _BYTE, _INVERSE, mix, powers, texts_of
-from courtledger.llm.common import keyed
-from courtledger.session import stored
+from courtledger.llm.blocks import _BASE, _BYTE, _INVERSE, SPAN, mix, powers, texts_of
+from courtledger.llm.common import discard, keyed, stored
 
 LENGTH, GRAM = 200, 32
 #: Bytes whose windows are looked at in one go.
 CHUNK = 1 << 19
 #: Windows to a block of a hot anchor, and distinct slices from which an anchor is hot.
 BLOCK, HOT_SLICES = 16, 2000
-#: Bytes of slices sorted together, unless one group has more.
-SORTED_BYTES = 4 << 20
+#: Bytes of slices sorted together, unless one group has more (a hot one is cut before).
+SORTED_BYTES = 1 << 19
 
 _PLACE = np.uint64(20)
-_ANCHORS = "rid bigint, rth bigint, anchor bigint, slice bigint, low bigint, n int, back int"
+_ANCHORS = "rid bigint, rth bigint, anchor bigint, slice bigint, place bigint"
+#: A slice's first place, its number of windows and its anchor's distance from it share a number.
+_BITS = 12
 
 
 def _slice_tables(data: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers(_BASE)[: len(data)], out=sums[1:])
+    np.cumsum(_BYTE[data] * powers(_BASE, max(SPAN, len(data)))[: len(data)], out=sums[1:])
     return sums
 
 
@@ -108,8 +109,8 @@ def _anchors(length: int):
                     gram, digest, starts, counts, back = found
                     text = np.searchsorted(offsets, starts + a, "right") - 1
                     columns = [rid[text], rth[text], gram.view(np.int64), digest.view(np.int64)]
-                    columns += [starts + a - offsets[text], counts.astype(np.int32), back.astype(np.int32)]
-                    names = ["rid", "rth", "anchor", "slice", "low", "n", "back"]
+                    columns.append((starts + a - offsets[text]) << 2 * _BITS | counts << _BITS | back)
+                    names = ["rid", "rth", "anchor", "slice", "place"]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
                 at = end
 
@@ -161,7 +162,15 @@ def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
     small = text == 0
     small[some] |= text[turn + 1] > text[turn]
     padded = np.concatenate([text, np.zeros(length + 16, np.uint8)])
-    direct = _sort_directly(padded, np.flatnonzero(small), length)
+    places = np.flatnonzero(small)
+    # Suffixes equal over the whole length, of which there are many, are sorted once.
+    sums = _slice_tables(padded)
+    hashes = (sums[places + length] - sums[places]) * powers(_INVERSE, max(SPAN, n))[places]
+    _, example, which = np.unique(hashes, return_index=True, return_inverse=True)
+    sorted_ = _sort_directly(padded, places[example], length)
+    rank = np.empty(n, np.int64)
+    rank[sorted_] = np.arange(len(sorted_))
+    direct = places[np.argsort(rank[places[example]][which], kind="stable")]
     edges = np.searchsorted(text[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     parts = []
@@ -258,7 +267,18 @@ def _repeated_slices(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame
     each distinct slice (``anchor, slice, runs``) that also occur elsewhere."""
     anchors = stored(rows.select("rid", "rth", "text").mapInArrow(_anchors(length), _ANCHORS), "anchors")
     twice = anchors.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1")
-    slices = stored(anchors.join(twice.select("anchor"), "anchor"), "slices")
+    place, mask = F.col("place"), (1 << _BITS) - 1
+    met = anchors.join(twice.select("anchor"), "anchor").select(
+        "rid",
+        "rth",
+        "anchor",
+        "slice",
+        F.shiftright(place, 2 * _BITS).alias("low"),
+        F.shiftright(place, _BITS).bitwiseAND(mask).cast("int").alias("n"),
+        place.bitwiseAND(mask).cast("int").alias("back"),
+    )
+    slices = stored(met, "slices")
+    discard(anchors)
 
     one = [F.first(c).alias(c) for c in ("rid", "rth", "low", "n", "back")]
     distinct = stored(
@@ -308,13 +328,13 @@ def _repeated_slices(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame
         )
     )
     pieces = stored(cool.unionByName(hot).withColumn("digest", F.xxhash64("bytes")), "pieces")
-    met = pieces.groupBy("key", "digest", "bytes", "windows").agg(F.sum("times").alias("met"))
-    found = met.select("key", "digest", "bytes", "windows").repartition("key").sortWithinPartitions("key")
+    equal = pieces.groupBy("key", "digest", "bytes", "windows").agg(F.sum("times").alias("met"))
+    found = equal.select("key", "digest", "bytes", "windows").repartition("key").sortWithinPartitions("key")
     found = found.mapInArrow(_search(length), f"key bigint, digest bigint, runs {_RUNS}")
     everything = F.array(F.struct(F.lit(0).alias("low"), F.col("windows").alias("high")))
     runs = (
         pieces.filter("times = 1")
-        .join(met.select("key", "digest", "met"), ["key", "digest"])
+        .join(equal.select("key", "digest", "met"), ["key", "digest"])
         .join(found, ["key", "digest"])
         .withColumn("runs", F.when(F.col("met") > 1, everything).otherwise(F.col("runs")))
         .filter(F.size("runs") > 0)
