@@ -1,10 +1,10 @@
 """Row numbers within groups that stay parallel when one group holds most rows.
 
 A window sends each group to one task. That is right for the many small groups and
-wrong for a group with a third of the table. So groups that look large in a sample
-are numbered apart: they are sorted across tasks by range, numbered by position
-inside each task, and shifted by the rows of the same group in earlier tasks. The
-sample only picks the route; both routes give the same exact numbers.
+wrong for a group with a third of the table. So groups of many rows are numbered apart:
+they are sorted across tasks by range, numbered by position inside each task, and shifted
+by the rows of the same group in earlier tasks. Groups are counted, all of them, and both
+ways give the same numbers.
 """
 
 from __future__ import annotations
@@ -14,40 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtledger.session import shared_dir
+from courtledger.session import stored
 
+#: Rows of a group that one task sorts without trouble.
 HOT_GROUP_ROWS = 2_000_000
-SAMPLE_FRACTION = 0.01
-# The 1001st largest group cannot hold more than a thousandth of the rows.
-MAX_HOT_GROUPS = 1000
-
-
-def find_hot_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_GROUP_ROWS,
-    fraction: float = SAMPLE_FRACTION,
-    at_most: int | None = None,
-) -> DataFrame | None:
-    """The keys of groups estimated at ``hot_rows`` rows or more; None when there are none.
-
-    Where the caller knows a bound on the number of rows (file footers hold it) and it is
-    below ``hot_rows``, no sample is needed.
-    """
-    if at_most is not None and at_most < hot_rows:
-        return None
-    found = (
-        df.select(*keys)
-        .sample(fraction, seed=17)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") >= hot_rows * fraction)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_GROUPS)
-        .drop("_n")
-    )
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -64,24 +34,23 @@ def _prefixed(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def _number_by_position(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str
 ) -> DataFrame:
-    shared_dir(df.sparkSession)
     sort = [*[F.col(k) for k in keys], *order]
-    # Range bounds come from sampling, so the sorted rows are fixed by a checkpoint
-    # before they are read twice.
-    placed = (
+    # Range bounds come from sampling, so the sorted rows are stored before they are read
+    # twice.
+    placed = stored(
         df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .withColumns(
             {"task_no": F.spark_partition_id(), "position": F.monotonically_increasing_id()}
-        )
-        .checkpoint()
+        ),
+        "placed",
     )
     earlier = (
         Window.partitionBy(*keys)
         .orderBy("task_no")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    # At most one row per task plus one per hot group.
+    # One row per task, and one per further hot group in it.
     runs = (
         placed.groupBy("task_no", *keys)
         .agg(F.min("position").alias("start"), F.count("*").alias("n"))
@@ -90,7 +59,7 @@ def _number_by_position(
     )
     names = ["task_no", *keys]
     runs = _prefixed(runs, names)
-    return placed.join(F.broadcast(runs), _same(placed, runs, names)).select(
+    return placed.join(runs, _same(placed, runs, names)).select(
         *df.columns, (F.col("position") + F.col("shift")).cast("int").alias(name)
     )
 
@@ -100,22 +69,28 @@ def number_rows(
     keys: Sequence[str],
     order: Sequence[Column],
     name: str,
-    hot: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``row_number() OVER (PARTITION BY keys ORDER BY order)`` as column ``name``.
 
-    ``hot`` holds the keys found by ``find_hot_groups``. ``order`` should be total:
-    rows that tie on it cannot be spread over tasks.
+    ``order`` should be total: rows that tie on it cannot be spread over tasks. The rows are
+    stored once, since they are read to count the groups and to number them. Hot groups stay
+    a table, however many there are; none of their keys comes to the driver. ``hot_rows``:
+    from how many rows on a group is hot.
     """
+    hot_rows = hot_rows or HOT_GROUP_ROWS
+    rows = stored(df, "to-number")
+    hot = (
+        rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") >= hot_rows).drop("_n")
+    )
+    hot = _prefixed(stored(hot, "hot-groups"), keys)
     window = Window.partitionBy(*keys).orderBy(*order)
-
-    def by_window(rows: DataFrame) -> DataFrame:
-        return rows.withColumn(name, F.row_number().over(window))
-
-    if hot is None:
-        return by_window(df)
-    hot_keys = F.broadcast(_prefixed(hot, keys))  # at most MAX_HOT_GROUPS rows
-    match = _same(df, hot_keys, keys)
-    return by_window(df.join(hot_keys, match, "left_anti")).unionByName(
-        _number_by_position(df.join(hot_keys, match, "left_semi"), keys, order, name)
+    numbered = F.row_number().over(window)
+    if hot.isEmpty():
+        return rows.withColumn(name, numbered)
+    match = _same(rows, hot, keys)
+    return (
+        rows.join(hot, match, "left_anti")
+        .withColumn(name, numbered)
+        .unionByName(_number_by_position(rows.join(hot, match, "left_semi"), keys, order, name))
     )

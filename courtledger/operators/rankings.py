@@ -41,17 +41,15 @@ def dedup_rankings(raw: DataFrame) -> DataFrame:
     return clean_rankings(raw).dropDuplicates()
 
 
-def sequence_rankings(deduped: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def sequence_rankings(deduped: DataFrame) -> DataFrame:
     """Numbers the entries a player has on one date, best rank first, more points first."""
     return number_rows(
         deduped,
         keys=["ranking_date", "player_id"],
         order=[F.col("rank").asc_nulls_last(), F.col("points").desc_nulls_last()],
         name="ranking_sequence",
-        hot=hot,
     )
 
 
-def transform_rankings(raw: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """``hot``: what ``find_hot_groups(clean_rankings(raw), [date, player])`` found."""
-    return sequence_rankings(dedup_rankings(raw), hot)
+def transform_rankings(raw: DataFrame) -> DataFrame:
+    return sequence_rankings(dedup_rankings(raw))

@@ -18,10 +18,8 @@ from courtledger.operators.clean import add_audit_columns
 from courtledger.operators.manifest import resolve_processing_date
 from courtledger.operators.match_stats import drop_empty_stats, unpivot_stats
 from courtledger.operators.matches import clean_matches, derive_tournaments, project_matches
-from courtledger.operators.numbering import find_hot_groups
 from courtledger.operators.players import transform_players
 from courtledger.operators.rankings import (
-    clean_rankings,
     dedup_rankings,
     rejected_rankings,
     sequence_rankings,
@@ -92,10 +90,7 @@ class Loader:
 
     def load_rankings(self, raw: DataFrame) -> LoadReport:
         report = self._new_report(raw)
-        hot = find_hot_groups(
-            clean_rankings(raw), ["ranking_date", "player_id"], at_most=report.rows["read"]
-        )
-        self._write("fact_rankings", sequence_rankings(dedup_rankings(raw), hot), "rankings", report)
+        self._write("fact_rankings", sequence_rankings(dedup_rankings(raw)), "rankings", report)
         written = self.warehouse.table("fact_rankings")
         report.audits.update(audits.audit_rankings(written))
         report.audits["invalid_ranks"] = audits.audit_invalid_ranks(written)

@@ -22,9 +22,8 @@ from courtledger.operators import (
     rankings as ranking_ops,
 )
 from courtledger.functions import compact_date
-from courtledger.operators.numbering import find_hot_groups
 from courtledger.operators.players import transform_players
-from courtledger.plans.fixtures import RANKING_COPIES, raw_matches, raw_players, raw_rankings, read_table
+from courtledger.plans.fixtures import raw_matches, raw_players, raw_rankings, read_table
 from courtledger.plans.pipeline import counted
 from courtledger.schemas import (
     CSV_SCHEMAS,
@@ -65,11 +64,6 @@ class Inputs:
     def raw_rankings(self) -> DataFrame:
         return raw_rankings(self.spark, self.sf_dir)
 
-    def hot_rankings(self, rankings: DataFrame) -> DataFrame | None:
-        events = read_table(self.spark, self.sf_dir, "events").count()
-        keys = ["ranking_date", "player_id"]
-        return find_hot_groups(rankings, keys, at_most=events * RANKING_COPIES)
-
     @cached_property
     def cleaned_matches(self) -> DataFrame:
         return match_ops.clean_matches(self.raw_matches)
@@ -96,8 +90,7 @@ class Inputs:
 
     @cached_property
     def rankings(self) -> DataFrame:
-        hot = self.hot_rankings(ranking_ops.clean_rankings(self.raw_rankings))
-        return ranking_ops.sequence_rankings(self.deduped_rankings, hot)
+        return ranking_ops.sequence_rankings(self.deduped_rankings)
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -174,11 +167,6 @@ def table_status(inp: Inputs):
     return warehouse.status()
 
 
-def preflight(inp: Inputs):
-    written = {"dim_players": inp.players, "dim_tournaments": inp.tournaments}
-    return _warehouse(inp.spark, written).preflight()
-
-
 def stage_metrics(inp: Inputs):
     """Row counts of each stage, observed while the ranking stages are written."""
     metrics: list[tuple[str, Observation]] = []
@@ -186,7 +174,7 @@ def stage_metrics(inp: Inputs):
     deduped = stored(
         counted(ranking_ops.dedup_rankings(raw), "deduplicated", metrics), "deduplicated"
     )
-    sequenced = ranking_ops.sequence_rankings(deduped, inp.hot_rankings(deduped))
+    sequenced = ranking_ops.sequence_rankings(deduped)
     stored(counted(sequenced, "written", metrics), "sequenced")
     rows = [(name, seen.get["n"]) for name, seen in metrics]
     return inp.spark.createDataFrame(rows, "stage string, row_count bigint")
@@ -373,7 +361,6 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "scan_quarantine": scan_quarantine,
     "sink_roundtrip": sink_roundtrip,
     "table_status": table_status,
-    "preflight": preflight,
     "stage_metrics": stage_metrics,
     "content_fingerprint": content_fingerprint,
     "manifest_diff": manifest_diff,

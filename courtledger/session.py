@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,15 +39,21 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only where the cluster names none (tests, laptops) is a fresh local folder
-    made and recorded in the session, so that later calls agree on it.
+    Only in a session of one process (tests, laptops) that names none is a fresh local
+    folder made and recorded, so that later calls agree on it. On a cluster a local folder
+    would be another one on every machine, so there the lack of a shared one is an error.
     """
+    context = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError(f"{CHECKPOINT_CONF} names no folder that all executors share")
     fallback = tempfile.mkdtemp(prefix="courtledger-")
     spark.conf.set(CHECKPOINT_CONF, fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
+    context.setCheckpointDir(fallback)
     return fallback
 
 

@@ -5,8 +5,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from courtledger.operators import numbering
-from courtledger.plans import fixtures
-from courtledger.plans import queries as registered
+from courtledger.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
@@ -24,7 +23,7 @@ def comparable(rows):
     return sorted(repr(tuple(row)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     result = queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)
@@ -43,11 +42,7 @@ def test_query(spark, duck, name):
 def test_query_with_every_large_group_split(spark, duck, monkeypatch, name):
     """The same results when days and players count as hot from a few rows on."""
 
-    def eager(df, keys, at_most=None):
-        return numbering.find_hot_groups(df, keys, hot_rows=3 if len(keys) > 1 else 20, fraction=1.0)
-
-    monkeypatch.setattr(fixtures, "find_hot_groups", eager)
-    monkeypatch.setattr(registered, "find_hot_groups", eager)
+    monkeypatch.setattr(numbering, "HOT_GROUP_ROWS", 3)
     test_query(spark, duck, name)
 
 

@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from courtledger.operators import profile, rankings
-from courtledger.operators.numbering import find_hot_groups, number_rows
+from courtledger.operators import numbering, profile, rankings
+from courtledger.operators.numbering import number_rows
 
 
 def skewed(spark, rows=6000):
@@ -29,38 +29,29 @@ def skewed(spark, rows=6000):
 def test_hot_groups_get_the_numbers_of_a_window(spark, descending):
     df = skewed(spark)
     order = [F.desc("v") if descending else F.asc("v"), F.asc("id")]
-    hot = find_hot_groups(df, ["k"], hot_rows=1500, fraction=1.0)
-    assert sorted(r.k if r.k is not None else -1 for r in hot.collect()) == [-1, 1]
     plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
-    routed = number_rows(df, ["k"], order, "n", hot)
+    routed = number_rows(df, ["k"], order, "n", hot_rows=1500)
     assert routed.schema["n"].dataType == plain.schema["n"].dataType
     assert routed.exceptAll(plain).isEmpty() and plain.exceptAll(routed).isEmpty()
 
 
-def test_hot_groups_spread_over_tasks(spark):
-    df = skewed(spark, 20000)
-    hot = find_hot_groups(df, ["k"], hot_rows=1500, fraction=1.0)
-    plan = number_rows(df, ["k"], [F.col("v"), F.col("id")], "n", hot)._jdf.queryExecution().toString()
-    assert "Scan ExistingRDD" in plan
-
-
-def test_no_sample_is_taken_below_the_bound(spark):
-    assert find_hot_groups(skewed(spark), ["k"], hot_rows=1500, fraction=1.0, at_most=1000) is None
-    assert find_hot_groups(skewed(spark), ["k"]) is None
+def test_any_number_of_hot_groups(spark):
+    df = spark.range(9000, numPartitions=4).select(F.pmod(F.xxhash64("id"), F.lit(1500)).alias("k"), "id")
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("id")))
+    routed = number_rows(df, ["k"], [F.col("id")], "n", hot_rows=2)
+    assert routed.exceptAll(plain).isEmpty() and plain.exceptAll(routed).isEmpty()
 
 
-def test_ranking_sequence_is_the_same_by_both_routes(spark):
+def test_ranking_sequence_is_the_same_by_both_routes(spark, monkeypatch):
     raw = spark.range(5000).select(
         F.lit("20240101").alias("ranking_date"),
         (F.col("id") % 40).cast("int").alias("rank"),
         F.when(F.col("id") % 3 == 0, "7").otherwise((F.col("id") % 300).cast("string")).alias("player"),
         (F.col("id") % 90).cast("int").alias("points"),
     )
-    hot = find_hot_groups(
-        rankings.clean_rankings(raw), ["ranking_date", "player_id"], hot_rows=1000, fraction=1.0
-    )
-    assert hot.count() == 1
-    by_window, routed = rankings.transform_rankings(raw), rankings.transform_rankings(raw, hot)
+    by_window = rankings.transform_rankings(raw)
+    monkeypatch.setattr(numbering, "HOT_GROUP_ROWS", 1000)
+    routed = rankings.transform_rankings(raw)
     assert by_window.exceptAll(routed).isEmpty() and routed.exceptAll(by_window).isEmpty()
     ends = routed.groupBy("ranking_date", "player_id").agg(
         F.count("*").alias("n"), F.max("ranking_sequence").alias("last"), F.min("ranking_sequence").alias("first")
