@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Hexadecimal digits of a SHA-256 that are added up as one number.
+# Of the 64 hexadecimal digits of a SHA-256, so many are added up as one number.
 _LANE = 15
 
 
@@ -18,7 +18,7 @@ def combined_digest(digests: Column) -> Column:
     file of any size never meet in one task.
     """
     lanes = []
-    for start in range(1, 61, _LANE):
+    for start in range(1, 65, _LANE):
         number = F.conv(F.substring(digests, start, _LANE), 16, 10).cast("decimal(38,0)")
         lanes.append(F.sum(number).cast("string"))
     return F.sha2(F.concat_ws(":", F.count("*").cast("string"), *lanes), 256)

@@ -302,6 +302,10 @@ def _histogram(columns: list[str], source: str) -> str:
     )
 
 
+# The 64 digits of a digest, in numbers that can be added up.
+_LANES = ", ".join(
+    f"CAST(sum(CAST('0x' || substr(d, {k}, 15) AS BIGINT)) AS VARCHAR)" for k in range(1, 65, 15)
+)
 _PATH = "source || '/' || CAST(doc_id AS VARCHAR)"
 _MANIFESTS = f"""
     WITH old AS (SELECT {_PATH} AS path, sha256(text) AS old_sha FROM documents),
@@ -335,8 +339,20 @@ ORACLE = {
         """SELECT 'read' AS stage, count(*) AS row_count FROM fx_rankings
            UNION ALL SELECT 'deduplicated', count(*) FROM dr UNION ALL SELECT 'written', count(*) FROM tr""",
     ),
-    "content_fingerprint": f"""SELECT {_PATH} AS path, sha256(text) AS sha256,
-        CAST(octet_length(encode(text)) AS BIGINT) AS size FROM documents""",
+    "content_fingerprint": f"""
+        WITH docs AS (
+          SELECT 'file=atp_matches_' || CAST(1900 + doc_id % 100 AS VARCHAR) || '.csv' AS path, doc_id,
+            coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        split AS (SELECT path, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM docs),
+        numbered AS (
+          SELECT path, sha256(CAST(row_number() OVER (PARTITION BY path ORDER BY doc_id, i) - 1 AS VARCHAR)
+            || ':' || sha256(line)) AS d FROM split),
+        summed AS (
+          SELECT path, sha256(concat_ws(':', CAST(count(*) AS VARCHAR), {_LANES})) AS lines
+          FROM numbered GROUP BY path),
+        sized AS (SELECT path, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS size FROM docs GROUP BY path)
+        SELECT path, sha256(CAST(size AS VARCHAR) || ':' || lines) AS sha256, size, 'matches' AS kind
+        FROM summed JOIN sized USING (path)""",
     "manifest_diff": f"""{_MANIFESTS}
         SELECT path, old_sha, new_sha,
           CASE WHEN old_sha IS NULL THEN 'new' WHEN new_sha IS NULL THEN 'removed'

@@ -34,7 +34,7 @@ from courtledger.schemas import (
     TABLES,
 )
 from courtledger.session import scratch_path, stored
-from courtledger.sources import land, read_bronze, scan_csv
+from courtledger.sources import fingerprint, land, read_bronze, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.warehouse import Warehouse
 
@@ -219,9 +219,16 @@ def _document_paths(inp: Inputs):
 
 
 def content_fingerprint(inp: Inputs):
-    return _document_paths(inp).select(
-        "path", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("bigint").alias("size")
+    """All documents written as source files, dealt by number, and fingerprinted."""
+    root = scratch_path(inp.spark, "files")
+    docs = read_table(inp.spark, inp.sf_dir, "documents").select(
+        F.concat(F.lit("atp_matches_"), 1900 + F.col("doc_id") % 100, F.lit(".csv")).alias("file"),
+        "doc_id",
+        F.coalesce("text", F.lit("")).alias("text"),
     )
+    docs = docs.repartition("file").sortWithinPartitions("file", "doc_id")
+    docs.select("file", "text").write.partitionBy("file").text(root)
+    return fingerprint(inp.spark, root, files_named="*.txt")
 
 
 def _manifests(inp: Inputs):

@@ -2,28 +2,28 @@
 
 A source file is a CSV file, or a folder of part files carrying its name. Files are
 compared by content. Changed ones are parsed once and stored as typed parquet under
-``bronze/<kind>/dt=<date>/path=<file>``, malformed text included; later steps read
-pruned columns from there instead of parsing text again. Landing the same file twice
-on one day overwrites its partition, so a run that was cut off can simply be repeated.
-The manifest log is written last: a file whose landing failed stays "changed".
+``bronze/<kind>/dt=<date>/landing=<id>/path=<file>``, malformed text included; later steps
+read pruned columns from there instead of parsing text again. A landing has an id of its own
+and never touches rows landed before. The manifest log names the current landing of each file
+and is written last: until then readers see the landing before, and a file whose landing was
+cut off stays "changed".
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtledger.operators.manifest import combined_digest, latest_per_path, new_or_changed
 from courtledger.schemas import CSV_SCHEMAS, FILE_PATTERNS
+from courtledger.session import stored
 from courtledger.sources.csv import scan_csv
 
-# binaryFile holds a file in one row, which cannot exceed 2 GB.
-WHOLE_FILE_LIMIT = 256 << 20
-
 _NAMES = "|".join(f"(?:{pattern})" for pattern in FILE_PATTERNS.values())
 # Directories, then the file name; part files of a folder so named may follow.
 _SOURCE_FILE = rf"^((?:.*/)?(?:[^/=]+=)?(?:{_NAMES}))(?:/.*)?$"
@@ -32,18 +32,23 @@ MANIFEST_LOG = "_manifest"
 EVENT_LOG = "_events"
 # Of several landings of a file on one date, the one landed last is current.
 _MANIFEST_SCHEMA = (
-    "path string, dt date, landed_at timestamp, sha256 string, size bigint, kind string"
+    "path string, dt date, landed_at timestamp, landing string, sha256 string, size bigint, "
+    "kind string"
 )
 EVENT_SCHEMA = "dt date, prefix string, file_count bigint"
 
 
-def _relative(file_path: Column, root: str) -> Column:
+def _relative(spark: SparkSession, file_path: Column, root: str) -> Column:
     """The part of a file URI below the root, percent signs decoded."""
-    base = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(place).toUri().getPath().rstrip("/") + "/"
     decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
     # Most paths need no decoding, and this runs for every row that is landed.
     plain = F.when(file_path.contains("%"), decoded).otherwise(file_path)
-    return F.substring_index(plain, base, -1)
+    # Once, at the start: a folder below may well carry the name of the root again.
+    path = F.regexp_replace(plain, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(path.startswith(base), F.substring(path, F.lit(len(base) + 1), F.length(path)))
 
 
 def _file_kind(path: Column) -> Column:
@@ -63,47 +68,41 @@ def _recognised_source_file(path: Column) -> Column:
     return F.when(path.contains(".csv/"), _source_file(path)).otherwise(path)
 
 
-def fingerprint(
-    spark: SparkSession, root: str, whole_file_limit: int = WHOLE_FILE_LIMIT
-) -> DataFrame:
+def fingerprint(spark: SparkSession, root: str, files_named: str = "*.csv") -> DataFrame:
     """``path, sha256, size, kind`` of the recognised files below ``root``.
 
-    Small files are hashed as a whole. Larger ones are read as lines, in parallel
-    splits, and their line digests combined: such a file counts as changed when its
-    bag of lines changes.
+    One rule for files of any size: the digests of all lines, each with its number in the
+    file, are added up, and the sum is hashed with the size. Lines end at line feeds only. So
+    a changed byte, a changed order and changed line ends are all seen, while a file is read
+    in splits by many tasks and never has to fit into one. A line's number is its place in
+    its split and the lines of the splits before it, whatever the size of splits.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .withColumn("path", _source_file(_relative(F.col("_metadata.file_path"), root)))
-        .filter(F.col("path") != "")
+    options = {"recursiveFileLookup": True, "pathGlobFilter": files_named}
+    files = spark.read.format("binaryFile").options(**options).load(root).select(
+        F.col("_metadata.file_path").alias("file"), F.col("length").alias("size")
     )
-    small = listing.filter(F.col("length") <= whole_file_limit).select(
-        "path", F.sha2("content", 256).alias("digest"), F.col("length").alias("size")
+    lines = spark.read.options(**options, lineSep="\n").text(root).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        F.sha2("value", 256).alias("digest"),
     )
-    # The condition on file size is applied to the file listing, before any line is read.
-    large = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .text(root)
-        .filter(F.col("_metadata.file_size") > whole_file_limit)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("size"),
-            F.sha2("value", 256).alias("digest"),
-        )
-        .groupBy("file", "size")
-        .agg(combined_digest(F.col("digest")).alias("digest"))
-        .select(
-            _source_file(_relative(F.col("file"), root)).alias("path"), "digest", "size"
-        )
-        .filter(F.col("path") != "")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each split of a file.
+    splits = (
+        lines.groupBy("file", "block")
+        .agg(F.min("place").alias("first"), F.count("*").alias("n"))
+        .select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    )
+    numbered = F.sha2(F.concat_ws(":", F.col("place") + F.col("shift"), "digest"), 256)
+    contents = lines.join(splits, ["file", "block"]).groupBy("file").agg(combined_digest(numbered).alias("lines"))
+    digest = F.sha2(F.concat_ws(":", "size", F.coalesce("lines", F.lit(""))), 256)
+    found = files.join(contents, "file", "left").select(
+        _source_file(_relative(spark, F.col("file"), root)).alias("path"), digest.alias("digest"), "size"
     )
     digests = F.when(F.count("*") == 1, F.max("digest")).otherwise(combined_digest(F.col("digest")))
     return (
-        small.unionByName(large)
+        found.filter("path <> ''")
         .groupBy("path")
         .agg(digests.alias("sha256"), F.sum("size").alias("size"))
         .withColumn("kind", _file_kind(F.col("path")))
@@ -132,6 +131,7 @@ class Landing:
     dt: date
     prefix: str
     files: list[str]
+    removed: int = 0
 
     def summary(self, spark: SparkSession) -> DataFrame:
         """The landing event; no row when nothing changed."""
@@ -142,34 +142,37 @@ class Landing:
 def _read_changed(spark: SparkSession, root: str, kind: str, paths: Sequence[str]) -> DataFrame:
     files = [f"{root.rstrip('/')}/{path}" for path in paths]
     return scan_csv(spark, files, CSV_SCHEMAS[kind], keep_malformed=True).withColumn(
-        "path", _recognised_source_file(_relative(F.col("_metadata.file_path"), root))
+        "path", _recognised_source_file(_relative(spark, F.col("_metadata.file_path"), root))
     )
 
 
 def land(
     spark: SparkSession, root: str, bronze: str, dt: date, landed_at: datetime | None = None
 ) -> Landing:
-    """Stores the new and changed files below ``root`` in the partition of ``dt``.
+    """Stores the new and changed files below ``root`` as a landing of ``dt``.
 
     Only names and digests of files come to the driver, where Spark lists the files
-    anyway; rows go from the source splits straight to the partitions, unshuffled.
+    anyway; rows go from the source splits straight to the partitions, unshuffled. Files of
+    the manifest that are gone are counted; their rows stay.
     """
-    changed = new_or_changed(current_manifest(spark, bronze), fingerprint(spark, root)).collect()
+    before, now = current_manifest(spark, bronze), stored(fingerprint(spark, root), "fingerprints")
+    changed = new_or_changed(before, now).collect()
+    removed = before.join(now, "path", "left_anti").count()
+    at = landed_at or datetime.now(timezone.utc)
+    landing = f"{at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
     for kind in CSV_SCHEMAS:
         paths = sorted(row.path for row in changed if row.kind == kind)
         if paths:
             (
                 _read_changed(spark, root, kind, paths)
-                .withColumn("dt", F.lit(dt))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("dt", "path")
+                .withColumns({"dt": F.lit(dt), "landing": F.lit(landing)})
+                .write.mode("append")
+                .partitionBy("dt", "landing", "path")
                 .parquet(f"{bronze}/{kind}")
             )
-    result = Landing(dt, bronze, sorted(row.path for row in changed))
+    result = Landing(dt, bronze, sorted(row.path for row in changed), removed)
     if changed:
-        at = landed_at or datetime.now(timezone.utc)
-        rows = [(row.path, dt, at, row.sha256, row.size, row.kind) for row in changed]
+        rows = [(row.path, dt, at, landing, row.sha256, row.size, row.kind) for row in changed]
         spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{bronze}/{MANIFEST_LOG}"
         )
@@ -183,12 +186,14 @@ def read_bronze(
     """All rows of a kind: of each file its newest landing up to ``as_of``.
 
     Incremental landings hold changed files only, so one date alone is not the table.
-    The (dt, path) pairs wanted prune the partitions that are read.
+    The landings wanted prune the partitions that are read; a file that was emptied has a
+    current landing without rows.
     """
     current = current_manifest(spark, bronze, as_of).filter(F.col("kind") == kind)
+    place = ["dt", "landing", "path"]
     return spark.read.schema(
         ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_SCHEMAS[kind].fields
         )
-        + ", _corrupt_record string, dt date, path string"
-    ).parquet(f"{bronze}/{kind}").join(current.select("dt", "path"), ["dt", "path"], "left_semi")
+        + ", _corrupt_record string, dt date, landing string, path string"
+    ).parquet(f"{bronze}/{kind}").join(current.select(*place), place, "left_semi").drop("landing")

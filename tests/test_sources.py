@@ -107,19 +107,58 @@ def test_fingerprint_finds_known_names_and_hashes_bytes(spark, source):
     }
     for path, row in found.items():
         content = (source / path).read_bytes()
-        assert (row.sha256, row.size) == (hashlib.sha256(content).hexdigest(), len(content))
+        assert (row.sha256, row.size) == (content_digest(content), len(content))
 
 
-def test_large_files_are_hashed_by_line(spark, source):
-    def digests():
-        return {r.path: (r.sha256, r.size) for r in fingerprint(spark, str(source), whole_file_limit=60).collect()}
+def content_digest(content):
+    sha = lambda x: hashlib.sha256(x.encode() if isinstance(x, str) else x).hexdigest()
+    lines = content.split(b"\n")
+    lines = lines[:-1] if lines[-1] == b"" else lines
+    numbered = [sha(f"{n}:{sha(line)}") for n, line in enumerate(lines)]
+    lanes = [str(sum(int(d[k : k + 15], 16) for d in numbered)) for k in range(0, 64, 15)]
+    return sha(f"{len(content)}:{sha(':'.join([str(len(lines)), *lanes]))}")
 
-    first = digests()
-    assert len(first) == 5 and digests() == first
+
+def test_content_is_seen_whatever_the_splits(spark, source):
     path = source / "atp_rankings_current.csv"
-    path.write_text(path.read_text().replace("90", "91"))
-    second = digests()
-    assert [p for p in first if first[p] != second[p]] == ["atp_rankings_current.csv"]
+    body = [f"2024{k % 12 + 1:02d}01,{k},{k},{k}" for k in range(4000)]
+
+    def digest(lines, end="\n", split=None):
+        path.write_bytes(end.join([RANKINGS_HEADER, *lines, ""]).encode())
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split or before)
+        spark.conf.set("spark.sql.files.minPartitionNum", 1)
+        try:
+            found = {r.path: r.sha256 for r in fingerprint(spark, str(source)).collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+        assert found[path.name] == content_digest(path.read_bytes())
+        return found[path.name]
+
+    first = digest(body)
+    assert digest(body, split="7000") == first
+    changed = [*body[:3000], body[3000].replace("3000", "3001"), *body[3001:]]
+    swapped = [body[1], body[0], *body[2:]]
+    assert len({first, digest(changed), digest(swapped, split="7000"), digest(body, end="\r\n")}) == 4
+
+
+def test_a_folder_named_like_the_root_is_another_file(spark, source):
+    inner = source / "x" / str(source).lstrip("/")
+    inner.mkdir(parents=True)
+    (inner / "atp_players.csv").write_text(f"{PLAYERS_HEADER}\n")
+    paths = [r.path for r in fingerprint(spark, str(source)).collect()]
+    assert len(paths) == len(set(paths)) == 6
+
+
+def test_an_emptied_file_has_no_rows_left(spark, source, tmp_path):
+    root, bronze = str(source), str(tmp_path / "bronze")
+    land(spark, root, bronze, DAY1)
+    (source / "atp_rankings_current.csv").write_text(f"{RANKINGS_HEADER}\n")
+    (source / "atp_rankings_20s.csv").unlink()
+    again = land(spark, root, bronze, DAY1)
+    assert again.files == ["atp_rankings_current.csv"] and again.removed == 1
+    assert [r.points for r in read_bronze(spark, bronze, "rankings").collect()] == [100]
 
 
 def test_folder_of_part_files_is_one_source_file(spark, source):
@@ -171,7 +210,8 @@ def test_repeating_a_landing_of_the_same_day_replaces_it(spark, source, tmp_path
     (source / "atp_rankings_current.csv").write_text(f"{RANKINGS_HEADER}\n20250108,1,1,110\n")
     land(spark, root, bronze, DAY1)
     assert read_bronze(spark, bronze, "rankings").count() == 2
-    assert spark.read.parquet(f"{bronze}/rankings").count() == 2
+    # the landing before is still there, for readers that began with it
+    assert spark.read.parquet(f"{bronze}/rankings").count() == 4
     assert land(spark, root, bronze, DAY1).files == []
 
 
