@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtledger.llm.common import discard, keyed, stored
+from courtledger.llm.common import keyed, stored
 from courtledger.llm.subwords import ended_ids
-from courtledger.session import scratch_path
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _SWEPT = "task int, kind int, id bigint, size bigint, seq bigint, gap bigint, rank bigint"
@@ -65,7 +65,8 @@ def pieces(docs: DataFrame, vocabulary_path: str, end_id: int, capacity: int) ->
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches brackets within a task; kind 2: placed, 0 and 1: pieces and gaps left."""
+    """Matches brackets within a task. Kind 2: placed; 0 and 1: pieces and gaps left over;
+    3: how many gaps and pieces these are, one row for the task."""
     task = TaskContext.get().partitionId()
     waiting: list[tuple[int, int]] = []
     unmet = 0
@@ -93,30 +94,36 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     left = [(0, number, size, None, None, k + 1) for k, (number, size) in enumerate(waiting)]
     for at in range(0, len(left), 10_000):
         yield batch_of(left[at : at + 10_000])
+    if left or unmet:
+        yield batch_of([(3, unmet, len(left), None, None, None)])
 
 
-def _round(state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One sweep over all tasks: placed pieces, and what is left with levels."""
+def _round(state: DataFrame) -> DataFrame:
+    """One sweep over all tasks: ``kind, id, size, seq, gap, level``.
+
+    Kind 2: a piece with the sequence it goes to and the gap found there. Kinds 0 and 1:
+    pieces, with their levels, and gaps that remain.
+    """
     keys = ["size", "kind", "id"]
     swept = stored(
         state.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(_sweep, _SWEPT),
         "swept",
     )
-    counts = swept.groupBy("task").agg(
-        F.count_if(F.col("kind") == 1).alias("gaps"), F.count_if(F.col("kind") == 0).alias("pieces")
-    )
     level, bases = 0, []
-    for row in sorted(counts.collect()):  # one row for each task of the sweep
-        bases.append((row.task, level, level - row.gaps))
-        level += row.pieces - row.gaps
+    for row in sorted(swept.filter("kind = 3").select("task", "id", "size").collect()):
+        bases.append((row.task, level, level - row.id))
+        level += row.size - row.id
     spark = state.sparkSession
+    # One row for each task of the sweep.
     bases = F.broadcast(spark.createDataFrame(bases, "task int, above bigint, below bigint"))
     # A gap closes the level it finds, a piece opens the next one.
+    is_gap = F.col("kind") == 1
     ranked = (
         swept.filter("kind < 2")
         .join(bases, "task")
         .withColumn(
-            "level", F.when(F.col("kind") == 1, F.col("above") - F.col("rank") + 1).otherwise(F.col("below") + F.col("rank"))
+            "level",
+            F.when(is_gap, F.col("above") - F.col("rank") + 1).otherwise(F.col("below") + F.col("rank")),
         )
     )
     order = Window.partitionBy("level").orderBy("task", F.desc("kind"))
@@ -127,20 +134,20 @@ def _round(state: DataFrame) -> tuple[DataFrame, DataFrame]:
         "level",
         F.lag(F.struct("kind", "id", "size")).over(order).alias("last"),
         F.lead("kind").over(order).alias("next"),
+    ).filter(F.coalesce(is_gap | (F.col("next") == 0) | F.col("next").isNull(), F.lit(True)))
+    meets = F.coalesce(is_gap & (F.col("last.kind") == 0), F.lit(False))
+    across = near.select(
+        F.when(meets, 2).otherwise(F.col("kind")).alias("kind"),
+        F.when(meets, F.col("last.id")).otherwise(F.col("id")).alias("id"),
+        F.when(meets, F.col("last.size")).otherwise(F.col("size")).alias("size"),
+        F.when(meets, F.col("id")).alias("seq"),
+        F.when(meets, F.col("size")).alias("gap"),
+        "level",
     )
-    meets = (F.col("kind") == 1) & (F.col("last.kind") == 0)
-    left = near.filter(
-        ~F.coalesce(meets | (F.col("kind") == 0) & (F.col("next") == 1), F.lit(False))
-    )
-    placed = swept.filter("kind = 2").select("id", "size", "seq", "gap").unionByName(
-        near.filter(meets).select(
-            F.col("last.id").alias("id"),
-            F.col("last.size").alias("size"),
-            F.col("id").alias("seq"),
-            F.col("size").alias("gap"),
-        )
+    inside = swept.filter("kind = 2").select(
+        "kind", "id", "size", "seq", "gap", F.lit(None).cast("bigint").alias("level")
     )
-    return placed, left
+    return stored(inside.unionByName(across), "round")
 
 
 def _bundle(most: int):
@@ -187,15 +194,10 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
 
 
 def _rounds(items: DataFrame, capacity: int) -> DataFrame:
-    spark = items.sparkSession
-    done = scratch_path(spark, "placed")
-    schema = "id bigint, sequence_id bigint, offset bigint"
-
-    def keep(placed: DataFrame) -> None:
-        placed.write.mode("append").parquet(done)
+    at_start = F.lit(0).cast("bigint").alias("offset")
 
     def opened(openers: DataFrame) -> DataFrame:
-        return openers.select("id", F.col("id").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+        return openers.select("id", F.col("id").alias("sequence_id"), at_start)
 
     def gaps_of(openers: DataFrame) -> DataFrame:
         gaps = openers.select(F.lit(1).alias("kind"), "id", (capacity - F.col("size")).alias("size"))
@@ -203,35 +205,43 @@ def _rounds(items: DataFrame, capacity: int) -> DataFrame:
 
     # Two pieces of more than half never share a sequence.
     big = F.col("size") * 2 > capacity
-    keep(opened(items.filter(big)))
-    rest = items.filter(~big).select(F.lit(0).alias("kind"), "id", "size")
-    state = stored(gaps_of(items.filter(big)).unionByName(rest), "packing")
-
-    while True:
-        least, many = state.filter("kind = 0").agg(F.min("size"), F.count("*")).first()
-        if not many:
-            break
-        placed, left = _round(state.filter(F.col("size") >= least))
-        placed, left = stored(placed, "matched"), stored(left, "left")
-        keep(
-            placed.select("id", F.col("seq").alias("sequence_id"), (capacity - F.col("gap")).alias("offset"))
+    done = [opened(items.filter(big))]
+    rest = items.filter(~big)
+    many, least = rest.agg(F.count("*"), F.min("size")).first()
+    state = gaps_of(items.filter(big)).unionByName(rest.select(F.lit(0).alias("kind"), "id", "size"))
+    piece, gap, fits = F.col("kind") == 0, F.col("kind") == 1, F.col("kind") == 2
+    room = F.when(fits, F.col("gap") - F.col("size")).when(gap, F.col("size"))
+    while many:
+        found = _round(state.filter(F.col("size") >= least))
+        done.append(
+            found.filter(fits).select(
+                "id", F.col("seq").alias("sequence_id"), (capacity - F.col("gap")).alias("offset")
+            )
+        )
+        now, tokens, top, smallest, free = found.agg(
+            F.count_if(piece),
+            F.sum(F.when(piece, F.col("size"))),
+            F.max(F.when(piece, F.col("level"))),
+            F.min(F.when(piece, F.col("size"))),
+            F.coalesce(F.sum(F.when(room >= least, room)), F.lit(0)),
+        ).first()
+        gaps = found.filter(~piece).select(
+            F.lit(1).alias("kind"), F.when(fits, F.col("seq")).otherwise(F.col("id")).alias("id"), room.alias("size")
         )
-        gaps = placed.select(F.lit(1).alias("kind"), F.col("seq").alias("id"), (F.col("gap") - F.col("size")).alias("size"))
-        gaps = gaps.filter("size > 0").unionByName(left.filter("kind = 1").select("kind", "id", "size"))
-        rest = left.filter("kind = 0")
-        now, tokens, top = rest.agg(F.count("*"), F.sum("size"), F.max("level")).first()
-        if now and now > (1 - LEAST_SHARE) * many:
-            room = 0 if now == many else gaps.filter(F.col("size") >= least).agg(F.sum("size")).first()[0] or 0
-            opening = -(-(tokens - room) // capacity)
+        rest = found.filter(piece)
+        state = gaps
+        if now > (1 - LEAST_SHARE) * many:
+            opening = -(-(tokens - (0 if now == many else free)) // capacity)
             if opening > 0:
                 # Pieces left over have the levels up to the highest, one each, by size.
-                opens = stored(rest.filter(F.col("level") > top - opening), "opening")
-                keep(opened(opens))
-                gaps = gaps.unionByName(gaps_of(opens))
+                opens = rest.filter(F.col("level") > top - opening)
+                done.append(opened(opens))
+                state = state.unionByName(gaps_of(opens))
                 rest = rest.filter(F.col("level") <= top - opening)
-        former, state = state, stored(gaps.unionByName(rest.select("kind", "id", "size")), "packing")
-        discard(former, placed, left)
-    return spark.read.schema(schema).parquet(done)
+                now -= opening
+        state = state.unionByName(rest.select("kind", "id", "size"))
+        many, least = max(0, now), smallest
+    return reduce(DataFrame.unionByName, done)
 
 
 def pack(docs: DataFrame, vocabulary_path: str, end_id: int, capacity: int) -> DataFrame:
