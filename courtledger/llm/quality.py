@@ -258,6 +258,6 @@ def measures(docs: DataFrame, *more: Column) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns."""
-    whole = F.struct(*(docs[c] for c in docs.columns)) if docs.columns else F.struct()
+    whole = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
     judged = measures(docs, whole).filter("kept")
     return judged.select("k0.*")
