@@ -83,7 +83,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     found = F.expr(
         f"transform(wanted, w -> named_struct('no', w.no, 'hash', w.hash, 'chunk', {_chunk('w.no')}))"
     )
-    texts = _chunked(rows.join(wanted, ["rid", "rth"])).select("rid", "rth", F.inline(found))
+    # Lists of rows grow with the table, so they are merged with it at every size.
+    texts = _chunked(rows.join(wanted.hint("merge"), ["rid", "rth"])).select("rid", "rth", F.inline(found))
     texts = stored(texts, "chunk-texts")
     equal = stored(
         texts.groupBy("hash", "chunk").agg(F.count("*").alias("times"), _first()), "equal-chunks"
@@ -116,7 +117,7 @@ def drop_repeated_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     removed = repeated_chunks(docs)
     removed = removed.select(*(F.col(c).alias(names[c]) for c in removed.columns))
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
-    joined = marked.join(removed, [names["rid"], names["rth"]], "left").select(
+    joined = marked.join(removed.hint("merge"), [names["rid"], names["rth"]], "left").select(
         whole, F.coalesce("text", F.lit("")).alias("text"), F.col(names["removed"]).alias("removed")
     )
     some = F.col("removed").isNotNull()
