@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtledger.llm.common import fresh, row_id, stored, text_hash
 
 #: Frequent words of each language.
 COMMON_WORDS = {
@@ -78,29 +79,28 @@ def references(docs: DataFrame) -> DataFrame:
     """``lang, r_<class>..., r_words, r_total``: sums over all texts of each known language,
     and over all texts as ``other`` for texts of no known language."""
     basics = _basics(_texts(docs))
-    sums = [F.sum(f"n_{c}").alias(f"r_{c}") for c in CLASSES] + [F.sum("n_words").alias("r_total")]
-    by_lang = basics.groupBy("lang").agg(*sums)
-    # At most one row for each task, language and listed word is exchanged.
-    counts = (
-        basics.select("lang", F.explode("common").alias("word"))
-        .groupBy("lang", "word")
-        .agg(F.count("*").alias("n"))
+    # One pass over the texts: sums of each class, named apart from words by a space, and
+    # listed words one by one. At most one row for each task, language and name is exchanged.
+    classes = [F.struct(F.lit(f" {c}").alias("name"), F.col(f"n_{c}").alias("n")) for c in CLASSES]
+    classes.append(F.struct(F.lit(" total").alias("name"), F.col("n_words").alias("n")))
+    words = F.transform("common", lambda w: F.struct(w.alias("name"), F.lit(1).cast("bigint").alias("n")))
+    sums = stored(
+        basics.select("lang", F.inline(F.concat(F.array(*classes), words)))
+        .groupBy("lang", "name")
+        .agg(F.sum("n").alias("n")),
+        "references",
     )
-    own = counts.filter(F.col("lang") != OTHER)
-    listed = F.lit(False)
+    listed = F.col("name").startswith(" ") | (F.col("lang") == OTHER)
     for lang, line in COMMON_WORDS.items():
-        listed = listed | ((F.col("lang") == lang) & F.col("word").isin(*line.split()))
-    words = own.filter(listed).groupBy("lang").agg(_word_map())
-    every = counts.groupBy("word").agg(F.sum("n").alias("n")).agg(_word_map()).withColumn("lang", F.lit(OTHER))
-    total = by_lang.agg(
-        *[F.sum(f"r_{c}").alias(f"r_{c}") for c in CLASSES], F.sum("r_total").alias("r_total")
-    ).withColumn("lang", F.lit(OTHER))
-    rows = by_lang.filter(F.col("lang") != OTHER).unionByName(total)
-    return rows.join(words.unionByName(every), "lang", "left")
-
-
-def _word_map() -> Column:
-    return F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("r_words")
+        listed = listed | ((F.col("lang") == lang) & F.col("name").isin(*line.split()))
+    everywhere = sums.groupBy("name").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(OTHER))
+    rows = sums.filter(F.col("lang") != OTHER).unionByName(everywhere).filter(listed)
+    is_class = F.col("name").startswith(" ")
+    names = {f"r_{c}": f" {c}" for c in [*CLASSES, "total"]}
+    return rows.groupBy("lang").agg(
+        *[F.max(F.when(F.col("name") == name, F.col("n"))).alias(r) for r, name in names.items()],
+        F.map_from_entries(F.collect_list(F.when(~is_class, F.struct("name", "n")))).alias("r_words"),
+    )
 
 
 def _texts(docs: DataFrame, *more: Column) -> DataFrame:
@@ -257,7 +257,13 @@ def measures(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns."""
-    whole = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
-    judged = measures(docs, whole).filter("kept")
-    return judged.select("k0.*")
+    """The documents that pass, with all their columns.
+
+    Verdicts are stored before they select: a filter over the chain of columns that leads to
+    them would be carried down through it by the optimizer, with every use of a column.
+    """
+    names = [fresh(docs, "_rid"), fresh(docs, "_rth")]
+    verdicts = stored(measures(docs, row_id(docs), text_hash(docs)).select("k0", "k1", "kept"), "verdicts")
+    kept = verdicts.filter("kept").select(F.col("k0").alias(names[0]), F.col("k1").alias(names[1]))
+    marked = docs.withColumns(dict(zip(names, (row_id(docs), text_hash(docs)))))
+    return marked.join(kept.hint("merge"), names, "left_semi").drop(*names)
