@@ -37,22 +37,30 @@ def _move(linked: DataFrame, capacity: float, shards: int, round_no: int) -> Dat
     """One round: the linked documents with ``shard`` after it, and whether they ``moved``."""
     spark = linked.sparkSession
     loads = linked.groupBy("shard").agg(F.sum("size").alias("load"))
-    # One row for each shard.
+    # One row for each shard. Room for a few documents only counts as none: it would hold up
+    # requests that find room elsewhere.
+    left = F.lit(capacity) - F.coalesce("load", F.lit(0))
     room = (
         spark.range(shards)
         .select(F.col("id").cast("int").alias("shard"))
         .join(loads, "shard", "left")
-        .select("shard", (F.lit(capacity) - F.coalesce("load", F.lit(0))).alias("room"))
+        .select("shard", F.when(left > capacity / 200, left).otherwise(0.0).alias("room"))
     )
     votes = linked.groupBy("link", "shard").agg(F.sum("size").alias("weight"))
     votes = votes.join(F.broadcast(room), "shard")
-    # A shard without room is no target, but its own documents need not leave it.
+    # A shard without room is no target. Documents of a heavy link stay in it; those of others
+    # follow their neighbours to the heaviest shard with room.
     heaviest = votes.groupBy("link").agg(
-        F.max(F.struct("weight", -F.col("shard"))).alias("best"),
+        F.sum("weight").alias("together"),
+        F.max(F.struct("weight", -F.col("shard"), "room")).alias("best"),
         F.max(F.when(F.col("room") > 0, F.struct("weight", -F.col("shard")))).alias("free"),
     )
     targets = heaviest.select(
-        "link", (-F.col("best.col2")).alias("best"), (-F.col("free.col2")).alias("target"), F.col("free.weight").alias("target_weight")
+        "link",
+        (-F.col("best.col2")).alias("best"),
+        ((F.col("best.room") <= 0) & (F.col("together") <= capacity / 2)).alias("leaves"),
+        (-F.col("free.col2")).alias("target"),
+        F.col("free.weight").alias("target_weight"),
     )
     own = votes.select("link", "shard", "weight")
     asked = (
@@ -62,8 +70,9 @@ def _move(linked: DataFrame, capacity: float, shards: int, round_no: int) -> Dat
         .withColumn(
             "asks",
             F.coalesce(
-                (F.col("shard") != F.col("best")) & (F.col("shard") != F.col("target"))
-                & ((F.col("weight") < F.col("target_weight")) | (F.col("weight") == F.col("target_weight")) & (F.col("target") < F.col("shard"))),
+                (F.col("shard") != F.col("target"))
+                & (F.col("leaves") | (F.col("shard") != F.col("best")))
+                & (F.col("leaves") | (F.col("weight") < F.col("target_weight")) | (F.col("weight") == F.col("target_weight")) & (F.col("target") < F.col("shard"))),
                 F.lit(False),
             ),
         )
