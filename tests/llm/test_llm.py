@@ -476,6 +476,21 @@ def test_scores(spark, tables, rows, monkeypatch):
         assert any(own == x[:4] and r["base_score"] == pytest.approx(x[4]) for x in want[r["doc_id"]])
 
 
+def test_attention_learns_from_every_block(spark):
+    """More than the 8192 blocks that were once sampled, copies and empty texts among them."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([3, 40, 80]))) for _ in range(6000)]
+    texts += [texts[0]] * 500 + [""] * 20
+    docs = spark.createDataFrame([(k % 6000, k % 7, t) for k, t in enumerate(texts)], "rid bigint, rth bigint, text string")
+    path = vocabulary("word_bpe_49k.json")
+    ids = ended_ids(pa.array(texts), path, scoring.END)
+    blocks = sum(len(attention.blocks_of(x.astype(np.int64), scoring.START)) for x in ids)
+    model, learnt = scoring.fit(docs.repartition(5), path, part_blocks=1000)
+    assert blocks > 8192 and learnt == [blocks] * attention.EPOCHS
+    model, learnt = scoring.fit(docs.limit(0), path)
+    assert learnt == [] and np.isfinite(model.token).all()
+
+
 def test_attention_model_is_a_distribution_and_learns():
     rng = np.random.default_rng(1)
     texts = [np.append(np.cumsum(rng.integers(1, 3, 70)) % 40, 48) for _ in range(150)]
