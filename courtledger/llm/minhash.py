@@ -138,14 +138,9 @@ def _confirm(size: int, threshold: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80) -> DataFrame:
-    """``rid, rth, n_shingles, component``: each distinct row, its set size and its component.
-
-    Rows are linked when 100 * intersection >= ``threshold`` * union of their shingle sets;
-    the component is named by the smallest ``rid`` reachable. A text without words, an empty
-    or null one, has no shingles and is linked with nothing: its component is its own id.
-    Rows that repeat id and text are one row here. A null id counts as the smallest number.
-    """
+def _linked_rows(docs: DataFrame, shingle_words: int, threshold: int) -> DataFrame:
+    """``rid, rth, times, n, part, least``: each distinct row and how often it is met, its set
+    size, a number of its component (null without words) and the smallest id in there."""
     rows = keyed(docs)
     profiles = stored(
         rows.select("rid", "rth", "text").mapInArrow(_profiles(shingle_words), _PROFILE),
@@ -262,9 +257,22 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
 
     labelled = with_component(classes.select("c", "h1", "h2", "n", "least_id"), final)
     names = labelled.groupBy("component").agg(F.min("least_id").alias("least"))
-    labelled = labelled.join(names, "component").select("h1", "h2", "n", "least")
-    distinct = profiles.select("rid", "rth", "n", "h1", "h2").distinct()
-    return distinct.join(labelled, ["h1", "h2", "n"], "left").select(
+    labelled = labelled.join(names, "component").select(
+        "h1", "h2", "n", "least", F.col("component").alias("part")
+    )
+    distinct = profiles.groupBy("rid", "rth", "n", "h1", "h2").agg(F.count("*").alias("times"))
+    return distinct.join(labelled, ["h1", "h2", "n"], "left").select("rid", "rth", "times", "n", "part", "least")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80) -> DataFrame:
+    """``rid, rth, n_shingles, component``: each distinct row, its set size and its component.
+
+    Rows are linked when 100 * intersection >= ``threshold`` * union of their shingle sets;
+    the component is named by the smallest ``rid`` reachable. A text without words, an empty
+    or null one, has no shingles and is linked with nothing: its component is its own id.
+    Rows that repeat id and text are one row here. A null id counts as the smallest number.
+    """
+    return _linked_rows(docs, shingle_words, threshold).select(
         "rid", "rth", F.col("n").alias("n_shingles"), F.coalesce("least", "rid").alias("component")
     )
 
@@ -272,12 +280,28 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: int = 80
 def drop_near_duplicates(
     docs: DataFrame, shingle_words: int = 5, threshold: int = 80
 ) -> DataFrame:
-    """The documents of which no near duplicate has a smaller id, with all their columns.
+    """One document of each component, with all its columns.
 
-    Documents without words stay. Rows that repeat an id and its text stay or go together.
+    It is the one with the smallest id (a null id before all others), then text hash; of rows
+    that repeat both, one. Components are told apart by number, not by id: unlike texts of one
+    id, or without any, all stay. Documents without words are linked with nothing and stay.
     """
-    found = near_duplicates(docs, shingle_words, threshold).filter("rid = component")
-    names = {c: fresh(docs, f"_{c}") for c in ("rid", "rth")}
+    linked = stored(_linked_rows(docs, shingle_words, threshold), "linked")
+    first = linked.filter("part IS NOT NULL").groupBy("part").agg(F.min(F.struct("rid", "rth", "times")).alias("one"))
+    single = first.select("one.*").filter("times = 1").unionByName(
+        linked.filter("part IS NULL").select("rid", "rth", "times")
+    )
+    several = first.select("one.*").filter("times > 1")
+
+    names = {c: fresh(docs, f"_{c}") for c in ("rid", "rth", "uid")}
+    keys = [names["rid"], names["rth"]]
     marked = docs.withColumns({names["rid"]: row_id(docs), names["rth"]: text_hash(docs)})
-    kept = found.select(*(F.col(c).alias(names[c]) for c in names))
-    return marked.join(kept, list(names.values()), "left_semi").drop(*names.values())
+
+    def rows_of(kept: DataFrame) -> DataFrame:
+        return marked.join(kept.select(*(F.col(c).alias(names[c]) for c in ("rid", "rth"))), keys, "left_semi")
+
+    # Equal rows get numbers once; only these meet, and the smallest stays.
+    repeated = stored(rows_of(several).withColumn(names["uid"], F.monotonically_increasing_id()), "repeated")
+    least = repeated.groupBy(*keys).agg(F.min(names["uid"]).alias(names["uid"])).select(names["uid"])
+    once = repeated.join(least, names["uid"], "left_semi").select(*docs.columns)
+    return rows_of(single).select(*docs.columns).unionByName(once)

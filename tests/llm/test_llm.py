@@ -334,6 +334,22 @@ def test_near_duplicates_dropped(spark, tables):
     assert {0, 3, 4, 5, 14} <= ids and not {1, 2, 7, 13} & ids
 
 
+def test_near_duplicates_leave_one_of_a_group(spark):
+    """Also of repeated rows, of rows that share an id, and of rows without one."""
+    rng = random.Random(12)
+    fresh = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
+    a, b, c, d, e, f = (fresh() for _ in range(6))
+    rows = [(1, a)] * 3 + [(1, a + " x"), (7, a)]
+    rows += [(None, b), (None, b + " x"), (None, b), (3, b), (None, c), (None, d), (None, d)]
+    rows += [(5, e), (5, f)] + [(9, "")] * 2 + [(None, None)] * 2
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, _uid int")
+    kept = drop_near_duplicates(docs.repartition(3)).collect()
+    groups = {x: name for name, x in zip("abcdef", (a, b, c, d, e, f))} | {a + " x": "a", b + " x": "b"}
+    assert Counter(groups.get(r.text) for r in kept) == Counter({g: 1 for g in "abcdef"} | {None: 4})
+    assert {r.doc_id for r in kept if groups.get(r.text) in ("a", "b")} == {1, None}
+    assert all((r.doc_id, r.text) == rows[r._uid] for r in kept)
+
+
 def test_components(spark):
     random.seed(6)
     edges = [(k, k + 1) for k in range(200)] + [(500 + random.randrange(40), 500 + random.randrange(40)) for _ in range(30)]
