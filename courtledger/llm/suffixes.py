@@ -12,8 +12,11 @@
    prefix of ``length`` bytes are the repeated windows.
 4. Anchors with very many distinct slices (a passage that very many texts share, between
    different neighbours) are cut into blocks of few windows. All windows of a block contain
-   its middle, so blocks are dealt by what the middle reads, and no task gets all slices of
-   such an anchor.
+   its middle, so blocks are dealt by what the middle reads.
+5. At the ends of such a passage the middle lies inside while the bytes beside it differ from
+   text to text: very many distinct pieces read the same middle. Their windows, ``BLOCK`` a
+   piece at most, are counted by what they read (as a 128-bit digest), so that no task gets
+   all pieces of a block either.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from courtledger.llm.common import discard, keyed, stored
 LENGTH, GRAM = 200, 32
 #: Bytes whose windows are looked at in one go.
 CHUNK = 1 << 19
-#: Windows to a block of a hot anchor, and distinct slices from which an anchor is hot.
+#: Windows to a block of a hot anchor, and distinct slices (pieces) from which an anchor (a block) is hot.
 BLOCK, HOT_SLICES = 16, 2000
 #: Bytes of slices sorted together, unless one group has more (a hot one is cut before).
 SORTED_BYTES = 1 << 19
@@ -262,6 +265,25 @@ def _search(length: int):
     return run
 
 
+def _counted_windows(equal: DataFrame, length: int) -> DataFrame:
+    """``key, digest, runs`` as ``_search`` gives them, by counting equal windows of a key."""
+    read = F.expr(
+        f"transform(sequence(0, windows - 1), k -> unhex(md5(substring(bytes, k + 1, {length}))))"
+    )
+    windows = stored(equal.select("key", "digest", "met", F.posexplode(read).alias("no", "window")), "windows")
+    several = windows.groupBy("key", "window").agg(F.sum("met").alias("met")).filter("met > 1")
+    numbers = (
+        windows.join(several.select("key", "window"), ["key", "window"], "left_semi")
+        .groupBy("key", "digest")
+        .agg(F.array_sort(F.collect_set("no")).alias("nos"))
+    )
+    runs = F.expr(
+        "zip_with(filter(nos, k -> NOT array_contains(nos, k - 1)), filter(nos, k -> NOT array_contains(nos, k + 1)), "
+        "(a, b) -> named_struct('low', a, 'high', b + 1))"
+    )
+    return numbers.select("key", "digest", runs.alias("runs"))
+
+
 def _repeated_slices(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Slices of anchors met twice, one row for each occurrence, and the runs of windows of
     each distinct slice (``anchor, slice, runs``) that also occur elsewhere."""
@@ -305,7 +327,7 @@ def _repeated_slices(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame
     )
     cool = cut.filter(F.col("kinds") <= HOT_SLICES).select(
         "anchor", "slice", "times", F.col("anchor").alias("key"), F.lit(0).alias("at"), F.col("n").alias("windows"), "bytes"
-    )
+    ).withColumn("hot", F.lit(False))
     block = F.explode(
         F.sequence(F.floor((F.col("back") - F.col("n") + 1) / BLOCK), F.floor(F.col("back") / BLOCK))
     ).alias("block")
@@ -325,12 +347,19 @@ def _repeated_slices(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame
             "at",
             "windows",
             F.substring(F.col("bytes"), F.col("at") + 1, F.col("windows") + length - 1).alias("bytes"),
+            F.lit(True).alias("hot"),
         )
     )
     pieces = stored(cool.unionByName(hot).withColumn("digest", F.xxhash64("bytes")), "pieces")
     equal = pieces.groupBy("key", "digest", "bytes", "windows").agg(F.sum("times").alias("met"))
-    found = equal.select("key", "digest", "bytes", "windows").repartition("key").sortWithinPartitions("key")
+    # Cool keys have no more pieces than their anchor has slices.
+    blocks = pieces.filter("hot").select("key", "digest", "bytes", "windows").distinct().groupBy("key")
+    crowded = blocks.agg(F.count("*").alias("kinds")).filter(F.col("kinds") > HOT_SLICES)
+    crowded = stored(crowded.select("key"), "crowded")
+    found = equal.select("key", "digest", "bytes", "windows").join(crowded, "key", "left_anti")
+    found = found.repartition("key").sortWithinPartitions("key")
     found = found.mapInArrow(_search(length), f"key bigint, digest bigint, runs {_RUNS}")
+    found = found.unionByName(_counted_windows(equal.join(crowded, "key", "left_semi"), length))
     everything = F.array(F.struct(F.lit(0).alias("low"), F.col("windows").alias("high")))
     runs = (
         pieces.filter("times = 1")

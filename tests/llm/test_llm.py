@@ -253,6 +253,38 @@ def test_repeated_bytes(spark, tables, rows, monkeypatch, hot):
     assert Counter(tuple(r[c] for c in names) for r in out) == Counter(_repeats(rows, 200))
 
 
+@pytest.mark.parametrize("hot", [2000, 20])
+def test_ends_of_a_shared_passage_are_spread(spark, monkeypatch, hot):
+    """A passage in 120 texts, with other bytes before and after it in each: no group that
+    is sorted in a task has more than ``HOT_SLICES`` pieces."""
+    monkeypatch.setattr(suffixes, "HOT_SLICES", hot)
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    passage = letters(430) + "é" + "xy" * 150
+    rows = [(k, letters(rng.randint(200, 300)) + passage + letters(rng.randint(180, 260))) for k in range(120)]
+    rows += [(500, rows[3][1][150:600]), (501, passage[:300]), (None, passage[:300]), (502, letters(500))]
+    search = suffixes._search
+
+    def watched(length):
+        run = search(length)
+
+        def met(batches):
+            pieces = Counter()
+            for batch in batches:
+                pieces.update(batch["key"].to_pylist())
+                assert max(pieces.values(), default=0) <= hot
+                yield batch
+
+        return lambda batches: run(met(batches))
+
+    monkeypatch.setattr(suffixes, "_search", watched)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = suffixes.remove_repeats(docs).collect()
+    got = Counter((r.doc_id, r.n_bytes, sum(s.stop - s.start for s in r.spans or []), len(r.spans or []),
+                   hashlib.sha256(r.kept).hexdigest()) for r in out)
+    assert got == Counter(_repeats(rows, 200))
+
+
 def test_suffix_order():
     rng = np.random.default_rng(8)
     for _ in range(60):
