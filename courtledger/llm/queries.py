@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtledger.llm.chat import format_conversations, read_conversations
@@ -12,6 +12,8 @@ from courtledger.llm.lines import ORACLE as LINES_ORACLE
 from courtledger.llm.lines import drop_repeated_lines
 from courtledger.llm.minhash import near_duplicates
 from courtledger.llm.packing import pack
+from courtledger.llm.phrases import ORACLE as PHRASES_ORACLE
+from courtledger.llm.phrases import collocations
 from courtledger.llm.quality import measures
 from courtledger.llm.scoring import score_texts
 from courtledger.llm.sharding import shard_documents
@@ -113,6 +115,14 @@ def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    found = collocations(documents(spark, sf_dir)).withColumn("rank", F.row_number().over(order))
+    return found.filter(F.col("rank") <= 2000).select(
+        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
+    )
+
+
 QUERIES = {
     "op1_lines": op1_lines,
     "op2_packing": op2_packing,
@@ -124,5 +134,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_scoring": op10_scoring,
+    "op13_phrases": op13_phrases,
 }
-ORACLE: dict[str, str] = {"op1_lines": LINES_ORACLE}
+ORACLE: dict[str, str] = {"op1_lines": LINES_ORACLE, "op13_phrases": PHRASES_ORACLE}
