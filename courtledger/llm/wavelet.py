@@ -153,8 +153,15 @@ class Shard:
         return low, high
 
     def count(self, token: int, low: int = 0, high: int | None = None) -> int:
-        """Occurrences of ``token`` at places from ``low`` up to, without, ``high``."""
-        first, last = self._range(token, low, self.n if high is None else high)
+        """Occurrences of ``token`` at places from ``low`` up to, without, ``high``.
+
+        Places outside the shard hold nothing; so does a range that ends before it begins.
+        """
+        high = self.n if high is None else high
+        low, high = (min(max(place, 0), self.n) for place in (low, high))
+        if high <= low:
+            return 0
+        first, last = self._range(token, low, high)
         return last - first
 
     def locate(self, token: int, k: int) -> int:
