@@ -11,6 +11,7 @@ from courtledger.llm.decontamination import leaks
 from courtledger.llm.lines import ORACLE as LINES_ORACLE
 from courtledger.llm.lines import drop_repeated_lines
 from courtledger.llm.minhash import near_duplicates
+from courtledger.llm.mixing import mix_sources, taken_words
 from courtledger.llm.packing import pack
 from courtledger.llm.phrases import ORACLE as PHRASES_ORACLE
 from courtledger.llm.phrases import collocations
@@ -115,6 +116,11 @@ def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, spans = mix_sources(documents(spark, sf_dir))
+    return taken_words(rows, spans).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     found = collocations(documents(spark, sf_dir)).withColumn("rank", F.row_number().over(order))
@@ -134,6 +140,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_scoring": op10_scoring,
+    "op11_mixing": op11_mixing,
     "op13_phrases": op13_phrases,
 }
 ORACLE: dict[str, str] = {"op1_lines": LINES_ORACLE, "op13_phrases": PHRASES_ORACLE}
