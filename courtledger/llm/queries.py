@@ -12,6 +12,8 @@ from courtledger.llm.lines import ORACLE as LINES_ORACLE
 from courtledger.llm.lines import drop_repeated_lines
 from courtledger.llm.minhash import near_duplicates
 from courtledger.llm.mixing import mix_sources, taken_words
+from courtledger.llm.negatives import ORACLE as NEGATIVES_ORACLE
+from courtledger.llm.negatives import hard_negatives
 from courtledger.llm.packing import pack
 from courtledger.llm.phrases import ORACLE as PHRASES_ORACLE
 from courtledger.llm.phrases import collocations
@@ -121,6 +123,10 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(rows, spans).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     found = collocations(documents(spark, sf_dir)).withColumn("rank", F.row_number().over(order))
@@ -141,6 +147,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_scoring": op10_scoring,
     "op11_mixing": op11_mixing,
+    "op12_negatives": op12_negatives,
     "op13_phrases": op13_phrases,
 }
-ORACLE: dict[str, str] = {"op1_lines": LINES_ORACLE, "op13_phrases": PHRASES_ORACLE}
+ORACLE: dict[str, str] = {"op1_lines": LINES_ORACLE, "op12_negatives": NEGATIVES_ORACLE, "op13_phrases": PHRASES_ORACLE}

@@ -64,13 +64,17 @@ def tables(spark):
     spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.mode(
         "overwrite"
     ).parquet(f"{folder}/conversations.parquet")
+    vectors = [(k, [float(k % 5), 1.0, -0.5], k % 3) for k in range(300)] + [(None, None, None)]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>, label int").write.mode(
+        "overwrite"
+    ).parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
 @pytest.fixture(scope="session")
 def empty_tables(spark, tables):
     folder = tempfile.mkdtemp(prefix="llm-empty-")
-    for name in ("documents", "benchmark", "conversations"):
+    for name in ("documents", "benchmark", "conversations", "embeddings"):
         spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.mode("overwrite").parquet(
             f"{folder}/{name}.parquet"
         )
