@@ -5,15 +5,15 @@ numbers of its words with a 0 for any other word and between pieces. Then, for p
 three and four words:
 
 * Candidates are Apriori-safe: the phrase without its last and without its first word is
-  frequent (as the level before has found), and so is the hash bucket of the phrase. Buckets are
-  counted in one pass by every task into a table of fixed size; a phrase that occurs often
-  enough is in a bucket that does.
+  frequent (as the level before has found), and so is the hash bucket of the phrase. Every task
+  counts the buckets it meets and Spark adds them up; a phrase that occurs often enough is in a
+  bucket that does.
 * Candidates become the keys of a double-array trie over word numbers, which is broadcast. In
   every task all places of a batch advance through it together, level by level; accepting states
   are counted by ``bincount``, and Spark sums the counts of the tasks. These are exact.
 
 Nothing is broadcast whole that grows with the data: words and candidates are split into shards
-of at most ``MOST_KEYS`` keys, one trie and one pass each.
+of at most ``MOST_KEYS`` keys, one trie and one pass each; so are the frequent buckets.
 
 Words of more than ``LONG_WORD`` bytes are looked up by their SHA-256.
 """
@@ -37,14 +37,14 @@ from courtledger.llm.ordering import ordered
 from courtledger.llm.tries import DoubleArray, number_keys
 
 #: Keys of one trie, and so of one broadcast.
-MOST_KEYS = 1_000_000
+MOST_KEYS = 500_000
 LONG_WORD = 64
-#: Buckets of the phrases of a level; a count stops at 255.
-BUCKETS = 1 << 22
-CHUNK = 1 << 16
-#: Distinct words a task holds before it hands them on.
-MOST_HELD = 300_000
+BUCKET_BITS = 40
+#: Distinct words, buckets or phrases a task holds before it hands them on.
+MOST_HELD = 200_000
 SLICE = 1 << 20
+#: Places that advance together, and bytes of text that are numbered together.
+STEP = 1 << 18
 
 # What ends a piece, and what else ends a word.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -125,7 +125,7 @@ def _trie(rows: pa.Table, width: int | None = None) -> DoubleArray:
 def _int32(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of a column of binary rows, and where each row begins."""
     raw, offsets = texts_of(column)
-    return np.frombuffer(raw.tobytes(), np.int32), offsets // 4
+    return np.frombuffer(raw, np.int32), offsets // 4
 
 
 def _binary(numbers: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -170,7 +170,7 @@ def _numbered(trie, last: bool):
             known = [shard.walk(str(lang).encode() + b"\xff") for lang in langs.dictionary]
             roots = np.array(known, np.int64)[langs.indices.to_numpy()] if known else np.empty(0, np.int64)
             before = _int32(batch["ids"]) if "ids" in batch.schema.names else None
-            for low, high in groups(offsets):
+            for low, high in groups(offsets, 4 * STEP):
                 base = offsets[low]
                 ids, cuts = _numbers_of(
                     shard, roots[low:high], data[base : offsets[high]], offsets[low : high + 1] - base
@@ -193,9 +193,11 @@ def _numbered(trie, last: bool):
     return run
 
 
-def _open_places(marks: np.ndarray) -> np.ndarray:
+def _open_places(marks: np.ndarray) -> Iterator[np.ndarray]:
     """Where a frequent phrase of the level before begins, and at the next word another one."""
-    return np.flatnonzero((marks[:-1] > 0) & (marks[1:] > 0))
+    for low in range(0, len(marks) - 1, STEP):
+        part = marks[low : low + STEP + 1] > 0
+        yield np.flatnonzero(part[:-1] & part[1:]) + low
 
 
 def _identity(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -203,61 +205,57 @@ def _identity(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (marks[at].astype(np.uint64) << np.uint64(32)) | marks[at + 1].astype(np.uint64)
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = np.zeros(BUCKETS, np.uint8)
-    for batch in batches:
-        marks, _ = _int32(batch["marks"])
-        bucket = mix(_identity(marks, _open_places(marks))) & np.uint64(BUCKETS - 1)
-        found, n = np.unique(bucket.astype(np.int64), return_counts=True)
-        table[found] = np.minimum(n + table[found], 255)
-    chunks = table.reshape(-1, CHUNK)
-    used = np.flatnonzero(chunks.any(axis=1))
-    rows = pa.array([chunks[k].tobytes() for k in used], pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), rows], ["chunk", "counts"])
+def _bucket(identity: np.ndarray) -> np.ndarray:
+    return (mix(identity) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def _summed_buckets(least: int):
-    """Bit maps of the buckets that reach ``least``. Rows of a chunk stand together."""
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets of a task's phrases and how many each got."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, total = None, None
+    def rows() -> pa.RecordBatch:
+        every = np.concatenate([b for b, _ in held]) if held else np.empty(0, np.int64)
+        found, which = np.unique(every, return_inverse=True)
+        weights = np.concatenate([n for _, n in held]) if held else np.empty(0, np.int64)
+        sums = np.bincount(which, weights, len(found)).astype(np.int64)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums)], ["bucket", "n"])
 
-        def row():
-            bits = np.packbits(total >= min(least, 255)).tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([bits], pa.binary())], ["chunk", "bits"])
+    for batch in batches:
+        marks, _ = _int32(batch["marks"])
+        for at in _open_places(marks):
+            held.append(np.unique(_bucket(_identity(marks, at)), return_counts=True))
+            if sum(len(b) for b, _ in held) > 5 * MOST_HELD:
+                yield rows()
+    yield rows()
 
-        for batch in batches:
-            for number, counts in zip(batch["chunk"].to_pylist(), batch["counts"]):
-                counts = np.frombuffer(counts.as_py(), np.uint8).astype(np.int32)
-                if number != chunk:
-                    if chunk is not None:
-                        yield row()
-                    chunk, total = number, counts
-                else:
-                    total = np.minimum(total + counts, 255)
-        if chunk is not None:
-            yield row()
 
-    return run
+def _candidates(size: int, open_buckets):
+    """Distinct phrases of the buckets of one shard, of as many places as a task can hold."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = open_buckets.value
+        names, phrases = np.empty(0, np.uint64), np.empty((0, size), np.int32)
 
-def _candidates(size: int, frequent):
-    """Distinct phrases of each batch whose bucket is frequent."""
+        def rows() -> pa.RecordBatch:
+            ends = pa.array(np.arange(len(phrases) + 1, dtype=np.int32) * size)
+            lists = pa.ListArray.from_arrays(ends, pa.array(phrases.ravel(), pa.int32()))
+            return pa.RecordBatch.from_arrays([lists], ["ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = _int32(batch["ids"])[0], _int32(batch["marks"])[0]
-            at = _open_places(marks)
-            who = _identity(marks, at)
-            bucket = (mix(who) & np.uint64(BUCKETS - 1)).astype(np.int64)
-            bits = frequent.value[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)
-            keep = (bits & 1).astype(bool)
-            _, first = np.unique(who[keep], return_index=True)
-            at = at[keep][first]
-            flat = ids[at[:, None] + np.arange(size)].ravel()
-            ends = pa.array(np.arange(len(at) + 1, dtype=np.int32) * size)
-            lists = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([lists], ["ids"])
+            for at in _open_places(marks):
+                who, first = np.unique(_identity(marks, at), return_index=True)
+                bucket = _bucket(who)
+                place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
+                keep = buckets[place] == bucket
+                new = ids[at[first[keep]][:, None] + np.arange(size)]
+                names, first = np.unique(np.concatenate([names, who[keep]]), return_index=True)
+                phrases = np.concatenate([phrases, new])[first]
+                if len(names) > MOST_HELD:
+                    yield rows()
+                    names, phrases = names[:0], phrases[:0]
+        yield rows()
 
     return run
 
@@ -269,31 +267,35 @@ def _accepted(size: int, width: int, low: int, trie):
         shard, counts = trie.value, np.zeros(MOST_KEYS + 1, np.int64)
         for batch in batches:
             ids, marks = _int32(batch["ids"])[0], _int32(batch["marks"])[0]
-            found = shard.sequences(ids, _open_places(marks), size, width)
-            found = found[found > 0] - low
-            part = np.bincount(found)
-            counts[: len(part)] += part
+            for at in _open_places(marks):
+                found = shard.sequences(ids, at, size, width)
+                part = np.bincount(found[found > 0] - low)
+                counts[: len(part)] += part
         hit = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(hit + low), pa.array(counts[hit])], ["no", "n"])
 
     return run
 
 
-def _marked(size: int, width: int, trie):
-    """Marks the places where a frequent phrase of this level begins; ``next`` is added to."""
+def _marked(size: int, width: int, trie, last: bool):
+    """Marks the places where a frequent phrase of this level begins, shard by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = trie.value
         for batch in batches:
             (ids, cuts), marks = _int32(batch["ids"]), _int32(batch["marks"])[0]
-            at = _open_places(marks)
             more = np.zeros(len(ids), np.int32)
             if "more" in batch.schema.names:
                 more = _int32(batch["more"])[0].copy()
-            found = shard.sequences(ids, at, size, width)
-            more[at[found > 0]] = found[found > 0]
-            arrays = [batch["ids"], batch["marks"], _binary(more, cuts)]
-            yield pa.RecordBatch.from_arrays(arrays, ["ids", "marks", "more"])
+            for at in _open_places(marks):
+                found = shard.sequences(ids, at, size, width)
+                more[at[found > 0]] = found[found > 0]
+            if last:
+                arrays = [batch["ids"], _binary(more, cuts)]
+                yield pa.RecordBatch.from_arrays(arrays, ["ids", "marks"])
+            else:
+                arrays = [batch["ids"], batch["marks"], _binary(more, cuts)]
+                yield pa.RecordBatch.from_arrays(arrays, ["ids", "marks", "more"])
 
     return run
 
@@ -328,27 +330,28 @@ def _encoded(texts: DataFrame, words: DataFrame, size: int) -> DataFrame:
 def _frequent(texts: DataFrame, size: int, width: int, least: int) -> DataFrame:
     """``ids, no, n`` of the phrases of ``size`` words that occur ``least`` times."""
     context = texts.sparkSession.sparkContext
-    sums = (
-        texts.mapInArrow(_buckets, "chunk int, counts binary")
-        .repartition("chunk")
-        .sortWithinPartitions("chunk")
-        .mapInArrow(_summed_buckets(least), "chunk int, bits binary")
-    )
-    bits = np.zeros((BUCKETS // CHUNK, CHUNK // 8), np.uint8)  # of a fixed size
-    for row in sums.collect():
-        bits[row.chunk] = np.frombuffer(row.bits, np.uint8)
-    open_buckets = context.broadcast(bits.ravel())
-    candidates = texts.mapInArrow(_candidates(size, open_buckets), "ids array<int>").distinct()
+    counted = texts.mapInArrow(_buckets, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = counted.filter(F.col("n") >= least).select("bucket")
+    buckets = ordered(counted, [F.col("bucket")], "buckets", place="no").withColumn("no", F.col("no") + 1)
+    parts = []
+    for shard in _shards(buckets, buckets.count()):
+        open_buckets = context.broadcast(np.sort(shard.toArrow()["bucket"].to_numpy()))
+        rows = texts.mapInArrow(_candidates(size, open_buckets), "ids array<int>")
+        parts.append(stored(rows.distinct(), "candidates"))
+        open_buckets.destroy()
+    if not parts:
+        return texts.sparkSession.createDataFrame([], "ids array<int>, n bigint, no bigint")
+    candidates = parts[0]
+    for part in parts[1:]:
+        candidates = candidates.unionByName(part)
     table = ordered(candidates, [F.col("ids")], "candidates", place="no").withColumn("no", F.col("no") + 1)
-    open_buckets.destroy()
+    discard(buckets, *parts)
 
     def count(trie, k: int) -> DataFrame:
         rows = texts.mapInArrow(_accepted(size, width, k * MOST_KEYS, trie), "no bigint, n bigint")
         return stored(rows.groupBy("no").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "accepted")
 
     counts = list(_passes(texts, table, table.count(), width, count))
-    if not counts:
-        return table.withColumn("n", F.lit(0).cast("bigint")).limit(0)
     accepted = counts[0]
     for more in counts[1:]:
         accepted = accepted.unionByName(more)
@@ -360,17 +363,19 @@ def _frequent(texts: DataFrame, size: int, width: int, least: int) -> DataFrame:
 
 
 def _next_marks(texts: DataFrame, phrases: DataFrame, total: int, size: int, width: int) -> DataFrame:
+    shards = -(-total // MOST_KEYS)
     state = texts
 
     def mark(trie, k: int) -> DataFrame:
-        rows = state.mapInArrow(_marked(size, width, trie), _ENCODED + ", more binary")
-        return stored(rows, "marked")
+        last = k == shards - 1
+        schema = _ENCODED if last else _ENCODED + ", more binary"
+        return stored(state.mapInArrow(_marked(size, width, trie, last), schema), "marked")
 
     for k, result in enumerate(_passes(texts, phrases, total, width, mark)):
         if k:
             discard(state)
         state = result
-    return state.select("ids", F.col("more").alias("marks"))
+    return state
 
 
 def collocations(
