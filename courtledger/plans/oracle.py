@@ -334,6 +334,13 @@ ORACLE = {
            FROM fx_players""",
     ),
     "sink_roundtrip": _with("tm", "SELECT * FROM tm"),
+    "table_status": _with(
+        "tp tr ts",
+        """SELECT 'dim_players' AS table_name, 'ok' AS status, count(*) AS row_count FROM tp
+           UNION ALL SELECT 'fact_rankings', 'ok', count(*) FROM tr
+           UNION ALL SELECT 'scratch_stats', 'unmanaged', count(*) FROM ts
+           UNION ALL SELECT unnest(['dim_tournaments', 'fact_matches', 'fact_match_stats']), 'not found', NULL""",
+    ),
     "stage_metrics": _with(
         "fx_rankings dr tr",
         """SELECT 'read' AS stage, count(*) AS row_count FROM fx_rankings

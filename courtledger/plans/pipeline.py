@@ -24,7 +24,7 @@ from courtledger.operators.rankings import (
     rejected_rankings,
     sequence_rankings,
 )
-from courtledger.schemas import CSV_SCHEMAS, SOURCE_LABELS
+from courtledger.schemas import CSV_SCHEMAS, SOURCE_LABELS, TABLES
 from courtledger.session import stored
 from courtledger.sources import land, read_bronze, scan_csv
 from courtledger.sources.csv import CORRUPT
@@ -118,11 +118,17 @@ def run_transform(
     dt: str | None = None,
     loaded_at: datetime | None = None,
 ) -> dict[str, LoadReport]:
-    """Rebuilds the five tables from the newest landing of every file up to a date."""
+    """Rebuilds the five tables from the newest landing of every file up to a date.
+
+    A first run makes the tables. Later on a table that is missing is an error, not made anew.
+    """
     spark = warehouse.spark
     now = loaded_at or datetime.now(timezone.utc)
     day = resolve_processing_date(dt, landing_events(spark, bronze), now.date())
-    warehouse.create()
+    if any(warehouse.exists(name) for name in TABLES):
+        run_preflight(warehouse)
+    else:
+        warehouse.create()
     loader = Loader(warehouse, now)
     matches = read_bronze(spark, bronze, "matches", day)
 

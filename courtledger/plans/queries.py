@@ -164,7 +164,7 @@ def table_status(inp: Inputs):
     inp.stats.write.option("path", f"{warehouse.path}/scratch").saveAsTable(
         f"`{warehouse.database}`.`scratch_stats`"
     )
-    return warehouse.status()
+    return warehouse.status().select("table_name", "status", "row_count")
 
 
 def stage_metrics(inp: Inputs):

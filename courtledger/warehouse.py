@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtledger.schemas import TABLES, TableSpec
+from courtledger.snapshots import SnapshotTable
 
 _METADATA_SCHEMA = "table_id string, row_count bigint, size_bytes bigint, last_modified_time bigint"
 
@@ -32,7 +32,11 @@ def clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 class Warehouse:
-    """A database of parquet tables below one shared path."""
+    """The five tables below one shared path, and a database with a view of each.
+
+    The path is the truth: a table is what its newest commit says, whether or not a catalog
+    knows of it. The views are for SQL users and follow each commit.
+    """
 
     def __init__(self, spark: SparkSession, database: str, path: str):
         self.spark = spark
@@ -42,43 +46,30 @@ class Warehouse:
     def _name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
-    def create(self, tables: list[str] | None = None) -> None:
-        """Database and tables where they do not exist. Stored partitions are picked up."""
+    def snapshots(self, name: str) -> SnapshotTable:
+        spec = TABLES[name]
+        return SnapshotTable(self.spark, f"{self.path}/{name}", spec.stored, spec.year_column)
+
+    def _register(self, name: str) -> None:
+        table = self.snapshots(name)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.path}'")
-        for spec in TABLES.values():
-            wanted = tables is None or spec.name in tables
-            if not wanted or self.exists(spec.name):
-                continue
-            location = f"{self.path}/{spec.name}"
-            empty = self.spark.createDataFrame([], spec.stored).write.mode("ignore")
-            columns = ", ".join(
-                f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored.fields
-            )
-            create = f"CREATE TABLE IF NOT EXISTS {self._name(spec.name)} ({columns}) USING parquet"
-            if spec.year_of:
-                empty.partitionBy(spec.year_column).parquet(location)
-                self.spark.sql(
-                    f"{create} PARTITIONED BY (`{spec.year_column}`) LOCATION '{location}'"
-                )
-                self.spark.sql(f"ALTER TABLE {self._name(spec.name)} RECOVER PARTITIONS")
-            else:
-                empty.parquet(location)
-                self.spark.sql(f"{create} LOCATION '{location}'")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self._name(name)} AS {table.select_sql(table.current())}")
+
+    def create(self, tables: list[str] | None = None) -> None:
+        """Database and tables where they do not exist."""
+        for name in tables if tables is not None else TABLES:
+            if not self.exists(name):
+                self.snapshots(name).commit(None, {})
+            self._register(name)
 
     def attach(self) -> None:
         """Registers the tables found below the path, for sessions without a metastore."""
-        found = []
-        for spec in TABLES.values():
-            try:
-                self.spark.read.schema(spec.stored).parquet(f"{self.path}/{spec.name}")
-                found.append(spec.name)
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        self.create(found)
+        for name in TABLES:
+            if self.exists(name):
+                self._register(name)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(self._name(name))
+        return self.snapshots(name).read()
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
@@ -86,23 +77,20 @@ class Warehouse:
     def write(self, name: str, df: DataFrame, replace_all: bool = True) -> Observation:
         """Replaces a table, or with ``replace_all=False`` only the years present in ``df``.
 
-        Returns the row count ``n``, observed during the write. It is taken after the
-        range exchange, whose sampling reads everything before it a second time.
+        The new rows are staged beside the old ones and become the table in one step; a failure
+        before that leaves the table as it was. Returns the row count ``n``, observed during the
+        write. It is taken after the range exchange, whose sampling reads everything before it a
+        second time.
         """
-        spec = TABLES[name]
-        self.create([name])
+        spec, table = TABLES[name], self.snapshots(name)
         written = Observation()
+        base = table.current()
         rows = clustered(conform(df, spec), spec).observe(written, F.count(F.lit(1)).alias("n"))
-        writer = rows.write.mode("overwrite")
-        if replace_all or not spec.year_of:
-            writer.insertInto(self._name(name))
-        else:
-            # Dynamic overwrite per write exists for paths only; the catalog follows.
-            writer.option("partitionOverwriteMode", "dynamic").partitionBy(
-                spec.year_column
-            ).parquet(f"{self.path}/{name}")
-            self.spark.sql(f"ALTER TABLE {self._name(name)} RECOVER PARTITIONS")
-            self.spark.catalog.refreshTable(self._name(name))
+        parts = table.stage(rows)
+        if base and spec.year_of and not replace_all:
+            parts = base.parts | parts
+        table.commit(base, parts)
+        self._register(name)
         return written
 
     def publish(self, name: str, fmt: str, mode: str = "overwrite", **options: str) -> None:
@@ -110,25 +98,34 @@ class Warehouse:
         self.table(name).write.format(fmt).options(**options).mode(mode).save()
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(self._name(name))
+        return self.snapshots(name).current() is not None
 
     def preflight(self) -> DataFrame:
         """Expected tables and whether each is present."""
-        present = {}
-        if self.spark.catalog.databaseExists(self.database):
-            present = {t.name for t in self.spark.catalog.listTables(self.database)}
-        rows = [(name, name in present) for name in TABLES]
+        rows = [(name, self.exists(name)) for name in TABLES]
         return self.spark.createDataFrame(rows, "table_name string, present boolean")
 
-    def metadata(self, names: list[str] | None = None) -> DataFrame:
+    def metadata(self) -> DataFrame:
         """Rows, bytes and modification time (epoch milliseconds) of existing tables.
 
-        Taken from the files: no data column is read, and counts are combined per file.
+        All of it was recorded by the commits; no file is opened.
         """
+        rows = []
+        for name in TABLES:
+            commit = self.snapshots(name).current()
+            if commit:
+                rows.append((name, commit.rows, commit.bytes, commit.at))
+        return self.spark.createDataFrame(rows, _METADATA_SCHEMA)
+
+    def _unmanaged(self) -> DataFrame:
+        """The same of other tables of the database, from their files."""
         result = self.spark.createDataFrame([], _METADATA_SCHEMA)
-        for name in names if names is not None else [t for t in TABLES if self.exists(t)]:
+        if not self.spark.catalog.databaseExists(self.database):
+            return result
+        others = self.spark.catalog.listTables(self.database)
+        for name in sorted(t.name for t in others if not t.isTemporary and t.name not in TABLES):
             files = (
-                self.table(name)
+                self.spark.table(self._name(name))
                 .select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
                 .groupBy("file_path", "file_size", "file_modification_time")
                 .agg(F.count("*").alias("n"))
@@ -144,13 +141,13 @@ class Warehouse:
 
     def status(self) -> DataFrame:
         """Every managed table, found or not, and tables of the database that are not managed."""
-        found = [t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary]
         expected = self.spark.createDataFrame([(n,) for n in TABLES], "table_id string").withColumn(
             "managed", F.lit(True)
         )
         known = F.coalesce("managed", F.lit(False))
         return (
-            self.metadata(found)
+            self.metadata()
+            .unionByName(self._unmanaged())
             .withColumn("found", F.lit(True))
             .join(expected, "table_id", "full")
             .select(

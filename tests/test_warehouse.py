@@ -233,6 +233,13 @@ def test_run_from_files_to_validated_tables(spark, warehouse, tmp_path):
     # nothing changed: nothing runs
     assert run_all(spark, str(root), bronze, warehouse, DAY) is None
 
+    # a table that was lost is no reason to make an empty one
+    files, lost = warehouse.snapshots("fact_rankings").files, f"{warehouse.path}/fact_rankings"
+    assert files.rename(lost, f"{lost}-kept")
+    with pytest.raises(monitoring.ValidationError, match="missing tables: fact_rankings"):
+        run_transform(bronze, warehouse)
+    assert files.rename(f"{lost}-kept", lost)
+
     # one changed file: the other files' rows stay in the tables
     (root / "atp_rankings_20s.csv").write_text("ranking_date,rank,player,points\n20230101,1,1,10\n20230101,1,1,10\n")
     reports = run_all(spark, str(root), bronze, warehouse, date(2025, 2, 8))
