@@ -16,7 +16,6 @@ from courtledger.functions import percent, ratio, score_residue
 from courtledger.session import stored
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-BINS = 65536
 
 
 def _columns_of(df: DataFrame, kind: type) -> list[str]:
@@ -98,70 +97,60 @@ def describe_categorical(df: DataFrame, columns: Sequence[str] | None = None) ->
     )
 
 
-def _counted_before(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Adds ``before`` and ``upto``: rows in lower-ordered entries of the same key, and with own."""
-    window = (
-        Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return df.withColumn("upto", F.sum("n").over(window)).withColumn(
-        "before", F.col("upto") - F.col("n")
-    )
+def ranged_histogram(histogram: DataFrame) -> DataFrame:
+    """The histogram in order of column and value over tasks, stored with the task's number.
+
+    Ranges follow the values there are, not their distances: a column whose values lie close
+    together but for one far away, or infinite, is spread over as many tasks as any other.
+    """
+    order = ["column_name", "value"]
+    ranged = histogram.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(ranged.withColumn("task_no", F.spark_partition_id()), "ranged")
+
 
+def _interpolated(low: Column, high: Column, fraction: Column) -> Column:
+    # Written so that an infinity on one side only counts where it has weight.
+    return F.when((fraction == 0) | (low == high), low).otherwise(low + (high - low) * fraction)
 
-def exact_quantiles(histogram: DataFrame, summary: DataFrame, wanted: dict[str, float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles of each column of a histogram.
 
-    A quantile lies between two positions of the sorted column. Each column is cut
-    into 65536 equal bins; bin totals locate the bin of a position, and only that
-    bin's values are sorted. For 32-bit integers a bin has at most 65536 distinct
-    values, whatever the number of rows, so no task sorts a whole column.
+def order_statistics(ranged: DataFrame, totals: DataFrame, wanted: dict[str, float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles of each column of a ranged histogram.
 
-    ``summary`` has one row per column: ``column_name, count, min, max``.
+    ``totals``: ``column_name, task_no, count``, the rows behind the values of a column in a
+    task. Added up over the tasks before, they say which task holds a position of the sorted
+    column; only there values are counted one after the other, and the one at the position is
+    picked. Positions are whole numbers, and so are all sums.
     """
-    span = F.col("max") - F.col("min")
-    in_span = F.when(span > 0, F.floor((F.col("value") - F.col("min")) / span * BINS)).otherwise(0)
-    binned = histogram.join(F.broadcast(summary.select("column_name", "min", "max")), "column_name").select(
-        "column_name", "value", "n", F.least(in_span, F.lit(BINS - 1)).cast("int").alias("bin")
-    )
-    exact = [(name, (F.col("count") - 1) * q) for name, q in wanted.items()]
-    positions = summary.select(
-        "column_name",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("quantile"),
-                        F.lit(end).alias("end"),
-                        cut(at).cast("bigint").alias("position"),
-                        (at - F.floor(at)).alias("fraction"),
-                    )
-                    for name, at in exact
-                    for end, cut in [("low", F.floor), ("high", F.ceil)]
-                ]
+    before = Window.partitionBy("column_name").orderBy("task_no").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each column and task that has some of it.
+    tasks = totals.withColumn("earlier", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    counts = totals.groupBy("column_name").agg(F.sum("count").alias("total"))
+    ends = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("quantile"),
+                F.lit(end).alias("end"),
+                cut((F.col("total") - 1) * q).cast("bigint").alias("position"),
+                ((F.col("total") - 1) * q - F.floor((F.col("total") - 1) * q)).alias("fraction"),
             )
-        ),
-    )
-    holds = (F.col("before") <= F.col("position")) & (F.col("position") < F.col("upto"))
-    bins = _counted_before(
-        binned.groupBy("column_name", "bin").agg(F.sum("n").alias("n")), ["column_name"], "bin"
+            for name, q in wanted.items()
+            for end, cut in [("low", F.floor), ("high", F.ceil)]
+        ]
     )
-    # Two rows per column and quantile from here on.
+    inside = (F.col("earlier") <= F.col("position")) & (F.col("position") < F.col("earlier") + F.col("count"))
     located = (
-        bins.join(F.broadcast(positions), "column_name")
-        .filter(holds)
+        tasks.join(counts.select("column_name", F.inline(ends)), "column_name")
+        .filter(inside)
         .select(
-            "column_name",
-            "bin",
-            "quantile",
-            "end",
-            "fraction",
-            (F.col("position") - F.col("before")).alias("position"),
+            "column_name", "task_no", "quantile", "end", "fraction", (F.col("position") - F.col("earlier")).alias("position")
         )
     )
-    wanted_bins = F.broadcast(located.select("column_name", "bin").distinct())
-    values = _counted_before(
-        binned.join(wanted_bins, ["column_name", "bin"], "left_semi"), ["column_name", "bin"], "value"
-    )
+    place = ["column_name", "task_no"]
+    # Two rows for each column and quantile at most, so both are broadcast.
+    asked = F.broadcast(located.select(*place).distinct())
+    running = Window.partitionBy(*place).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = ranged.join(asked, place, "left_semi").withColumn("upto", F.sum("n").over(running))
+    holds = (F.col("upto") - F.col("n") <= F.col("position")) & (F.col("position") < F.col("upto"))
 
     def at_end(name: str, end: str) -> Column:
         return F.max(F.when((F.col("quantile") == name) & (F.col("end") == end), F.col("value")))
@@ -169,42 +158,47 @@ def exact_quantiles(histogram: DataFrame, summary: DataFrame, wanted: dict[str,
     def fraction(name: str) -> Column:
         return F.max(F.when(F.col("quantile") == name, F.col("fraction")))
 
-    return (
-        values.join(F.broadcast(located), ["column_name", "bin"])
-        .filter(holds)
-        .groupBy("column_name")
-        .agg(
-            *[
-                (at_end(n, "low") + (at_end(n, "high") - at_end(n, "low")) * fraction(n)).alias(n)
-                for n in wanted
-            ]
-        )
+    picked = values.join(F.broadcast(located), place).filter(holds)
+    return picked.groupBy("column_name").agg(
+        *[_interpolated(at_end(n, "low"), at_end(n, "high"), fraction(n)).alias(n) for n in wanted]
     )
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample standard deviation, minimum, quartiles and maximum.
 
-    The table is read once, for the counts per distinct value; these are stored, and
-    everything else is computed from them.
+    The table is read once, for the counts per distinct value. Those are sorted over tasks and
+    stored, and read three times: for sums per task, for the spread around the mean, and, in the
+    tasks that hold a quartile, for its value. Infinities are values like any other; NaN and NULL
+    are none. The mean of a column with infinities is infinite or NaN, and its deviation NaN.
     """
     columns = columns or _columns_of(df, T.NumericType)
-    histogram = stored(value_histogram(df, columns, "double"), "histogram")
-    summary = histogram.groupBy("column_name").agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    ranged = ranged_histogram(value_histogram(df, columns, "double"))
+    # One row for each column and task that has some of it.
+    totals = stored(
+        ranged.groupBy("column_name", "task_no").agg(
+            F.sum("n").alias("count"),
+            F.sum(F.col("value") * F.col("n")).alias("sum"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        ),
+        "totals",
+    )
+    summary = totals.groupBy("column_name").agg(
+        F.sum("count").alias("count"),
+        (F.sum("sum") / F.sum("count")).alias("mean"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
     )
     # One row per column.
     spread = (
-        histogram.join(F.broadcast(summary), "column_name")
+        ranged.join(F.broadcast(summary.select("column_name", "mean")), "column_name")
         .groupBy("column_name")
         .agg(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)).alias("squares"))
     )
     return (
         summary.join(spread, "column_name")
-        .join(exact_quantiles(histogram, summary, QUARTILES), "column_name")
+        .join(order_statistics(ranged, totals, QUARTILES), "column_name")
         .select(
             "column_name",
             "count",

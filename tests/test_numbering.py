@@ -1,5 +1,6 @@
 """Row numbers of hot groups and exact quantiles, against plain windows and numpy."""
 
+import math
 import numpy as np
 import pandas as pd
 import pytest
@@ -99,3 +100,49 @@ def test_quartiles_interpolate(spark):
     df = spark.createDataFrame([(v,) for v in [1, 2, 3, 4]], "v int")
     row = profile.describe_numeric(df).first()
     assert (row.p25, row.p50, row.p75) == (1.75, 2.5, 3.25)
+
+
+@pytest.mark.parametrize("far", [1e30, float("inf"), float("-inf"), 0.0])
+def test_one_value_far_away_does_not_gather_the_others(spark, far):
+    """The histogram is spread by rank, so an outlier leaves no task with all other values."""
+    close = spark.range(40_000).select((F.col("id") % 30_011 / 1e6).alias("v"))
+    df = close.unionByName(spark.range(1).select(F.lit(far).alias("v")))
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "false")  # so small a table would be one task again
+    try:
+        ranged = profile.ranged_histogram(profile.value_histogram(df, ["v"], "double"))
+        shares = [r.n for r in ranged.groupBy("task_no").agg(F.count("*").alias("n")).collect()]
+        assert len(shares) >= 6 and max(shares) < 0.3 * sum(shares)
+        found = profile.describe_numeric(df).first()
+    finally:
+        spark.conf.set(conf, before)
+    column = pd.Series([k % 30_011 / 1e6 for k in range(40_000)] + [far])
+    assert [found.p25, found.p50, found.p75] == pytest.approx([column.quantile(q) for q in (0.25, 0.5, 0.75)])
+    assert (found["count"], found.min, found.max) == (40_001, column.min(), column.max())
+
+
+def test_quartiles_at_the_edge_of_infinity(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v, 1.0, None) for v in [-inf, 1.0, 2.0, inf, inf]], "v double, w double, x double")
+    found = {r.column_name: r for r in profile.describe_numeric(df).collect()}
+    assert (found["v"].p25, found["v"].p50, found["v"].p75, found["v"].max) == (1.0, 2.0, inf, inf)
+    assert math.isnan(found["v"]["mean"]) and math.isnan(found["v"]["std"])
+    assert (found["w"].p25, found["w"].std) == (1.0, 0.0) and "x" not in found
+
+
+def test_columns_of_many_tasks_and_heavy_values(spark):
+    """A value that holds most of a column, beside columns of few and of many values."""
+    rng = np.random.default_rng(2)
+    frame = pd.DataFrame(
+        {
+            "hot": np.where(rng.random(5000) < 0.7, 3.0, rng.normal(0, 1, 5000)),
+            "few": rng.integers(0, 3, 5000).astype(float),
+            "many": rng.normal(0, 1e9, 5000),
+        }
+    )
+    found = {r.column_name: r for r in profile.describe_numeric(spark.createDataFrame(frame)).collect()}
+    for name in frame:
+        for label, q in [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]:
+            assert found[name][label] == pytest.approx(frame[name].quantile(q))
+        assert found[name].std == pytest.approx(frame[name].std())
