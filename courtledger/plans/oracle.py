@@ -375,11 +375,21 @@ ORACLE = {
         WHERE rn = 1""",
     "land_changed": _with(
         "fx_players fx_matches fx_rankings",
-        """SELECT DATE '2025-02-01' AS dt, count(DISTINCT file) AS file_count, count(*) AS landed_rows
-           FROM (SELECT 'players' AS file FROM fx_players
-                 UNION ALL SELECT 'matches ' || CASE WHEN tourney_date = 'n/a' THEN '1990'
-                                                ELSE left(tourney_date, 4) END FROM fx_matches
-                 UNION ALL SELECT 'rankings ' || substr(ranking_date, 3, 1) FROM fx_rankings)""",
+        """, files AS (
+             SELECT 'players/file=atp_players.csv' AS path, count(*) AS n, 0 AS even FROM fx_players
+             UNION ALL SELECT 'matches/file=atp_matches_' || CASE WHEN tourney_date = 'n/a' THEN '1990'
+               ELSE left(tourney_date, 4) END || '.csv' AS file, count(*), count(*) FILTER (WHERE match_num % 2 = 0)
+               FROM fx_matches GROUP BY file
+             UNION ALL SELECT 'rankings/file=atp_rankings_' || substr(ranking_date, 3, 1) || '0s.csv' AS file, count(*), 0
+               FROM fx_rankings GROUP BY file),
+           second AS (
+             SELECT path, CASE WHEN path LIKE '%_1996.csv' OR path LIKE '%_1997.csv' THEN DATE '2025-02-08'
+                 ELSE DATE '2025-02-01' END AS dt,
+               CASE WHEN path LIKE '%_1996.csv' THEN even WHEN path LIKE '%_1997.csv' THEN 0 ELSE n END AS row_count FROM files
+             UNION ALL SELECT 'matches/file=atp_matches_2030.csv', DATE '2025-02-08', n FROM files WHERE path LIKE '%_1999.csv')
+           SELECT 1 AS landing, path, DATE '2025-02-01' AS dt, n AS row_count, count(*) OVER () AS changed_files,
+             CAST(0 AS BIGINT) AS removed_files FROM files
+           UNION ALL SELECT 2, path, dt, row_count, CAST(3 AS BIGINT), CAST(1 AS BIGINT) FROM second""",
     ),
     "clean_strings": _with("cp", "SELECT * FROM cp"),
     "audit_columns": _with(

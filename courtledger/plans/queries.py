@@ -34,7 +34,7 @@ from courtledger.schemas import (
     TABLES,
 )
 from courtledger.session import scratch_path, stored
-from courtledger.sources import fingerprint, land, read_bronze, scan_csv
+from courtledger.sources import fingerprint, land, landed_counts, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.warehouse import Warehouse
 
@@ -43,6 +43,7 @@ HEALTH_AS_OF = datetime(2024, 1, 30, 23, 59, 59)
 POSTLOAD_AS_OF = datetime(2024, 1, 30, 1, 30, 0)
 BRONZE_AS_OF = date(2025, 1, 20)
 LANDING_DATE = date(2025, 2, 1)
+SECOND_LANDING = date(2025, 2, 8)
 
 
 class Inputs:
@@ -180,37 +181,57 @@ def stage_metrics(inp: Inputs):
     return inp.spark.createDataFrame(rows, "stage string, row_count bigint")
 
 
+def _source_files(inp: Inputs) -> dict[str, DataFrame]:
+    """The derived inputs with the source file of each row: one per year, decade and table."""
+    year = F.when(F.col("tourney_date") == "n/a", "1990").otherwise(F.substring("tourney_date", 1, 4))
+    decade = F.substring("ranking_date", 3, 1)
+    return {
+        "players": inp.raw_players.withColumn("file", F.lit("atp_players.csv")),
+        "matches": inp.raw_matches.withColumn(
+            "file", F.concat(F.lit("atp_matches_"), year, F.lit(".csv"))
+        ),
+        "rankings": inp.raw_rankings.withColumn(
+            "file", F.concat(F.lit("atp_rankings_"), decade, F.lit("0s.csv"))
+        ),
+    }
+
+
 def land_changed(inp: Inputs):
-    """Lands the derived inputs as source files, one per year, decade and table.
+    """Two landings of the derived inputs, and what each left as the current rows of every file.
 
-    The landing event, and the rows found in the bronze partitions afterwards.
+    Before the second one the matches of 1996 are edited, those of 1997 emptied, those of 1998
+    removed, and those of 1999 copied to a new file; all other files stay as they are.
     """
     spark = inp.spark
-    root, bronze = scratch_path(spark, "source"), scratch_path(spark, "bronze")
-    named = {
-        "players": (inp.raw_players, F.lit("atp_players.csv")),
-        "matches": (
-            inp.raw_matches,
-            F.concat(
-                F.lit("atp_matches_"),
-                F.when(F.col("tourney_date") == "n/a", "1990").otherwise(
-                    F.substring("tourney_date", 1, 4)
-                ),
-                F.lit(".csv"),
-            ),
-        ),
-        "rankings": (
-            inp.raw_rankings,
-            F.concat(F.lit("atp_rankings_"), F.substring("ranking_date", 3, 1), F.lit("0s.csv")),
-        ),
-    }
-    for kind, (df, file_name) in named.items():
-        _write_csv(
-            df.withColumn("file", file_name), CSV_SCHEMAS[kind], f"{root}/{kind}", by="file"
+    first, second, bronze = (scratch_path(spark, label) for label in ("source", "source", "bronze"))
+    sources = {kind: stored(df, f"source-{kind}") for kind, df in _source_files(inp).items()}
+    matches, file = sources["matches"], F.col("file")
+    name = "atp_matches_{}.csv".format
+    edited = matches.filter(
+        ~file.isin(name(1997), name(1998)) & ((file != name(1996)) | (F.col("match_num") % 2 == 0))
+    )
+    copied = matches.filter(file == name(1999)).withColumn("file", F.lit(name(2030)))
+    later = {**sources, "matches": edited.unionByName(copied)}
+    for root, tables in ((first, sources), (second, later)):
+        for kind, df in tables.items():
+            _write_csv(df, CSV_SCHEMAS[kind], f"{root}/{kind}", by="file")
+    emptied = spark.createDataFrame([], MATCHES_CSV).coalesce(1)
+    _write_csv(emptied, MATCHES_CSV, f"{second}/matches/file={name(1997)}")
+    landings = []
+    for number, (root, day) in enumerate([(first, LANDING_DATE), (second, SECOND_LANDING)], 1):
+        landed = land(spark, root, bronze, day)
+        counts = stored(landed_counts(spark, bronze, day), "landed")
+        landings.append(
+            counts.select(
+                F.lit(number).alias("landing"),
+                "path",
+                "dt",
+                "row_count",
+                F.lit(landed.count).cast("bigint").alias("changed_files"),
+                F.lit(landed.removed).cast("bigint").alias("removed_files"),
+            )
         )
-    event = land(spark, root, bronze, LANDING_DATE).summary(spark)
-    landed = sum(read_bronze(spark, bronze, kind).count() for kind in named)
-    return event.select("dt", "file_count", F.lit(landed).cast("bigint").alias("landed_rows"))
+    return landings[0].unionByName(landings[1])
 
 
 def _document_paths(inp: Inputs):

@@ -2,20 +2,23 @@
 
 A source file is a CSV file, or a folder of part files carrying its name. Files are
 compared by content. Changed ones are parsed once and stored as typed parquet under
-``bronze/<kind>/dt=<date>/landing=<id>/path=<file>``, malformed text included; later steps
-read pruned columns from there instead of parsing text again. A landing has an id of its own
-and never touches rows landed before. The manifest log names the current landing of each file
-and is written last: until then readers see the landing before, and a file whose landing was
-cut off stays "changed".
+``bronze/<kind>/dt=<date>/landing=<id>``, malformed text included, with the source file of each
+row in the column ``path``; later steps read pruned columns from there instead of parsing text
+again. Files of the store are of about equal size, whether the sources are few and large or many
+and small. A landing has an id of its own and never touches rows landed before. The manifest log
+says which landing of each file is current and is written last: until then readers see the
+landing before, and a file whose landing was cut off stays "changed".
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import batched
 from datetime import date, datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +38,9 @@ _MANIFEST_SCHEMA = (
     "path string, dt date, landed_at timestamp, landing string, sha256 string, size bigint, "
     "kind string"
 )
-EVENT_SCHEMA = "dt date, prefix string, file_count bigint"
+EVENT_SCHEMA = "dt date, prefix string, file_count bigint, removed_count bigint"
+#: Source files that one job reads: Spark lists them on the driver, so many at a time, not all.
+FILES_TOGETHER = 10_000
 
 
 def _relative(spark: SparkSession, file_path: Column, root: str) -> Column:
@@ -128,14 +133,22 @@ def current_manifest(spark: SparkSession, bronze: str, as_of: date | None = None
 
 @dataclass(frozen=True)
 class Landing:
+    """One landing: how many files it brought and how many of the manifest are gone."""
+
     dt: date
     prefix: str
-    files: list[str]
-    removed: int = 0
+    count: int
+    removed: int
+    changed: DataFrame
+
+    @property
+    def files(self) -> list[str]:
+        """Names of the files, for reports."""
+        return [row.path for row in self.changed.select("path").orderBy("path").toLocalIterator()]
 
     def summary(self, spark: SparkSession) -> DataFrame:
         """The landing event; no row when nothing changed."""
-        rows = [(self.dt, self.prefix, len(self.files))] if self.files else []
+        rows = [(self.dt, self.prefix, self.count, self.removed)] if self.count else []
         return spark.createDataFrame(rows, EVENT_SCHEMA)
 
 
@@ -146,40 +159,69 @@ def _read_changed(spark: SparkSession, root: str, kind: str, paths: Sequence[str
     )
 
 
+def _new_id(at: datetime) -> str:
+    return f"{at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+
+
+def _store(rows: DataFrame, bronze: str, kind: str) -> None:
+    """Appends rows in files of balanced size: rows of small sources together, large ones split."""
+    rows.hint("rebalance", "path").sortWithinPartitions("path").write.mode("append").partitionBy(
+        "dt", "landing"
+    ).parquet(f"{bronze}/{kind}")
+
+
+def _append_manifest(entries: DataFrame, bronze: str) -> None:
+    schema = [f.strip().split()[0] for f in _MANIFEST_SCHEMA.split(",")]
+    entries.select(*schema).hint("rebalance").write.mode("append").parquet(f"{bronze}/{MANIFEST_LOG}")
+
+
+def _paths(changed: DataFrame, kind: str) -> Iterator[tuple[str, ...]]:
+    """The changed files of a kind, so many at a time as one job reads."""
+    names = changed.filter(F.col("kind") == kind).select("path").orderBy("path").toLocalIterator()
+    return batched((row.path for row in names), FILES_TOGETHER)
+
+
 def land(
     spark: SparkSession, root: str, bronze: str, dt: date, landed_at: datetime | None = None
 ) -> Landing:
     """Stores the new and changed files below ``root`` as a landing of ``dt``.
 
-    Only names and digests of files come to the driver, where Spark lists the files
-    anyway; rows go from the source splits straight to the partitions, unshuffled. Files of
-    the manifest that are gone are counted; their rows stay.
+    What changed stays a table. Names of files pass the driver in shares, since that is where
+    Spark opens files by name; rows, digests and the manifest do not. Files of the manifest that
+    are gone are counted; their rows stay.
     """
     before, now = current_manifest(spark, bronze), stored(fingerprint(spark, root), "fingerprints")
-    changed = new_or_changed(before, now).collect()
+    changed = stored(new_or_changed(before, now), "changed")
     removed = before.join(now, "path", "left_anti").count()
     at = landed_at or datetime.now(timezone.utc)
-    landing = f"{at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+    place = {"dt": F.lit(dt), "landing": F.lit(_new_id(at))}
     for kind in CSV_SCHEMAS:
-        paths = sorted(row.path for row in changed if row.kind == kind)
-        if paths:
-            (
-                _read_changed(spark, root, kind, paths)
-                .withColumns({"dt": F.lit(dt), "landing": F.lit(landing)})
-                .write.mode("append")
-                .partitionBy("dt", "landing", "path")
-                .parquet(f"{bronze}/{kind}")
-            )
-    result = Landing(dt, bronze, sorted(row.path for row in changed), removed)
-    if changed:
-        rows = [(row.path, dt, at, landing, row.sha256, row.size, row.kind) for row in changed]
-        spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{bronze}/{MANIFEST_LOG}"
-        )
+        for paths in _paths(changed, kind):
+            _store(_read_changed(spark, root, kind, paths).withColumns(place), bronze, kind)
+    result = Landing(dt, bronze, changed.count(), removed, changed)
+    if result.count:
+        _append_manifest(changed.withColumns({**place, "landed_at": F.lit(at)}), bronze)
         result.summary(spark).coalesce(1).write.mode("append").parquet(f"{bronze}/{EVENT_LOG}")
     return result
 
 
+def _stored_rows(spark: SparkSession, bronze: str, kind: str) -> DataFrame:
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_SCHEMAS[kind].fields)
+    schema = f"{fields}, _corrupt_record string, path string, dt date, landing string"
+    try:
+        return spark.read.schema(schema).parquet(f"{bronze}/{kind}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # no file of the kind has ever been landed
+
+
+def _current_rows(spark: SparkSession, bronze: str, kind: str, current: DataFrame) -> DataFrame:
+    place = ["dt", "landing", "path"]
+    wanted = current.filter(F.col("kind") == kind).select(*place)
+    return _stored_rows(spark, bronze, kind).join(wanted, place, "left_semi")
+
+
 def read_bronze(
     spark: SparkSession, bronze: str, kind: str, as_of: date | None = None
 ) -> DataFrame:
@@ -189,11 +231,31 @@ def read_bronze(
     The landings wanted prune the partitions that are read; a file that was emptied has a
     current landing without rows.
     """
-    current = current_manifest(spark, bronze, as_of).filter(F.col("kind") == kind)
+    return _current_rows(spark, bronze, kind, current_manifest(spark, bronze, as_of)).drop("landing")
+
+
+def landed_counts(spark: SparkSession, bronze: str, as_of: date | None = None) -> DataFrame:
+    """``path, dt, row_count`` of every file's current landing, emptied files included."""
+    current = current_manifest(spark, bronze, as_of)
     place = ["dt", "landing", "path"]
-    return spark.read.schema(
-        ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_SCHEMAS[kind].fields
-        )
-        + ", _corrupt_record string, dt date, landing string, path string"
-    ).parquet(f"{bronze}/{kind}").join(current.select(*place), place, "left_semi").drop("landing")
+    counts = None
+    for kind in CSV_SCHEMAS:
+        rows = _stored_rows(spark, bronze, kind).groupBy(*place).agg(F.count("*").alias("n"))
+        counts = rows if counts is None else counts.unionByName(rows)
+    return current.join(counts, place, "left").select(
+        "path", "dt", F.coalesce("n", F.lit(0)).alias("row_count")
+    )
+
+
+def compact(spark: SparkSession, bronze: str, kind: str, landed_at: datetime | None = None) -> int:
+    """Stores the current rows of a kind anew as one landing, each under the date it had.
+
+    Many small landings become few files of balanced size. Readers go over to them when the
+    manifest is written; contents and dates stay. Returns the number of files now in that landing.
+    """
+    current = stored(current_manifest(spark, bronze).filter(F.col("kind") == kind), "compacted")
+    at = landed_at or datetime.now(timezone.utc)
+    place = {"landing": F.lit(_new_id(at))}
+    _store(_current_rows(spark, bronze, kind, current).withColumns(place), bronze, kind)
+    _append_manifest(current.withColumns({**place, "landed_at": F.lit(at)}), bronze)
+    return current.count()

@@ -18,6 +18,7 @@ from courtledger.sources import (
     scan_csv,
     split_malformed,
 )
+from courtledger.sources import compact, landed_counts, landing
 from courtledger.sources.landing import landing_events
 
 DAY1, DAY2, DAY3 = date(2025, 2, 1), date(2025, 2, 8), date(2025, 2, 15)
@@ -215,6 +216,53 @@ def test_repeating_a_landing_of_the_same_day_replaces_it(spark, source, tmp_path
     assert land(spark, root, bronze, DAY1).files == []
 
 
+def test_many_small_files_share_files_of_the_store(spark, tmp_path, monkeypatch):
+    """Sources read a few at a time, and stored together however many they are."""
+    monkeypatch.setattr(landing, "FILES_TOGETHER", 20)
+    root, bronze = tmp_path / "many", str(tmp_path / "bronze")
+    for k in range(50):
+        (root / f"d{k}").mkdir(parents=True)
+        (root / f"d{k}" / "atp_rankings_00s.csv").write_text(f"{RANKINGS_HEADER}\n20010101,1,{k},1\n20010101,2,{k},1\n")
+    landed = land(spark, str(root), bronze, DAY1)
+    assert (landed.count, landed.removed) == (50, 0)
+    assert len(spark.read.parquet(f"{bronze}/rankings").inputFiles()) <= 5
+    counts = landed_counts(spark, bronze).collect()
+    assert len(counts) == 50 and {r.row_count for r in counts} == {2}
+    assert read_bronze(spark, bronze, "matches").isEmpty()
+
+
+def test_compaction_keeps_rows_dates_and_history(spark, source, tmp_path):
+    root, bronze = str(source), str(tmp_path / "bronze")
+    land(spark, root, bronze, DAY1)
+    (source / "atp_rankings_current.csv").write_text(f"{RANKINGS_HEADER}\n20250108,1,1,110\n")
+    (source / "atp_rankings_20s.csv").write_text(f"{RANKINGS_HEADER}\n")
+    land(spark, root, bronze, DAY3)
+
+    def seen(as_of=None):
+        return (
+            sorted(map(str, read_bronze(spark, bronze, "rankings", as_of).collect())),
+            sorted(map(str, landed_counts(spark, bronze, as_of).collect())),
+        )
+
+    now, then = seen(), seen(DAY2)
+    n = compact(spark, bronze, "rankings")
+    assert n == current_manifest(spark, bronze).filter("kind = 'rankings'").count()
+    assert seen() == now and seen(DAY2) == then
+    landings = current_manifest(spark, bronze).filter("kind = 'rankings'").select("landing").distinct()
+    assert landings.count() == 1
+    # nothing is taken for changed afterwards
+    assert land(spark, root, bronze, DAY3).count == 0
+
+
+def test_removed_files_are_in_the_event(spark, source, tmp_path):
+    root, bronze = str(source), str(tmp_path / "bronze")
+    land(spark, root, bronze, DAY1)
+    (source / "atp_rankings_20s.csv").unlink()
+    (source / "atp_rankings_current.csv").write_text(f"{RANKINGS_HEADER}\n")
+    land(spark, root, bronze, DAY2)
+    assert rows(landing_events(spark, bronze).select("dt", "file_count", "removed_count"), "dt") == [(DAY1, 5, 0), (DAY2, 1, 1)]
+
+
 def test_manifest_diff_and_merge(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], "path string, sha256 string")
     new = spark.createDataFrame([("a", "1"), ("b", "2"), ("d", "1")], "path string, sha256 string")
