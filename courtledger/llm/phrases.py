@@ -40,6 +40,8 @@ from courtledger.llm.tries import DoubleArray, number_keys
 MOST_KEYS = 500_000
 LONG_WORD = 64
 BUCKET_BITS = 40
+#: Counts of accepting states that travel in one row.
+CHUNK = 1 << 14
 #: Distinct words, buckets or phrases a task holds before it hands them on.
 MOST_HELD = 200_000
 SLICE = 1 << 20
@@ -260,19 +262,45 @@ def _candidates(size: int, open_buckets):
     return run
 
 
-def _accepted(size: int, width: int, low: int, trie):
-    """How often the walk from any place ends in each key of a shard."""
+def _accepted(size: int, width: int, low: int, keys: int, trie):
+    """How often the walk from any place ends in each key of a shard, in chunks of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, counts = trie.value, np.zeros(MOST_KEYS + 1, np.int64)
+        shard, counts = trie.value, np.zeros((keys // CHUNK + 1) * CHUNK, np.int64)
         for batch in batches:
             ids, marks = _int32(batch["ids"])[0], _int32(batch["marks"])[0]
             for at in _open_places(marks):
                 found = shard.sequences(ids, at, size, width)
-                part = np.bincount(found[found > 0] - low)
+                part = np.bincount(found[found > 0] - low - 1)
                 counts[: len(part)] += part
-        hit = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(hit + low), pa.array(counts[hit])], ["no", "n"])
+        chunks = counts.reshape(-1, CHUNK)
+        hit = np.flatnonzero(chunks.any(axis=1))
+        rows = pa.array([chunks[k].tobytes() for k in hit], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), rows], ["chunk", "counts"])
+
+    return run
+
+
+def _summed(low: int, least: int):
+    """Keys that reach ``least`` when the counts of all tasks are added; chunks stand together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, total = None, np.zeros(CHUNK, np.int64)
+
+        def rows() -> pa.RecordBatch:
+            hit = np.flatnonzero(total >= least)
+            numbers = hit + (low + 1 + chunk * CHUNK)
+            return pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(total[hit])], ["no", "n"])
+
+        for batch in batches:
+            for number, counts in zip(batch["chunk"].to_pylist(), batch["counts"]):
+                if number != chunk:
+                    if chunk is not None:
+                        yield rows()
+                    chunk, total = number, np.zeros(CHUNK, np.int64)
+                total += np.frombuffer(counts.as_buffer(), np.int64)
+        if chunk is not None:
+            yield rows()
 
     return run
 
@@ -348,8 +376,10 @@ def _frequent(texts: DataFrame, size: int, width: int, least: int) -> DataFrame:
     discard(buckets, *parts)
 
     def count(trie, k: int) -> DataFrame:
-        rows = texts.mapInArrow(_accepted(size, width, k * MOST_KEYS, trie), "no bigint, n bigint")
-        return stored(rows.groupBy("no").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "accepted")
+        low = k * MOST_KEYS
+        rows = texts.mapInArrow(_accepted(size, width, low, MOST_KEYS, trie), "chunk int, counts binary")
+        summed = rows.repartition("chunk").sortWithinPartitions("chunk")
+        return stored(summed.mapInArrow(_summed(low, least), "no bigint, n bigint"), "accepted")
 
     counts = list(_passes(texts, table, table.count(), width, count))
     accepted = counts[0]
