@@ -42,6 +42,8 @@ LONG_WORD = 64
 BUCKET_BITS = 40
 #: Counts of accepting states that travel in one row.
 CHUNK = 1 << 14
+#: Groups in which the candidates of a shard travel, by their bucket.
+GROUPS = 64
 #: Distinct words, buckets or phrases a task holds before it hands them on.
 MOST_HELD = 200_000
 SLICE = 1 << 20
@@ -232,17 +234,24 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
+def _distinct(names: np.ndarray, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    names, first = np.unique(names, return_index=True)
+    return names, phrases[first]
+
+
 def _candidates(size: int, open_buckets):
-    """Distinct phrases of the buckets of one shard, of as many places as a task can hold."""
+    """Distinct phrases of the buckets of one shard, in groups of as many as a task can hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = open_buckets.value
         names, phrases = np.empty(0, np.uint64), np.empty((0, size), np.int32)
 
         def rows() -> pa.RecordBatch:
-            ends = pa.array(np.arange(len(phrases) + 1, dtype=np.int32) * size)
-            lists = pa.ListArray.from_arrays(ends, pa.array(phrases.ravel(), pa.int32()))
-            return pa.RecordBatch.from_arrays([lists], ["ids"])
+            group = _bucket(names) % GROUPS
+            own = [np.flatnonzero(group == g) for g in range(GROUPS)]
+            used = [g for g in range(GROUPS) if len(own[g])]
+            packed = [pa.array([a[own[g]].tobytes() for g in used], pa.binary()) for a in (names, phrases)]
+            return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *packed], ["chunk", "names", "phrases"])
 
         for batch in batches:
             ids, marks = _int32(batch["ids"])[0], _int32(batch["marks"])[0]
@@ -252,8 +261,9 @@ def _candidates(size: int, open_buckets):
                 place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
                 keep = buckets[place] == bucket
                 new = ids[at[first[keep]][:, None] + np.arange(size)]
-                names, first = np.unique(np.concatenate([names, who[keep]]), return_index=True)
-                phrases = np.concatenate([phrases, new])[first]
+                names, phrases = _distinct(
+                    np.concatenate([names, who[keep]]), np.concatenate([phrases, new])
+                )
                 if len(names) > MOST_HELD:
                     yield rows()
                     names, phrases = names[:0], phrases[:0]
@@ -262,6 +272,34 @@ def _candidates(size: int, open_buckets):
     return run
 
 
+def _merged(size: int):
+    """The distinct phrases of each group; its rows stand together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, names, phrases = None, np.empty(0, np.uint64), np.empty((0, size), np.int32)
+
+        def rows() -> pa.RecordBatch:
+            ends = pa.array(np.arange(len(phrases) + 1, dtype=np.int32) * size)
+            lists = pa.ListArray.from_arrays(ends, pa.array(phrases.ravel(), pa.int32()))
+            return pa.RecordBatch.from_arrays([lists], ["ids"])
+
+        for batch in batches:
+            columns = (batch["chunk"].to_pylist(), batch["names"], batch["phrases"])
+            for number, more_names, more in zip(*columns):
+                if number != group:
+                    if group is not None:
+                        yield rows()
+                    group, names, phrases = number, names[:0], phrases[:0]
+                names, phrases = _distinct(
+                    np.concatenate([names, np.frombuffer(more_names.as_buffer(), np.uint64)]),
+                    np.concatenate([phrases, np.frombuffer(more.as_buffer(), np.int32).reshape(-1, size)]),
+                )
+        if group is not None:
+            yield rows()
+
+    return run
+
+
 def _accepted(size: int, width: int, low: int, keys: int, trie):
     """How often the walk from any place ends in each key of a shard, in chunks of keys."""
 
@@ -364,8 +402,9 @@ def _frequent(texts: DataFrame, size: int, width: int, least: int) -> DataFrame:
     parts = []
     for shard in _shards(buckets, buckets.count()):
         open_buckets = context.broadcast(np.sort(shard.toArrow()["bucket"].to_numpy()))
-        rows = texts.mapInArrow(_candidates(size, open_buckets), "ids array<int>")
-        parts.append(stored(rows.distinct(), "candidates"))
+        rows = texts.mapInArrow(_candidates(size, open_buckets), "chunk int, names binary, phrases binary")
+        grouped = rows.repartition("chunk").sortWithinPartitions("chunk")
+        parts.append(stored(grouped.mapInArrow(_merged(size), "ids array<int>"), "candidates"))
         open_buckets.destroy()
     if not parts:
         return texts.sparkSession.createDataFrame([], "ids array<int>, n bigint, no bigint")
