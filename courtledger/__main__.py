@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime, timezone
 
+from pyspark.sql import DataFrame
+
 from courtledger.operators import monitoring
 from courtledger.plans.pipeline import (
     Loader,
@@ -14,7 +16,7 @@ from courtledger.plans.pipeline import (
     run_transform,
     run_validation,
 )
-from courtledger.session import build_session
+from courtledger.session import build_session, stored
 from courtledger.sources.landing import landing_events
 from courtledger.streaming.arrivals import on_landing
 from courtledger.warehouse import Warehouse
@@ -57,12 +59,21 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def show(frame: DataFrame, most: int) -> None:
+    """The first rows of a report, and how many there are where that is not all."""
+    rows = stored(frame, "report")
+    rows.show(most, truncate=False)
+    total = rows.count()
+    if total > most:
+        print(f"the first {most} of {total} rows")
+
+
 def print_reports(reports: dict) -> None:
     for load, report in reports.items():
         print(f"{load}: {report.rows}")
         for name, frame in report.audits.items():
             print(f"{load} / {name}")
-            frame.show(20, truncate=False)
+            show(frame, 20)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -106,7 +117,7 @@ def main(argv: list[str] | None = None) -> None:
             "quality": lambda: monitoring.quality_summary(warehouse.tables()),
             "history": lambda: monitoring.load_history(warehouse.tables()),
         }
-        reports[args.command]().show(1000, truncate=False)
+        show(reports[args.command](), 1000)
     spark.stop()
 
 

@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from courtledger.__main__ import main, parser
+from courtledger.__main__ import main, parser, show
 from courtledger.operators import monitoring
 from courtledger.operators.clean import add_audit_columns
 from courtledger.plans.pipeline import Loader, run_all, run_landing, run_transform, run_validation
@@ -307,3 +307,22 @@ def test_command_line_runs(spark, tmp_path, monkeypatch, capsys):
         main([command, *common])
     printed = capsys.readouterr().out
     assert "'fact_rankings': 1200" in printed and "player_role_balance" in printed
+
+
+def test_reports_say_how_many_rows_they_leave_out(spark, capsys):
+    show(spark.range(30), 20)
+    show(spark.range(3), 20)
+    printed = capsys.readouterr().out
+    assert printed.count("the first 20 of 30 rows") == 1 and "of 3 rows" not in printed
+
+
+def test_queries_without_the_optional_modules(monkeypatch):
+    import __spark_entry__
+    from courtledger.plans.queries import QUERIES
+
+    def lacking(name):
+        raise ModuleNotFoundError("No module named 'something'", name="something")
+
+    monkeypatch.setattr(__spark_entry__, "import_module", lacking)
+    with pytest.warns(UserWarning, match="left out"):
+        assert __spark_entry__.queries().keys() == QUERIES.keys()
