@@ -334,6 +334,18 @@ ORACLE = {
            FROM fx_players""",
     ),
     "sink_roundtrip": _with("tm", "SELECT * FROM tm"),
+    "sink_lookups": _with(
+        "tm",
+        """SELECT l.column_name, l.value, count(match_num) AS row_count,
+             CAST(sum(match_num) AS BIGINT) AS match_nums
+           FROM (VALUES ('winner_id', '8'), ('winner_id', '41'), ('loser_id', '15'), ('loser_id', '60'),
+               ('tourney_date', '1995-06-15'), ('tourney_date', '1997-02-10'),
+               ('tourney_id', '1996-0012'), ('tourney_id', '1997-0033')) l(column_name, value)
+             LEFT JOIN tm ON l.value = CASE l.column_name WHEN 'winner_id' THEN CAST(winner_id AS VARCHAR)
+               WHEN 'loser_id' THEN CAST(loser_id AS VARCHAR)
+               WHEN 'tourney_date' THEN CAST(tourney_date AS VARCHAR) ELSE tourney_id END
+           GROUP BY l.column_name, l.value""",
+    ),
     "table_status": _with(
         "tp tr ts",
         """SELECT 'dim_players' AS table_name, 'ok' AS status, count(*) AS row_count FROM tp

@@ -44,6 +44,13 @@ POSTLOAD_AS_OF = datetime(2024, 1, 30, 1, 30, 0)
 BRONZE_AS_OF = date(2025, 1, 20)
 LANDING_DATE = date(2025, 2, 1)
 SECOND_LANDING = date(2025, 2, 8)
+LOOKUP_FILES = 64
+LOOKED_UP = {
+    "winner_id": [8, 41],
+    "loser_id": [15, 60],
+    "tourney_date": [date(1995, 6, 15), date(1997, 2, 10)],
+    "tourney_id": ["1996-0012", "1997-0033"],
+}
 
 
 class Inputs:
@@ -159,6 +166,46 @@ def sink_roundtrip(inp: Inputs):
     return warehouse.table("fact_matches").select(*TABLES["fact_matches"].columns.fieldNames())
 
 
+def _lookups() -> list[tuple[str, object]]:
+    return [(column, value) for column, values in LOOKED_UP.items() for value in values]
+
+
+def sink_lookups(inp: Inputs):
+    """Matches looked up in the sink by players, dates and tournaments: rows of each lookup."""
+    warehouse = _warehouse(inp.spark, {})
+    rows = clean.add_audit_columns(inp.matches, "fact_matches", LOADED_AT)
+    warehouse.write("fact_matches", rows, files=LOOKUP_FILES)
+    found = [
+        warehouse.lookup("fact_matches", **{column: value}).agg(
+            F.lit(column).alias("column_name"),
+            F.lit(str(value)).alias("value"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum("match_num").alias("match_nums"),
+        )
+        for column, value in _lookups()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def sink_lookup_files(inp: Inputs):
+    """Files each of those lookups opens, with the sink in key order and along its curve."""
+    warehouse = _warehouse(inp.spark, {})
+    rows = stored(clean.add_audit_columns(inp.matches, "fact_matches", LOADED_AT), "matches")
+    table = warehouse.snapshots("fact_matches")
+    opened, files = {}, {}
+    for curve in (False, True):
+        warehouse.write("fact_matches", rows, files=LOOKUP_FILES, curve=curve)
+        files[curve] = table.file_count()
+        for column, value in _lookups():
+            opened[curve, column, value] = sum(map(len, table.files_with({column: value}).values()))
+    result = [
+        (column, str(value), opened[False, column, value], files[False], opened[True, column, value], files[True])
+        for column, value in _lookups()
+    ]
+    schema = "column_name string, value string, opened_key_order int, files_key_order int, opened_curve int, files_curve int"
+    return inp.spark.createDataFrame(result, schema)
+
+
 def table_status(inp: Inputs):
     written = {"dim_players": inp.players, "fact_rankings": inp.rankings}
     warehouse = _warehouse(inp.spark, written)
@@ -388,6 +435,8 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "scan_rankings": scan_rankings,
     "scan_quarantine": scan_quarantine,
     "sink_roundtrip": sink_roundtrip,
+    "sink_lookups": sink_lookups,
+    "sink_lookup_files": sink_lookup_files,
     "table_status": table_status,
     "stage_metrics": stage_metrics,
     "content_fingerprint": content_fingerprint,

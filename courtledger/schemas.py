@@ -95,7 +95,11 @@ class TableSpec:
     ``year_of`` names the date column whose year is the storage partition (a
     partition per day would leave many tiny files). ``cluster`` orders rows inside
     the partition and ends in the table key, so that even a cluster value holding
-    a large share of the rows can be cut into several files.
+    a large share of the rows can be cut into several files. ``curve`` has what rows
+    are looked up by, as it varies within a year; where given, places on a curve over
+    it come before the cluster columns. The first gets the highest bit: players, whose
+    lookups go through all years. ``looked_up``: columns whose smallest and
+    largest value in each file are kept, and that get Bloom filters.
     """
 
     name: str
@@ -105,6 +109,8 @@ class TableSpec:
     min_rows: int
     year_of: str | None = None
     unfilled: list[str] = field(default_factory=list)
+    curve: list[str] = field(default_factory=list)
+    looked_up: list[str] = field(default_factory=list)
 
     @property
     def year_column(self) -> str | None:
@@ -132,6 +138,7 @@ TABLES = {
             required=["player_id"],
             cluster=["player_id"],
             min_rows=1000,
+            looked_up=["player_id"],
         ),
         TableSpec(
             name="dim_tournaments",
@@ -144,6 +151,7 @@ TABLES = {
             cluster=["tourney_id"],
             min_rows=10,
             unfilled=["location", "country"],
+            looked_up=["tourney_id"],
         ),
         TableSpec(
             name="fact_matches",
@@ -159,6 +167,8 @@ TABLES = {
             cluster=["winner_id", "loser_id", "tourney_id", "match_num"],
             min_rows=100,
             year_of="tourney_date",
+            curve=["winner_id", "dayofyear(tourney_date)", "substring(tourney_id, 6)"],
+            looked_up=["tourney_date", "winner_id", "loser_id", "tourney_id"],
         ),
         TableSpec(
             name="fact_match_stats",
@@ -170,6 +180,8 @@ TABLES = {
             cluster=["player_id", "tourney_id", "match_num", "player_role"],
             min_rows=100,
             year_of="tourney_date",
+            curve=["player_id", "dayofyear(tourney_date)", "substring(tourney_id, 6)"],
+            looked_up=["tourney_date", "player_id", "tourney_id"],
         ),
         TableSpec(
             name="fact_rankings",
@@ -180,6 +192,8 @@ TABLES = {
             cluster=["ranking_date", "player_id", "ranking_sequence"],
             min_rows=1000,
             year_of="ranking_date",
+            curve=["player_id", "dayofyear(ranking_date)"],
+            looked_up=["ranking_date", "player_id"],
         ),
     ]
 }

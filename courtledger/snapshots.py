@@ -1,7 +1,8 @@
 """Tables whose contents change all at once.
 
 ``<table>/data/snapshot=<id>/[<year column>=<year>/]*.parquet`` holds rows, each write in a folder
-of its own. ``<table>/commits/<number>.json`` says which snapshot holds each partition, with its
+of its own. ``<table>/index/snapshot=<id>`` holds, for each of those files, its rows and the smallest
+and largest values of the columns that are looked up. ``<table>/commits/<number>.json`` says which snapshot holds each partition, with its
 rows and bytes; the newest commit is the table. A write stages its files first and commits last,
 by renaming one finished file, so readers see the table before or the table after. A write that
 was cut off leaves a folder nobody refers to, and commits made meanwhile by another writer make
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
@@ -63,10 +65,18 @@ class Commit:
 
 
 class SnapshotTable:
-    """``schema`` ends in the partition column, if there is one."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition: str | None):
+    """``schema`` ends in the partition column, if there is one; ``indexed`` columns can be looked up."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        partition: str | None,
+        indexed: Sequence[str] = (),
+    ):
         self.spark, self.path, self.schema, self.partition = spark, path.rstrip("/"), schema, partition
+        self.indexed = list(indexed)
         self.files = Files(spark, path)
 
     # ---- commits
@@ -108,23 +118,90 @@ class SnapshotTable:
         return self.spark.read.schema(self.schema).parquet(self._folder(snapshot))
 
     def stage(self, df: DataFrame, options: dict[str, str] | None = None) -> dict[str, Part]:
-        """Writes rows that nobody sees yet. Counts come from the footers of the files."""
+        """Writes rows that nobody sees yet, and the index of their files, which has their counts."""
         snapshot = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
         folder = self._folder(snapshot)
         writer = df.write.options(**(options or {}))
+        (writer.partitionBy(self.partition) if self.partition else writer).parquet(folder)
+        self._write_index(snapshot)
+        index = self._read_index(snapshot)
         if not self.partition:
-            writer.parquet(folder)
-            rows = self._read_folder(snapshot).count()
+            rows = index.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
             return {WHOLE: Part(snapshot, rows, self.files.size(folder))}
-        writer.partitionBy(self.partition).parquet(folder)
         # One row for each year.
-        counts = self._read_folder(snapshot).groupBy(self.partition).count().collect()
+        counts = index.groupBy(self.partition).agg(F.sum("rows")).collect()
         parts = {}
         for year, rows in counts:
             name, value = (NO_YEAR, "__HIVE_DEFAULT_PARTITION__") if year is None else (str(year), year)
             parts[name] = Part(snapshot, rows, self.files.size(f"{folder}/{self.partition}={value}"))
         return parts
 
+    # ---- files
+
+    def _index_path(self, snapshot: str) -> str:
+        return f"{self.path}/index/snapshot={snapshot}"
+
+    def _write_index(self, snapshot: str) -> None:
+        # Only the looked-up columns are read; a file is one row, added up where it was read.
+        path = F.substring_index("_metadata.file_path", f"/snapshot={snapshot}/", -1)
+        bounds = [f(c).alias(f"{f.__name__}_{c}") for c in self.indexed for f in (F.min, F.max)]
+        keys = [path.alias("path"), *([self.partition] if self.partition else [])]
+        index = self._read_folder(snapshot).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+        index.write.parquet(self._index_path(snapshot))
+
+    def _read_index(self, snapshot: str) -> DataFrame:
+        schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("rows", T.LongType())])
+        if self.partition:
+            schema = schema.add(self.schema[self.partition])
+        for column in self.indexed:
+            kind = self.schema[column].dataType
+            schema = schema.add(f"min_{column}", kind).add(f"max_{column}", kind)
+        return self.spark.read.schema(schema).parquet(self._index_path(snapshot))
+
+    def _current(self) -> Commit:
+        commit = self.current()
+        if commit is None:
+            raise LookupError(f"no table at {self.path}")
+        return commit
+
+    def _files_of(self, snapshot: str, names: list[str]) -> DataFrame:
+        files = self._read_index(snapshot)
+        return files.filter(self._of_parts(names)) if self.partition else files
+
+    def file_count(self) -> int:
+        return sum(self._files_of(*held).count() for held in self._current().snapshots.items())
+
+    def files_with(self, equal: dict) -> dict[str, list[str]]:
+        """By snapshot, the files of the table that may hold rows with all the given values.
+
+        Names come to the driver, which opens the files: those of one lookup, not of the table.
+        """
+        unknown = set(equal) - set(self.indexed)
+        if unknown or not equal:
+            raise ValueError(f"{self.path} is looked up by {self.indexed}, not by {sorted(equal)}")
+        found = {}
+        for snapshot, names in self._current().snapshots.items():
+            files = self._files_of(snapshot, names)
+            for column, value in equal.items():
+                files = files.filter(F.lit(value).between(F.col(f"min_{column}"), F.col(f"max_{column}")))
+            found[snapshot] = sorted(row.path for row in files.select("path").collect())
+        return found
+
+    def lookup(self, equal: dict) -> DataFrame:
+        """Rows that have all the given values. Inside its files, row groups are passed over by
+        their own bounds, dictionaries and Bloom filters."""
+        result = self.spark.createDataFrame([], self.schema)
+        for snapshot, names in self.files_with(equal).items():
+            if names:
+                folder = self._folder(snapshot)
+                reader = self.spark.read.schema(self.schema).option("basePath", folder)
+                result = result.unionByName(reader.parquet(*[f"{folder}/{name}" for name in names]))
+        for column, value in equal.items():
+            result = result.filter(F.col(column) == F.lit(value))
+        return result
+
+    # ---- the table
+
     def _of_parts(self, names: list[str]) -> Column:
         year = F.col(self.partition)
         years = [int(n) for n in names if n != NO_YEAR]
@@ -176,5 +253,6 @@ class SnapshotTable:
             snapshot, folder = name.removeprefix("snapshot="), f"{self.path}/data/{name}"
             if name.startswith("snapshot=") and snapshot not in kept and now - self.files.modified(folder) >= older_than:
                 self.files.delete(folder)
+                self.files.delete(self._index_path(snapshot))
                 gone.append(snapshot)
         return gone

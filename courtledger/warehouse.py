@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from courtledger.layout import along_curve, bloom_options
 from courtledger.schemas import TABLES, TableSpec
+from courtledger.session import stored
 from courtledger.snapshots import SnapshotTable
 
 _METADATA_SCHEMA = "table_id string, row_count bigint, size_bytes bigint, last_modified_time bigint"
@@ -21,14 +23,19 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.stored.fields])
 
 
-def clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows ranged over tasks by partition year and cluster columns, and sorted inside.
+def clustered(df: DataFrame, spec: TableSpec, files: int | None = None, curve: bool = True) -> DataFrame:
+    """Rows ranged over tasks by year, place on the table's curve and cluster columns, and sorted so.
 
     The cluster columns end in the table key, so the range cuts also run through a
-    year or a cluster value that holds much of the table.
+    year or a cluster value that holds much of the table. Without a curve, or with
+    ``curve=False``, rows lie in the order of the cluster columns alone.
     """
-    order = ([spec.year_column] if spec.year_of else []) + spec.cluster
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    year = [spec.year_column] if spec.year_of else []
+    if curve and spec.curve:
+        return along_curve(stored(df, f"conformed-{spec.name}"), spec.curve, year, spec.cluster, files)
+    order = year + spec.cluster
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 class Warehouse:
@@ -48,7 +55,7 @@ class Warehouse:
 
     def snapshots(self, name: str) -> SnapshotTable:
         spec = TABLES[name]
-        return SnapshotTable(self.spark, f"{self.path}/{name}", spec.stored, spec.year_column)
+        return SnapshotTable(self.spark, f"{self.path}/{name}", spec.stored, spec.year_column, spec.looked_up)
 
     def _register(self, name: str) -> None:
         table = self.snapshots(name)
@@ -74,19 +81,31 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
-    def write(self, name: str, df: DataFrame, replace_all: bool = True) -> Observation:
+    def lookup(self, name: str, **equal) -> DataFrame:
+        """The rows of a table that have the given values, from the files that may hold them."""
+        return self.snapshots(name).lookup(equal)
+
+    def write(
+        self,
+        name: str,
+        df: DataFrame,
+        replace_all: bool = True,
+        files: int | None = None,
+        curve: bool = True,
+    ) -> Observation:
         """Replaces a table, or with ``replace_all=False`` only the years present in ``df``.
 
         The new rows are staged beside the old ones and become the table in one step; a failure
         before that leaves the table as it was. Returns the row count ``n``, observed during the
         write. It is taken after the range exchange, whose sampling reads everything before it a
-        second time.
+        second time. ``files`` and ``curve``: see ``clustered``.
         """
         spec, table = TABLES[name], self.snapshots(name)
         written = Observation()
         base = table.current()
-        rows = clustered(conform(df, spec), spec).observe(written, F.count(F.lit(1)).alias("n"))
-        parts = table.stage(rows)
+        rows = clustered(conform(df, spec), spec, files, curve)
+        rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
+        parts = table.stage(rows, bloom_options([c for c in spec.looked_up if c.endswith("_id")]))
         if base and spec.year_of and not replace_all:
             parts = base.parts | parts
         table.commit(base, parts)
