@@ -17,8 +17,7 @@ from courtledger.plans.pipeline import (
     run_validation,
 )
 from courtledger.session import build_session, stored
-from courtledger.sources.landing import landing_events
-from courtledger.streaming.arrivals import on_landing
+from courtledger.streaming.changes import on_change
 from courtledger.warehouse import Warehouse
 
 # Command -> kind of input file.
@@ -101,13 +100,13 @@ def main(argv: list[str] | None = None) -> None:
         day = date.fromisoformat(args.dt) if args.dt else None
         print_reports(run_all(spark, args.source, args.bronze, warehouse, day) or {})
     elif args.command == "watch":
-        landing_events(spark, args.bronze)
 
-        def rebuild(day: date) -> None:
+        def rebuild(day: date, kinds: list[str]) -> None:
+            print(f"changed: {', '.join(kinds)}")
             print_reports(run_transform(args.bronze, warehouse, day.isoformat()))
             run_validation(warehouse)
 
-        on_landing(spark, args.bronze, rebuild, args.progress).awaitTermination()
+        on_change(spark, args.bronze, rebuild, f"{args.progress}/changes").awaitTermination()
     else:
         warehouse.attach()
         reports = {

@@ -403,6 +403,23 @@ ORACLE = {
              CAST(0 AS BIGINT) AS removed_files FROM files
            UNION ALL SELECT 2, path, dt, row_count, CAST(3 AS BIGINT), CAST(1 AS BIGINT) FROM second""",
     ),
+    "content_changes": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE doc_id IS NOT NULL),
+        log AS (
+          SELECT 1 AS n, doc_id, DATE '2025-03-01' AS dt, t FROM d
+          UNION ALL SELECT 2, doc_id, DATE '2025-03-08', CASE WHEN doc_id % 6 = 0 THEN t || '+' ELSE t END
+            FROM d WHERE doc_id % 2 = 0
+          UNION ALL SELECT 3, doc_id, CASE WHEN doc_id % 3 = 0 THEN DATE '2025-03-05' ELSE DATE '2025-02-20' END, t || '-'
+            FROM d WHERE doc_id % 5 = 0
+          UNION ALL SELECT 4, doc_id, DATE '2025-03-15', t FROM d WHERE doc_id % 3 = 0),
+        timely AS (
+          SELECT * FROM (SELECT *, max(dt) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING
+            AND 1 PRECEDING) AS known FROM log) WHERE known IS NULL OR dt >= known),
+        steps AS (
+          SELECT 'documents/' || doc_id AS path, dt, CAST(n AS VARCHAR) AS landing, sha256(t) AS sha256,
+            lag(sha256(t)) OVER (PARTITION BY doc_id ORDER BY n) AS old_sha256 FROM timely)
+        SELECT path, dt, landing, sha256, old_sha256, CASE WHEN old_sha256 IS NULL THEN 'new' ELSE 'changed' END AS status
+        FROM steps WHERE old_sha256 IS DISTINCT FROM sha256""",
     "clean_strings": _with("cp", "SELECT * FROM cp"),
     "audit_columns": _with(
         "tp",

@@ -36,6 +36,8 @@ from courtledger.schemas import (
 from courtledger.session import scratch_path, stored
 from courtledger.sources import fingerprint, land, landed_counts, scan_csv
 from courtledger.sources.csv import CORRUPT
+from courtledger.sources.landing import MANIFEST_LOG
+from courtledger.streaming.changes import watch_changes
 from courtledger.warehouse import Warehouse
 
 LOADED_AT = datetime(2025, 2, 1, 2, 0, 0)
@@ -44,6 +46,7 @@ POSTLOAD_AS_OF = datetime(2024, 1, 30, 1, 30, 0)
 BRONZE_AS_OF = date(2025, 1, 20)
 LANDING_DATE = date(2025, 2, 1)
 SECOND_LANDING = date(2025, 2, 8)
+DELIVERED_AT = datetime(2025, 3, 20)
 LOOKUP_FILES = 64
 LOOKED_UP = {
     "winner_id": [8, 41],
@@ -330,6 +333,45 @@ def bronze_latest(inp: Inputs):
     return manifest.latest_per_path(landed, BRONZE_AS_OF)
 
 
+def _deliveries(inp: Inputs) -> list[DataFrame]:
+    """Documents as files, delivered four times: whole, half repeated or edited, late, restored."""
+    docs = read_table(inp.spark, inp.sf_dir, "documents").filter("doc_id IS NOT NULL")
+    doc, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    late = F.when(doc % 3 == 0, F.lit(date(2025, 3, 5))).otherwise(F.lit(date(2025, 2, 20)))
+    edited = F.when(doc % 6 == 0, F.concat(text, F.lit("+"))).otherwise(text)
+    parts = [
+        (F.lit(True), F.lit(date(2025, 3, 1)), text),
+        (doc % 2 == 0, F.lit(date(2025, 3, 8)), edited),
+        (doc % 5 == 0, late, F.concat(text, F.lit("-"))),
+        (doc % 3 == 0, F.lit(date(2025, 3, 15)), text),
+    ]
+    return [
+        docs.filter(delivered).select(
+            F.concat(F.lit("documents/"), doc.cast("string")).alias("path"),
+            dt.alias("dt"),
+            F.lit(DELIVERED_AT).alias("landed_at"),
+            F.lit(str(number)).alias("landing"),
+            F.sha2(content, 256).alias("sha256"),
+            F.octet_length(content).cast("bigint").alias("size"),
+            F.lit("documents").alias("kind"),
+        )
+        for number, (delivered, dt, content) in enumerate(parts, 1)
+    ]
+
+
+def content_changes(inp: Inputs):
+    """What the stream over the manifest log reports after each delivery, repeats and late ones among them."""
+    bronze, progress, found = (scratch_path(inp.spark, n) for n in ("bronze", "progress", "changes"))
+
+    def keep(changes: DataFrame, batch_id: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{found}/batch={batch_id}")
+
+    for delivery in _deliveries(inp):
+        delivery.write.mode("append").parquet(f"{bronze}/{MANIFEST_LOG}")
+        watch_changes(inp.spark, bronze, keep, progress).awaitTermination()
+    return inp.spark.read.parquet(found).drop("batch", "kind")
+
+
 # ---- cleaning and transforms -------------------------------------------------
 
 
@@ -444,6 +486,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "manifest_merge": manifest_merge,
     "bronze_latest": bronze_latest,
     "land_changed": land_changed,
+    "content_changes": content_changes,
     # cleaning and transforms
     "clean_strings": clean_strings,
     "audit_columns": audit_columns,

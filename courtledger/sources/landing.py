@@ -34,7 +34,7 @@ _SOURCE_FILE = rf"^((?:.*/)?(?:[^/=]+=)?(?:{_NAMES}))(?:/.*)?$"
 MANIFEST_LOG = "_manifest"
 EVENT_LOG = "_events"
 # Of several landings of a file on one date, the one landed last is current.
-_MANIFEST_SCHEMA = (
+MANIFEST_SCHEMA = (
     "path string, dt date, landed_at timestamp, landing string, sha256 string, size bigint, "
     "kind string"
 )
@@ -120,7 +120,7 @@ def _open_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def manifest_log(spark: SparkSession, bronze: str) -> DataFrame:
-    return _open_log(spark, f"{bronze}/{MANIFEST_LOG}", _MANIFEST_SCHEMA)
+    return _open_log(spark, f"{bronze}/{MANIFEST_LOG}", MANIFEST_SCHEMA)
 
 
 def landing_events(spark: SparkSession, bronze: str) -> DataFrame:
@@ -171,7 +171,7 @@ def _store(rows: DataFrame, bronze: str, kind: str) -> None:
 
 
 def _append_manifest(entries: DataFrame, bronze: str) -> None:
-    schema = [f.strip().split()[0] for f in _MANIFEST_SCHEMA.split(",")]
+    schema = [f.strip().split()[0] for f in MANIFEST_SCHEMA.split(",")]
     entries.select(*schema).hint("rebalance").write.mode("append").parquet(f"{bronze}/{MANIFEST_LOG}")
 
 
