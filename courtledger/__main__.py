@@ -17,6 +17,7 @@ from courtledger.plans.pipeline import (
     run_validation,
 )
 from courtledger.session import build_session, stored
+from courtledger.sources.summaries import LandedCounts
 from courtledger.streaming.changes import on_change
 from courtledger.warehouse import Warehouse
 
@@ -53,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
         bronze="bronze folder",
         progress="folder that remembers what was handled",
     )
+    for name in ("quality", "history"):
+        command(f"landed-{name}", f"{name} of what was landed, counting new files only", bronze="bronze folder")
     for name in ("create", "preflight", "validate", "status", "health", "quality", "history"):
         command(name, f"{name} of the tables")
     return top
@@ -99,6 +102,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "run":
         day = date.fromisoformat(args.dt) if args.dt else None
         print_reports(run_all(spark, args.source, args.bronze, warehouse, day) or {})
+    elif args.command in ("landed-quality", "landed-history"):
+        counts = LandedCounts(spark, args.bronze, date.fromisoformat(args.dt) if args.dt else None)
+        show(counts.quality_summary() if args.command == "landed-quality" else counts.load_history(), 1000)
     elif args.command == "watch":
 
         def rebuild(day: date, kinds: list[str]) -> None:

@@ -48,39 +48,44 @@ def _as_of(moment: datetime | Column) -> Column:
 
 def role_balance(stats: DataFrame) -> DataFrame:
     """Winner and loser rows, their ratio, and its verdict by both thresholds in use."""
-    one_sided = (F.col("winner_count") == 0) | (F.col("loser_count") == 0)
-    return (
+    return _balance_verdicts(
         stats.agg(
             F.count_if(F.col("player_role") == "winner").alias("winner_count"),
             F.count_if(F.col("player_role") == "loser").alias("loser_count"),
         )
-        .withColumn(
-            "ratio",
-            ratio(
-                F.least("winner_count", "loser_count"), F.greatest("winner_count", "loser_count")
-            ),
-        )
-        .withColumns(
-            {
-                "view_status": F.when(one_sided, "FAIL")
-                .when(F.col("ratio") < VIEW_BALANCE_WARN, "WARN")
-                .otherwise("PASS"),
-                "postload_status": F.when(one_sided, "missing roles")
-                .when(F.col("ratio") >= POSTLOAD_BALANCED, "balanced")
-                .when(F.col("ratio") < POSTLOAD_BALANCE_FAIL, "imbalance")
-                .otherwise("roughly balanced"),
-            }
-        )
     )
 
 
-def _match_checks(matches: DataFrame) -> DataFrame:
-    counted = matches.agg(
-        F.count_if(F.col("winner_id").isNull()).alias("null_winners"),
-        F.count_if(F.col("loser_id").isNull()).alias("null_losers"),
-        F.count_if(F.col("score").isNull()).alias("missing"),
-        F.count("*").alias("total"),
+def _balance_verdicts(counted: DataFrame) -> DataFrame:
+    one_sided = (F.col("winner_count") == 0) | (F.col("loser_count") == 0)
+    return counted.withColumn(
+        "ratio",
+        ratio(F.least("winner_count", "loser_count"), F.greatest("winner_count", "loser_count")),
+    ).withColumns(
+        {
+            "view_status": F.when(one_sided, "FAIL")
+            .when(F.col("ratio") < VIEW_BALANCE_WARN, "WARN")
+            .otherwise("PASS"),
+            "postload_status": F.when(one_sided, "missing roles")
+            .when(F.col("ratio") >= POSTLOAD_BALANCED, "balanced")
+            .when(F.col("ratio") < POSTLOAD_BALANCE_FAIL, "imbalance")
+            .otherwise("roughly balanced"),
+        }
     )
+
+
+def match_counts() -> dict[str, Column]:
+    """Aggregates over cleaned or projected matches that their checks need."""
+    return {
+        "null_winners": F.count_if(F.col("winner_id").isNull()),
+        "null_losers": F.count_if(F.col("loser_id").isNull()),
+        "missing": F.count_if(F.col("score").isNull()),
+        "total": F.count("*"),
+    }
+
+
+def match_checks(counted: DataFrame) -> DataFrame:
+    """The checks of one row of ``match_counts``."""
     fks = _check(
         "fact_matches",
         "null_foreign_keys",
@@ -98,19 +103,26 @@ def _match_checks(matches: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(fks, scores)))
 
 
-def _player_checks(players: DataFrame) -> DataFrame:
+def nameless() -> Column:
+    return F.col("full_name").isNull() | (F.col("full_name") == "")
+
+
+def _player_counts(players: DataFrame) -> DataFrame:
     # Counting per id first keeps the distinct count and the plain counts in one pass.
-    nameless = F.col("full_name").isNull() | (F.col("full_name") == "")
-    counted = (
+    return (
         players.groupBy("player_id")
-        .agg(F.count("*").alias("n"), F.count_if(nameless).alias("nameless"))
+        .agg(F.count("*").alias("n"), F.count_if(nameless()).alias("nameless"))
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
             F.count("player_id").alias("ids"),
             F.coalesce(F.sum("nameless"), F.lit(0)).alias("missing"),
         )
-        .withColumn("dupes", F.col("total") - F.col("ids"))
     )
+
+
+def player_checks(counted: DataFrame) -> DataFrame:
+    """The checks of one row ``total, ids, missing``: players, distinct ids, players without a name."""
+    counted = counted.withColumn("dupes", F.col("total") - F.col("ids"))
     share = ratio(F.col("missing"), F.col("total"))
     ids = _check(
         "dim_players",
@@ -134,13 +146,17 @@ def _player_checks(players: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(ids, names)))
 
 
-def _ranking_checks(rankings: DataFrame) -> DataFrame:
+def repeated_pairs(rankings: DataFrame) -> DataFrame:
+    """One row ``dupes``: rows beyond the distinct pairs of date and player, rows without either included."""
     whole = F.col("ranking_date").isNotNull() & F.col("player_id").isNotNull()
-    counted = (
+    return (
         rankings.groupBy("ranking_date", "player_id")
         .agg(F.count("*").alias("n"))
         .agg((F.coalesce(F.sum("n"), F.lit(0)) - F.count_if(whole)).alias("dupes"))
     )
+
+
+def ranking_checks(counted: DataFrame) -> DataFrame:
     pairs = _check(
         "fact_rankings",
         "duplicate_date_player",
@@ -150,24 +166,25 @@ def _ranking_checks(rankings: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(pairs)))
 
 
-def _stat_checks(stats: DataFrame) -> DataFrame:
+def stat_checks(counted: DataFrame) -> DataFrame:
+    """The check of one row ``winner_count, loser_count``."""
     balance = _check(
         "fact_match_stats",
         "player_role_balance",
         F.col("view_status"),
         F.concat(F.lit("winner="), _text("winner_count"), F.lit(", loser="), _text("loser_count")),
     )
-    return role_balance(stats).select(F.inline(F.array(balance)))
+    return _balance_verdicts(counted).select(F.inline(F.array(balance)))
 
 
 def quality_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """The six standing checks: ``(table_name, check_name, status, detail)``."""
     return _union(
         [
-            _stat_checks(tables["fact_match_stats"]),
-            _match_checks(tables["fact_matches"]),
-            _player_checks(tables["dim_players"]),
-            _ranking_checks(tables["fact_rankings"]),
+            stat_checks(role_balance(tables["fact_match_stats"]).select("winner_count", "loser_count")),
+            match_checks(tables["fact_matches"].agg(*[n.alias(c) for c, n in match_counts().items()])),
+            player_checks(_player_counts(tables["dim_players"])),
+            ranking_checks(repeated_pairs(tables["fact_rankings"])),
         ]
     )
 

@@ -23,12 +23,15 @@ def _unreadable_player():
     return F.col("player").isNotNull() & F.col("player_id").isNull()
 
 
-def clean_rankings(raw: DataFrame) -> DataFrame:
-    """Typed rows; those whose player is not a number are in ``rejected_rankings``."""
+def clean_rankings(raw: DataFrame, *kept: str) -> DataFrame:
+    """Typed rows; those whose player is not a number are in ``rejected_rankings``.
+
+    ``kept``: further columns of ``raw`` to carry along.
+    """
     return (
         _typed(raw)
         .filter(~_unreadable_player())
-        .select("ranking_date", "player_id", "rank", "points")
+        .select("ranking_date", "player_id", "rank", "points", *kept)
     )
 
 

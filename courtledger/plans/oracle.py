@@ -115,7 +115,8 @@ _ALIAS = {
 }
 
 
-def _with(steps: str, body: str) -> str:
+def _with(steps: str, body: str, **instead: str) -> str:
+    """The body after its steps; ``instead`` gives steps another text."""
     ordered: list[str] = []
 
     def add(step: str) -> None:
@@ -126,7 +127,8 @@ def _with(steps: str, body: str) -> str:
 
     for step in steps.split():
         add(step)
-    ctes = ",\n".join(f"{step} AS ({_STEPS[step]})" for step in ordered)
+    texts = _STEPS | instead
+    ctes = ",\n".join(f"{step} AS ({texts[step]})" for step in ordered)
     return f"WITH {ctes}\n{body}"
 
 
@@ -315,6 +317,56 @@ _MANIFESTS = f"""
 
 _COUNTED_TOP = ["surface", "tourney_level", "round", "tourney_name", "winner_hand", "winner_ioc", "score"]
 
+# The files of two landings, rows with the date theirs was landed.
+_FIRST, _SECOND = "DATE '2025-02-01'", "DATE '2025-02-08'"
+_FX = {"players": PLAYERS_SQL.format(**_PLAIN), "matches": MATCHES_SQL.format(**_PLAIN), "rankings": RANKINGS_SQL.format(**_PLAIN)}
+_AGAIN = "ranking_date LIKE '%15' AND rank % 2 = 0"
+_LANDED = {
+    1: {
+        "fx_players": f"SELECT *, {_FIRST} AS dt FROM ({_FX['players']})",
+        "fx_matches": f"SELECT *, {_FIRST} AS dt FROM ({_FX['matches']})",
+        "fx_rankings": f"""WITH r AS MATERIALIZED ({_FX['rankings']})
+            SELECT *, {_FIRST} AS dt FROM r UNION ALL SELECT *, {_FIRST} FROM r WHERE {_AGAIN}""",
+    },
+    2: {
+        "fx_players": f"""WITH p AS ({_FX['players']})
+            SELECT *, {_SECOND} AS dt FROM p WHERE player_id % 10 <> 3
+            UNION ALL SELECT *, {_SECOND} FROM p WHERE player_id % 10 = 4""",
+        "fx_matches": f"""
+            WITH f AS (SELECT *, CASE WHEN tourney_date = 'n/a' THEN '1990' ELSE left(tourney_date, 4) END AS y
+              FROM ({_FX['matches']}))
+            SELECT * EXCLUDE (y), CASE WHEN y = '1996' THEN {_SECOND} ELSE {_FIRST} END AS dt FROM f
+            WHERE y <> '1997' AND (y <> '1996' OR match_num % 2 = 0)
+            UNION ALL SELECT * EXCLUDE (y), {_SECOND} FROM f WHERE y = '1999'""",
+        "fx_rankings": f"""WITH r AS MATERIALIZED ({_FX['rankings']})
+            SELECT *, {_FIRST} AS dt FROM r UNION ALL
+            SELECT * REPLACE (CAST(CASE WHEN rank % 4 = 0 THEN points + 1 ELSE points END AS INT) AS points), {_SECOND}
+            FROM r WHERE {_AGAIN}""",
+    },
+}
+
+
+def _any_stat(prefix: str) -> str:
+    return f"CASE WHEN coalesce({', '.join(_q(f'{prefix}_{s}') for s in STAT_SUFFIXES.values())}) IS NULL THEN 0 ELSE 1 END"
+
+
+_LANDED_ROWS = f"""
+    SELECT 'dim_players' AS table_name, dt, count(*) AS rows_loaded FROM cp GROUP BY dt
+    UNION ALL SELECT 'dim_tournaments', dt, count(*) FROM (SELECT max(dt) AS dt FROM cm GROUP BY tourney_id) GROUP BY dt
+    UNION ALL SELECT 'fact_matches', dt, count(*) FROM cm GROUP BY dt
+    UNION ALL SELECT 'fact_match_stats', dt, {_bigint(f"sum({_any_stat('w')} + {_any_stat('l')})")} FROM cm GROUP BY dt
+    UNION ALL SELECT 'fact_rankings', dt, count(*) FROM (
+      SELECT max(dt) AS dt FROM (SELECT {_DATE.format(_CLEAN.format('ranking_date'))} AS ranking_date,
+        TRY_CAST({_CLEAN.format('player')} AS INT) AS player_id, rank, points, dt FROM fx_rankings)
+      GROUP BY ranking_date, player_id, rank, points) GROUP BY dt"""
+
+
+def _landed(steps: str, body: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {number} AS landing, * FROM ({_with(steps, body, **files)})" for number, files in _LANDED.items()
+    )
+
+
 ORACLE = {
     "scan_players": _with(
         "fx_players",
@@ -403,6 +455,8 @@ ORACLE = {
              CAST(0 AS BIGINT) AS removed_files FROM files
            UNION ALL SELECT 2, path, dt, row_count, CAST(3 AS BIGINT), CAST(1 AS BIGINT) FROM second""",
     ),
+    "landed_quality": _landed("ts tm tp tr", _QUALITY),
+    "landed_history": _landed("cp cm fx_rankings", _LANDED_ROWS),
     "content_changes": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE doc_id IS NOT NULL),
         log AS (

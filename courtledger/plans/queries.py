@@ -37,6 +37,7 @@ from courtledger.session import scratch_path, stored
 from courtledger.sources import fingerprint, land, landed_counts, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.sources.landing import MANIFEST_LOG
+from courtledger.sources.summaries import LandedCounts
 from courtledger.streaming.changes import watch_changes
 from courtledger.warehouse import Warehouse
 
@@ -246,29 +247,42 @@ def _source_files(inp: Inputs) -> dict[str, DataFrame]:
     }
 
 
+_MATCH_FILE = "atp_matches_{}.csv".format
+
+
+def _edited_matches(matches: DataFrame) -> DataFrame:
+    """Files of matches a week later: 1996 edited, 1997 without rows, 1998 gone, 1999 copied."""
+    file = F.col("file")
+    edited = matches.filter(
+        ~file.isin(_MATCH_FILE(1997), _MATCH_FILE(1998))
+        & ((file != _MATCH_FILE(1996)) | (F.col("match_num") % 2 == 0))
+    )
+    copied = matches.filter(file == _MATCH_FILE(1999)).withColumn("file", F.lit(_MATCH_FILE(2030)))
+    return edited.unionByName(copied)
+
+
+def _written_sources(spark, sources: dict[str, DataFrame], later: dict[str, DataFrame]):
+    """Two folders of source files and the dates they are landed."""
+    roots = [scratch_path(spark, "source") for _ in range(2)]
+    for root, tables in zip(roots, (sources, later)):
+        for kind, df in tables.items():
+            _write_csv(df, CSV_SCHEMAS[kind], f"{root}/{kind}", by="file")
+    emptied = spark.createDataFrame([], MATCHES_CSV).coalesce(1)
+    _write_csv(emptied, MATCHES_CSV, f"{roots[1]}/matches/file={_MATCH_FILE(1997)}")
+    return list(zip(roots, (LANDING_DATE, SECOND_LANDING)))
+
+
 def land_changed(inp: Inputs):
     """Two landings of the derived inputs, and what each left as the current rows of every file.
 
     Before the second one the matches of 1996 are edited, those of 1997 emptied, those of 1998
     removed, and those of 1999 copied to a new file; all other files stay as they are.
     """
-    spark = inp.spark
-    first, second, bronze = (scratch_path(spark, label) for label in ("source", "source", "bronze"))
+    spark, bronze = inp.spark, scratch_path(inp.spark, "bronze")
     sources = {kind: stored(df, f"source-{kind}") for kind, df in _source_files(inp).items()}
-    matches, file = sources["matches"], F.col("file")
-    name = "atp_matches_{}.csv".format
-    edited = matches.filter(
-        ~file.isin(name(1997), name(1998)) & ((file != name(1996)) | (F.col("match_num") % 2 == 0))
-    )
-    copied = matches.filter(file == name(1999)).withColumn("file", F.lit(name(2030)))
-    later = {**sources, "matches": edited.unionByName(copied)}
-    for root, tables in ((first, sources), (second, later)):
-        for kind, df in tables.items():
-            _write_csv(df, CSV_SCHEMAS[kind], f"{root}/{kind}", by="file")
-    emptied = spark.createDataFrame([], MATCHES_CSV).coalesce(1)
-    _write_csv(emptied, MATCHES_CSV, f"{second}/matches/file={name(1997)}")
+    later = {**sources, "matches": _edited_matches(sources["matches"])}
     landings = []
-    for number, (root, day) in enumerate([(first, LANDING_DATE), (second, SECOND_LANDING)], 1):
+    for number, (root, day) in enumerate(_written_sources(spark, sources, later), 1):
         landed = land(spark, root, bronze, day)
         counts = stored(landed_counts(spark, bronze, day), "landed")
         landings.append(
@@ -333,6 +347,34 @@ def bronze_latest(inp: Inputs):
     return manifest.latest_per_path(landed, BRONZE_AS_OF)
 
 
+def _landed_twice(inp: Inputs, report: Callable[[LandedCounts], DataFrame]) -> DataFrame:
+    """A report from counts by file after each of two landings in which every kind changes.
+
+    Half the rankings of each 15th stand in a second file too. A week later matches are edited as
+    for ``land_changed``, a quarter of that second file has other points, and of the players one
+    in ten is gone and one in ten is doubled.
+    """
+    spark, bronze = inp.spark, scratch_path(inp.spark, "bronze")
+    sources = {kind: stored(df, f"source-{kind}") for kind, df in _source_files(inp).items()}
+    rankings, players, rank, player = sources["rankings"], sources["players"], F.col("rank"), F.col("player_id")
+    again = rankings.filter(F.col("ranking_date").endswith("15") & (rank % 2 == 0)).withColumn(
+        "file", F.lit("atp_rankings_current.csv")
+    )
+    other = again.withColumn("points", F.when(rank % 4 == 0, F.col("points") + 1).otherwise(F.col("points")))
+    later = {
+        "players": players.filter(player % 10 != 3).unionByName(players.filter(player % 10 == 4)),
+        "matches": _edited_matches(sources["matches"]),
+        "rankings": rankings.unionByName(other),
+    }
+    sources["rankings"] = rankings.unionByName(again)
+    reports = []
+    for number, (root, day) in enumerate(_written_sources(spark, sources, later), 1):
+        land(spark, root, bronze, day)
+        found = report(LandedCounts(spark, bronze, day))
+        reports.append(stored(found.select(F.lit(number).alias("landing"), "*"), "landed-report"))
+    return reports[0].unionByName(reports[1])
+
+
 def _deliveries(inp: Inputs) -> list[DataFrame]:
     """Documents as files, delivered four times: whole, half repeated or edited, late, restored."""
     docs = read_table(inp.spark, inp.sf_dir, "documents").filter("doc_id IS NOT NULL")
@@ -487,6 +529,8 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "bronze_latest": bronze_latest,
     "land_changed": land_changed,
     "content_changes": content_changes,
+    "landed_quality": lambda inp: _landed_twice(inp, LandedCounts.quality_summary),
+    "landed_history": lambda inp: _landed_twice(inp, LandedCounts.load_history),
     # cleaning and transforms
     "clean_strings": clean_strings,
     "audit_columns": audit_columns,

@@ -205,7 +205,8 @@ def land(
     return result
 
 
-def _stored_rows(spark: SparkSession, bronze: str, kind: str) -> DataFrame:
+def stored_rows(spark: SparkSession, bronze: str, kind: str) -> DataFrame:
+    """All rows of a kind ever landed, current or not, with ``path``, ``dt`` and ``landing``."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CSV_SCHEMAS[kind].fields)
     schema = f"{fields}, _corrupt_record string, path string, dt date, landing string"
     try:
@@ -219,7 +220,7 @@ def _stored_rows(spark: SparkSession, bronze: str, kind: str) -> DataFrame:
 def _current_rows(spark: SparkSession, bronze: str, kind: str, current: DataFrame) -> DataFrame:
     place = ["dt", "landing", "path"]
     wanted = current.filter(F.col("kind") == kind).select(*place)
-    return _stored_rows(spark, bronze, kind).join(wanted, place, "left_semi")
+    return stored_rows(spark, bronze, kind).join(wanted, place, "left_semi")
 
 
 def read_bronze(
@@ -240,7 +241,7 @@ def landed_counts(spark: SparkSession, bronze: str, as_of: date | None = None) -
     place = ["dt", "landing", "path"]
     counts = None
     for kind in CSV_SCHEMAS:
-        rows = _stored_rows(spark, bronze, kind).groupBy(*place).agg(F.count("*").alias("n"))
+        rows = stored_rows(spark, bronze, kind).groupBy(*place).agg(F.count("*").alias("n"))
         counts = rows if counts is None else counts.unionByName(rows)
     return current.join(counts, place, "left").select(
         "path", "dt", F.coalesce("n", F.lit(0)).alias("row_count")
