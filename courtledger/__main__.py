@@ -17,6 +17,7 @@ from courtledger.plans.pipeline import (
     run_validation,
 )
 from courtledger.session import build_session, stored
+from courtledger.plans.report_log import ReportLog
 from courtledger.sources.summaries import LandedCounts
 from courtledger.streaming.changes import on_change
 from courtledger.warehouse import Warehouse
@@ -42,6 +43,8 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{argument.replace('_', '-')}", required=True, help=meaning)
         if "source" in arguments or "bronze" in arguments:
             sub.add_argument("--dt", help="date partition, YYYY-MM-DD")
+        if name in (*LOADS, "transform"):
+            sub.add_argument("--quarantine", action="store_true", help="keep malformed rows out of the tables")
 
     for name in LOADS:
         command(name, "load one kind of file", input_path="file, folder or glob")
@@ -56,7 +59,7 @@ def parser() -> argparse.ArgumentParser:
     )
     for name in ("quality", "history"):
         command(f"landed-{name}", f"{name} of what was landed, counting new files only", bronze="bronze folder")
-    for name in ("create", "preflight", "validate", "status", "health", "quality", "history"):
+    for name in ("create", "preflight", "validate", "status", "health", "quality", "history", "log"):
         command(name, f"{name} of the tables")
     return top
 
@@ -72,7 +75,7 @@ def show(frame: DataFrame, most: int) -> None:
 
 def print_reports(reports: dict) -> None:
     for load, report in reports.items():
-        print(f"{load}: {report.rows}")
+        print(f"{load}: {report.rows | report.steps}")
         for name, frame in report.audits.items():
             print(f"{load} / {name}")
             show(frame, 20)
@@ -85,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     now = datetime.now(timezone.utc)
 
     if args.command in LOADS:
-        loader = Loader(warehouse)
+        loader = Loader(warehouse, quarantine=args.quarantine)
         raw = loader.scan_once(LOADS[args.command], args.input_path)
         load = getattr(loader, args.command.replace("-", "_"))
         print_reports({args.command: load(raw)})
@@ -98,7 +101,7 @@ def main(argv: list[str] | None = None) -> None:
         day = date.fromisoformat(args.dt) if args.dt else None
         run_landing(spark, args.source, args.bronze, day).show(truncate=False)
     elif args.command == "transform":
-        print_reports(run_transform(args.bronze, warehouse, args.dt))
+        print_reports(run_transform(args.bronze, warehouse, args.dt, quarantine=args.quarantine))
     elif args.command == "run":
         day = date.fromisoformat(args.dt) if args.dt else None
         print_reports(run_all(spark, args.source, args.bronze, warehouse, day) or {})
@@ -120,6 +123,7 @@ def main(argv: list[str] | None = None) -> None:
             "status": warehouse.status,
             "health": lambda: monitoring.pipeline_health(warehouse.metadata(), now),
             "quality": lambda: monitoring.quality_summary(warehouse.tables()),
+            "log": ReportLog(spark, args.warehouse).counts,
             "history": lambda: monitoring.load_history(warehouse.tables()),
         }
         show(reports[args.command](), 1000)

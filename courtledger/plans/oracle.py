@@ -367,6 +367,41 @@ def _landed(steps: str, body: str) -> str:
     )
 
 
+def _load_counts() -> str:
+    """Rows by load and stage; audits count the rows of the SQL of their own queries' rules."""
+    whole = {"players": "fx_players", "matches": "fx_matches", "match_stats": "fx_matches", "rankings": "fx_rankings"}
+    stages = {(load, "read"): f"SELECT count(*) FROM {files}" for load, files in whole.items()}
+    for load, tables in {
+        "players": ["dim_players"],
+        "matches": ["dim_tournaments", "fact_matches"],
+        "match_stats": ["fact_match_stats"],
+        "rankings": ["fact_rankings"],
+    }.items():
+        stages |= {(load, table): f"SELECT count(*) FROM {_ALIAS[table]}" for table in tables}
+        stages |= {(load, name): "SELECT 0" for name in ("malformed", "audit: malformed")}
+    by_date = "SELECT ranking_date, count(*) AS n, max(rank) AS top FROM dr GROUP BY ranking_date"
+    stages |= {
+        ("match_stats", "unpivoted"): "SELECT count(*) FROM us",
+        ("match_stats", "empty stats dropped"): "SELECT (SELECT count(*) FROM us) - count(*) FROM ts",
+        ("match_stats", "audit: stat_ranges"): f"SELECT count(*) FROM ({_stat_checks()})",
+        ("matches", "audit: inconsistent_tournaments"): f"SELECT count(*) FROM ({_tournament_audit()})",
+        ("rankings", "rejected"): "SELECT 0",
+        ("rankings", "audit: rejected"): "SELECT 0",
+        ("rankings", "copies dropped"): "SELECT (SELECT count(*) FROM fx_rankings) - count(*) FROM dr",
+        ("rankings", "audit: duplicates"): """SELECT count(*) FROM
+            (SELECT 1 FROM dr GROUP BY ranking_date, player_id HAVING count(*) > 1)""",
+        ("rankings", "audit: gappy_snapshots"): f"SELECT count(*) FROM ({by_date}) WHERE CAST(top AS DOUBLE) / n > 1.5",
+        ("rankings", "audit: point_inversions"): """SELECT count(*) FROM (SELECT 1 FROM dr GROUP BY ranking_date
+            HAVING max(points) FILTER (WHERE rank = 1) < max(points) FILTER (WHERE rank = 2))""",
+        ("rankings", "audit: invalid_ranks"): "SELECT count(*) FROM tr WHERE rank <= 0",
+    }
+    return " UNION ALL ".join(
+        f"SELECT TIMESTAMP '2025-02-01 02:00:00' AS loaded_at, '{load}' AS load, '{stage}' AS stage, "
+        f"{_bigint(f'({sql})')} AS n"
+        for (load, stage), sql in stages.items()
+    )
+
+
 ORACLE = {
     "scan_players": _with(
         "fx_players",
@@ -455,6 +490,18 @@ ORACLE = {
              CAST(0 AS BIGINT) AS removed_files FROM files
            UNION ALL SELECT 2, path, dt, row_count, CAST(3 AS BIGINT), CAST(1 AS BIGINT) FROM second""",
     ),
+    "quarantine_reasons": _with(
+        "fx_players",
+        """, p AS (SELECT player_id AS id, player_id % 50 = 0 AS named, player_id % 77 = 0 AS cut,
+               player_id % 91 = 0 AND player_id % 77 <> 0 AS longer,
+               CASE WHEN player_id % 7 = 0 AND player_id % 77 <> 0 THEN height END AS height FROM fx_players)
+           SELECT id, field, value, reason, CASE WHEN NOT (named OR cut OR longer) THEN height END AS repaired_height
+           FROM (
+             SELECT *, 'player_id' AS field, 'p' || id AS value, 'not int' AS reason FROM p WHERE named
+             UNION ALL SELECT *, 'height', height || '.0', 'not int' FROM p WHERE height IS NOT NULL
+             UNION ALL SELECT *, NULL, NULL, CASE WHEN cut THEN '5' ELSE '9' END || ' fields of 8' FROM p WHERE cut OR longer)""",
+    ),
+    "load_counts": _with("fx_players tp fx_matches cm dt tm us ts fx_rankings dr tr", _load_counts()),
     "landed_quality": _landed("ts tm tp tr", _QUALITY),
     "landed_history": _landed("cp cm fx_rankings", _LANDED_ROWS),
     "content_changes": """

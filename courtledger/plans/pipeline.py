@@ -6,6 +6,7 @@ while they happen, and is the only place that looks at the clock.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
@@ -24,11 +25,13 @@ from courtledger.operators.rankings import (
     rejected_rankings,
     sequence_rankings,
 )
+from courtledger.plans.report_log import ReportLog
 from courtledger.schemas import CSV_SCHEMAS, SOURCE_LABELS, TABLES
 from courtledger.session import stored
 from courtledger.sources import land, read_bronze, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.sources.landing import landing_events
+from courtledger.sources.quarantine import diagnose, repair
 from courtledger.warehouse import Warehouse
 
 
@@ -44,17 +47,27 @@ def counted(df: DataFrame, stage: str, metrics: list[tuple[str, Observation]]) -
 
 @dataclass
 class LoadReport:
-    """What a load saw: rows read and rows per table written, and the audit frames (lazy)."""
+    """What a load saw: rows read and rows per table written, and the audit frames (lazy).
+
+    ``steps`` counts the rows in between: malformed, made by unpivoting, rejected, dropped.
+    """
 
     rows: dict[str, int] = field(default_factory=dict)
+    steps: dict[str, int] = field(default_factory=dict)
     audits: dict[str, DataFrame] = field(default_factory=dict)
 
 
 class Loader:
-    """Loads of the five tables into one warehouse, all stamped with one load time."""
+    """Loads of the five tables into one warehouse, all stamped with one load time.
+
+    Malformed rows are loaded with NULL where a field was bad. With ``quarantine`` they are
+    loaded only if they can be repaired without loss; the rest is the audit ``quarantined``,
+    with field and reason.
+    """
 
-    def __init__(self, warehouse: Warehouse, loaded_at: datetime | None = None):
+    def __init__(self, warehouse: Warehouse, loaded_at: datetime | None = None, quarantine: bool = False):
         self.warehouse = warehouse
+        self.quarantine = quarantine
         self.spark = warehouse.spark
         self.loaded_at = loaded_at or datetime.now(timezone.utc)
 
@@ -68,13 +81,13 @@ class Loader:
         return stored(scanned, f"staged-{kind}")
 
     def load_players(self, raw: DataFrame) -> LoadReport:
-        report = self._new_report(raw)
+        report, raw = self._accepted(raw, "players")
         self._write("dim_players", transform_players(raw), "players", report)
         return report
 
     def load_matches(self, raw: DataFrame) -> LoadReport:
         """The tournament dimension first, then the match facts."""
-        report = self._new_report(raw)
+        report, raw = self._accepted(raw, "matches")
         cleaned = clean_matches(raw)
         self._write("dim_tournaments", derive_tournaments(cleaned), "matches", report)
         self._write("fact_matches", project_matches(cleaned), "matches", report)
@@ -82,28 +95,52 @@ class Loader:
         return report
 
     def load_match_stats(self, raw: DataFrame) -> LoadReport:
-        report = self._new_report(raw)
+        report, raw = self._accepted(raw, "matches")
         kept = drop_empty_stats(unpivot_stats(clean_matches(raw)))
         self._write("fact_match_stats", kept, "matches", report)
+        # Every match becomes two rows; what was not written had no statistic.
+        report.steps["unpivoted"] = 2 * self._kept(report)
+        report.steps["empty stats dropped"] = report.steps["unpivoted"] - report.rows["fact_match_stats"]
         report.audits["stat_ranges"] = audits.audit_stat_ranges(self.warehouse.table("fact_match_stats"))
         return report
 
     def load_rankings(self, raw: DataFrame) -> LoadReport:
-        report = self._new_report(raw)
+        report, raw = self._accepted(raw, "rankings")
         self._write("fact_rankings", sequence_rankings(dedup_rankings(raw)), "rankings", report)
         written = self.warehouse.table("fact_rankings")
         report.audits.update(audits.audit_rankings(written))
         report.audits["invalid_ranks"] = audits.audit_invalid_ranks(written)
         report.audits["rejected"] = rejected_rankings(raw)
+        # One pass over a single column; the rest follows from counts there are.
+        report.steps["rejected"] = report.audits["rejected"].count()
+        report.steps["copies dropped"] = (
+            self._kept(report) - report.steps["rejected"] - report.rows["fact_rankings"]
+        )
         return report
 
-    def _new_report(self, raw: DataFrame) -> LoadReport:
+    def _accepted(self, raw: DataFrame, kind: str) -> tuple[LoadReport, DataFrame]:
+        """A report that counts what was read, and the rows to load."""
         report = LoadReport()
         # Inputs of a load are parquet: counting them reads file footers only.
         report.rows["read"] = raw.count()
-        if CORRUPT in raw.columns:
-            report.audits["malformed"] = raw.filter(F.col(CORRUPT).isNotNull())
-        return report
+        if CORRUPT not in raw.columns:
+            return report, raw
+        schema, bad = CSV_SCHEMAS[kind], F.col(CORRUPT).isNotNull()
+        malformed = raw.filter(bad)
+        report.audits["malformed"] = malformed
+        report.steps["malformed"] = malformed.count()
+        if not self.quarantine:
+            return report, raw
+        fixed, left = repair(malformed, schema)
+        report.steps["repaired"] = fixed.count()
+        report.steps["quarantined"] = report.steps["malformed"] - report.steps["repaired"]
+        where = [c for c in ("path", "dt") if c in raw.columns]
+        report.audits["quarantined"] = diagnose(left, schema, where)
+        return report, raw.filter(~bad).select(*schema.fieldNames()).unionByName(fixed)
+
+    @staticmethod
+    def _kept(report: LoadReport) -> int:
+        return report.rows["read"] - report.steps.get("quarantined", 0)
 
 
 def run_landing(spark: SparkSession, root: str, bronze: str, dt: date | None = None) -> DataFrame:
@@ -117,10 +154,12 @@ def run_transform(
     warehouse: Warehouse,
     dt: str | None = None,
     loaded_at: datetime | None = None,
+    quarantine: bool = False,
 ) -> dict[str, LoadReport]:
     """Rebuilds the five tables from the newest landing of every file up to a date.
 
     A first run makes the tables. Later on a table that is missing is an error, not made anew.
+    Counts and audits go into the ``ReportLog`` of the warehouse; ``quarantine``: see ``Loader``.
     """
     spark = warehouse.spark
     now = loaded_at or datetime.now(timezone.utc)
@@ -129,7 +168,7 @@ def run_transform(
         run_preflight(warehouse)
     else:
         warehouse.create()
-    loader = Loader(warehouse, now)
+    loader = Loader(warehouse, now, quarantine)
     matches = read_bronze(spark, bronze, "matches", day)
 
     def matches_then_stats() -> dict[str, LoadReport]:
@@ -143,7 +182,9 @@ def run_transform(
         players = pool.submit(loader.load_players, read_bronze(spark, bronze, "players", day))
         facts = pool.submit(matches_then_stats)
         rankings = pool.submit(loader.load_rankings, read_bronze(spark, bronze, "rankings", day))
-        return {"players": players.result(), **facts.result(), "rankings": rankings.result()}
+        reports = {"players": players.result(), **facts.result(), "rankings": rankings.result()}
+    ReportLog(spark, warehouse.path).record(uuid.uuid4().hex, now, reports)
+    return reports
 
 
 def run_preflight(warehouse: Warehouse) -> DataFrame:

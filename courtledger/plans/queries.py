@@ -24,7 +24,8 @@ from courtledger.operators import (
 from courtledger.functions import compact_date
 from courtledger.operators.players import transform_players
 from courtledger.plans.fixtures import raw_matches, raw_players, raw_rankings, read_table
-from courtledger.plans.pipeline import counted
+from courtledger.plans.pipeline import counted, run_landing, run_transform
+from courtledger.plans.report_log import ReportLog
 from courtledger.schemas import (
     CSV_SCHEMAS,
     MATCHES_CSV,
@@ -37,6 +38,7 @@ from courtledger.session import scratch_path, stored
 from courtledger.sources import fingerprint, land, landed_counts, scan_csv
 from courtledger.sources.csv import CORRUPT
 from courtledger.sources.landing import MANIFEST_LOG
+from courtledger.sources.quarantine import diagnose, repair
 from courtledger.sources.summaries import LandedCounts
 from courtledger.streaming.changes import watch_changes
 from courtledger.warehouse import Warehouse
@@ -157,6 +159,30 @@ def scan_quarantine(inp: Inputs):
     return scanned.select("player_id", "height", F.col(CORRUPT).alias("malformed_text"))
 
 
+def quarantine_reasons(inp: Inputs):
+    """Players as lines with bad numbers, lost and surplus fields: every fault, and if the row is repaired."""
+    player = F.col("player_id")
+    damaged = inp.raw_players.withColumns(
+        {
+            "id": player,
+            "player_id": F.when(player % 50 == 0, F.concat(F.lit("p"), player)).otherwise(player.cast("string")),
+            "height": F.when(player % 7 == 0, F.concat("height", F.lit(".0"))).otherwise(F.col("height").cast("string")),
+        }
+    )
+    line = F.to_csv(F.struct(*PLAYERS_CSV.fieldNames()))
+    line = F.when(F.col("id") % 77 == 0, F.substring_index(line, ",", 5)).when(
+        F.col("id") % 91 == 0, F.concat(line, F.lit(",more"))
+    ).otherwise(line)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PLAYERS_CSV.fields)
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    scanned = damaged.select("id", F.from_csv(line, f"{fields}, {CORRUPT} string", options).alias("row"))
+    bad = stored(scanned.select("id", "row.*").filter(F.col(CORRUPT).isNotNull()), "malformed")
+    fixed, _ = repair(bad, PLAYERS_CSV, ["id"])
+    found = diagnose(bad, PLAYERS_CSV, ["id"]).drop("malformed_text")
+    outcome = fixed.select("id", F.col("height").alias("repaired_height"))
+    return found.join(outcome, "id", "left")
+
+
 def _warehouse(spark, tables: dict[str, DataFrame]) -> Warehouse:
     path = scratch_path(spark, "warehouse")
     warehouse = Warehouse(spark, path.rsplit("/", 1)[-1].replace("-", "_"), path)
@@ -298,6 +324,18 @@ def land_changed(inp: Inputs):
     return landings[0].unionByName(landings[1])
 
 
+def load_counts(inp: Inputs):
+    """The derived inputs landed and loaded into all five tables: what each load logged."""
+    spark = inp.spark
+    root, bronze = scratch_path(spark, "source"), scratch_path(spark, "bronze")
+    for kind, df in _source_files(inp).items():
+        _write_csv(df, CSV_SCHEMAS[kind], f"{root}/{kind}", by="file")
+    run_landing(spark, root, bronze, LANDING_DATE)
+    warehouse = _warehouse(spark, {})
+    run_transform(bronze, warehouse, loaded_at=LOADED_AT)
+    return ReportLog(spark, warehouse.path).counts().drop("run")
+
+
 def _document_paths(inp: Inputs):
     path = F.concat("source", F.lit("/"), F.col("doc_id").cast("string"))
     return read_table(inp.spark, inp.sf_dir, "documents").select("doc_id", path.alias("path"), "text")
@@ -518,6 +556,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "scan_matches": scan_matches,
     "scan_rankings": scan_rankings,
     "scan_quarantine": scan_quarantine,
+    "quarantine_reasons": quarantine_reasons,
     "sink_roundtrip": sink_roundtrip,
     "sink_lookups": sink_lookups,
     "sink_lookup_files": sink_lookup_files,
@@ -528,6 +567,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "manifest_merge": manifest_merge,
     "bronze_latest": bronze_latest,
     "land_changed": land_changed,
+    "load_counts": load_counts,
     "content_changes": content_changes,
     "landed_quality": lambda inp: _landed_twice(inp, LandedCounts.quality_summary),
     "landed_history": lambda inp: _landed_twice(inp, LandedCounts.load_history),
