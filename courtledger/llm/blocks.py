@@ -8,6 +8,7 @@ long text costs a few times its own size.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from hashlib import blake2b
 
 import numpy as np
@@ -42,6 +43,13 @@ def powers(base: int, most: int = SPAN) -> np.ndarray:
     return _tables[base]
 
 
+@cache
+def _place_keys() -> np.ndarray:
+    """An odd pseudorandom number for each place in a range of up to ``SPAN`` bytes."""
+    keys = np.random.default_rng(19_910_705).integers(0, 2**63, SPAN, dtype=np.uint64)
+    return keys * np.uint64(2) + np.uint64(1)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all others."""
     x = x ^ (x >> np.uint64(30))
@@ -98,12 +106,13 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def segment_hashes(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False
 ) -> np.ndarray:
-    """64-bit hashes of byte ranges given in ascending order; equal bytes, equal hash.
+    """64-bit hashes of byte ranges, ascending and apart from each other; equal bytes, equal hash.
 
-    ``lower`` takes A-Z as a-z.
+    A range has the sum of a pseudorandom number for each of its bytes and the byte's place in it.
+    Powers of one base in place of those numbers would not do: modulo 2^64 they let words built
+    like Thue-Morse sequences fall together whatever the base. ``lower`` takes A-Z as a-z.
     """
-    table = _BYTE_LOWER if lower else _BYTE
-    up, down = powers(_BASE), powers(_INVERSE)
+    table, keys = _BYTE_LOWER if lower else _BYTE, _place_keys()
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
@@ -117,9 +126,13 @@ def segment_hashes(
             at += 1
             continue
         s, e = starts[at:end] - base, ends[at:end] - base
-        sums = np.zeros(int(e[-1]) + 1, np.uint64)
-        np.cumsum(table[data[base : base + e[-1]]] * up[: e[-1]], out=sums[1:])
-        out[at:end] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        n = int(e[-1])
+        place = np.arange(n) - np.repeat(s, np.diff(np.append(s, n)))
+        numbers = table[data[base : base + n]] * keys[place]
+        numbers ^= numbers >> np.uint64(32)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(numbers, out=sums[1:])
+        out[at:end] = mix(sums[e] - sums[s] + (e - s).astype(np.uint64))
         at = end
     return out
 
