@@ -2,13 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Of the 64 hexadecimal digits of a SHA-256, so many are added up as one number.
+_DIGITS = 64
+# Of the hexadecimal digits of a SHA-256, so many are added up as one number.
 _LANE = 15
+# Each number is summed in pieces of so many bits, as bigint: no sum overflows below 2 ** 43 rows.
+_PIECE_BITS = 20
+
+
+def digest_lanes(digests: Column) -> dict[str, Column]:
+    """The numbers a digest is taken apart into, as columns for ``combined_lanes``."""
+    starts = range(1, _DIGITS + 1, _LANE)
+    return {f"lane_{n}": F.conv(F.substring(digests, n, _LANE), 16, 10).cast("bigint") for n in starts}
+
+
+def _lane_sum(number: Column) -> Column:
+    total = None
+    for low in range(0, 4 * _LANE, _PIECE_BITS):
+        piece = F.shiftright(number, low).bitwiseAND(F.lit((1 << _PIECE_BITS) - 1))
+        part = F.sum(piece).cast("decimal(20,0)") * F.lit(1 << low).cast("decimal(18,0)")
+        total = part if total is None else total + part
+    return total.cast("decimal(38,0)").cast("string")
+
+
+def combined_lanes(lanes: Iterable[Column]) -> Column:
+    """Aggregate: ``combined_digest`` of digests taken apart before.
+
+    Where digests are many, so that each is taken apart once and not for each sum.
+    """
+    sums = [_lane_sum(lane) for lane in lanes]
+    return F.sha2(F.concat_ws(":", F.count("*").cast("string"), *sums), 256)
 
 
 def combined_digest(digests: Column) -> Column:
@@ -17,11 +45,7 @@ def combined_digest(digests: Column) -> Column:
     Count and sums per slice of the digest are combined map-side, so the parts of a
     file of any size never meet in one task.
     """
-    lanes = []
-    for start in range(1, 65, _LANE):
-        number = F.conv(F.substring(digests, start, _LANE), 16, 10).cast("decimal(38,0)")
-        lanes.append(F.sum(number).cast("string"))
-    return F.sha2(F.concat_ws(":", F.count("*").cast("string"), *lanes), 256)
+    return combined_lanes(digest_lanes(digests).values())
 
 
 def manifest_diff(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from courtledger.operators.manifest import combined_digest, latest_per_path, new_or_changed
+from courtledger.operators.manifest import combined_digest, combined_lanes, digest_lanes, latest_per_path, new_or_changed
 from courtledger.schemas import CSV_SCHEMAS, FILE_PATTERNS
 from courtledger.session import stored
 from courtledger.sources.csv import scan_csv
@@ -41,6 +41,8 @@ MANIFEST_SCHEMA = (
 EVENT_SCHEMA = "dt date, prefix string, file_count bigint, removed_count bigint"
 #: Source files that one job reads: Spark lists them on the driver, so many at a time, not all.
 FILES_TOGETHER = 10_000
+#: Row groups of stored digests of lines: about 100,000 lines, where tasks can be cut.
+DIGEST_GROUP_BYTES = 4 * 1024 * 1024
 
 
 def _relative(spark: SparkSession, file_path: Column, root: str) -> Column:
@@ -49,10 +51,8 @@ def _relative(spark: SparkSession, file_path: Column, root: str) -> Column:
     system = place.getFileSystem(spark._jsc.hadoopConfiguration())
     base = system.makeQualified(place).toUri().getPath().rstrip("/") + "/"
     decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    # Most paths need no decoding, and this runs for every row that is landed.
-    plain = F.when(file_path.contains("%"), decoded).otherwise(file_path)
     # Once, at the start: a folder below may well carry the name of the root again.
-    path = F.regexp_replace(plain, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    path = F.regexp_replace(decoded, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
     return F.when(path.startswith(base), F.substring(path, F.lit(len(base) + 1), F.length(path)))
 
 
@@ -68,11 +68,6 @@ def _source_file(path: Column) -> Column:
     return F.regexp_extract(path, _SOURCE_FILE, 1)
 
 
-def _recognised_source_file(path: Column) -> Column:
-    """The same for files known to be recognised: only part files need the pattern."""
-    return F.when(path.contains(".csv/"), _source_file(path)).otherwise(path)
-
-
 def fingerprint(spark: SparkSession, root: str, files_named: str = "*.csv") -> DataFrame:
     """``path, sha256, size, kind`` of the recognised files below ``root``.
 
@@ -80,27 +75,40 @@ def fingerprint(spark: SparkSession, root: str, files_named: str = "*.csv") -> D
     file, are added up, and the sum is hashed with the size. Lines end at line feeds only. So
     a changed byte, a changed order and changed line ends are all seen, while a file is read
     in splits by many tasks and never has to fit into one. A line's number is its place in
-    its split and the lines of the splits before it, whatever the size of splits.
+    its split and the lines of the splits before it, whatever the size of splits. Digests of
+    lines are stored, so text is read once, and in small row groups: a split of short lines has
+    many times the lines of another. The few splits come to the lines by broadcast.
     """
     options = {"recursiveFileLookup": True, "pathGlobFilter": files_named}
     files = spark.read.format("binaryFile").options(**options).load(root).select(
         F.col("_metadata.file_path").alias("file"), F.col("length").alias("size")
     )
-    lines = spark.read.options(**options, lineSep="\n").text(root).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        F.sha2("value", 256).alias("digest"),
+    lines = stored(
+        spark.read.options(**options, lineSep="\n").text(root).select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+            F.unhex(F.sha2("value", 256)).alias("digest"),
+        ),
+        "line-digests",
+        {"parquet.block.size": DIGEST_GROUP_BYTES},
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each split of a file.
-    splits = (
+    # One row for each split of a file. Stored, so that its size is known: unless files are very
+    # many, it is broadcast, and lines are not dealt by split.
+    splits = stored(
         lines.groupBy("file", "block")
         .agg(F.min("place").alias("first"), F.count("*").alias("n"))
-        .select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+        .select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift")),
+        "splits",
     )
-    numbered = F.sha2(F.concat_ws(":", F.col("place") + F.col("shift"), "digest"), 256)
-    contents = lines.join(splits, ["file", "block"]).groupBy("file").agg(combined_digest(numbered).alias("lines"))
+    line = F.lower(F.hex("digest"))
+    numbered = F.sha2(F.concat_ws(":", F.col("place") + F.col("shift"), line), 256)
+    # Columns one after the other: within the sums each would be computed anew for every part.
+    placed = lines.join(splits, ["file", "block"]).select("file", numbered.alias("numbered"))
+    lanes = digest_lanes(F.col("numbered"))
+    contents = placed.select("file", *[lane.alias(name) for name, lane in lanes.items()])
+    contents = contents.groupBy("file").agg(combined_lanes(map(F.col, lanes)).alias("lines"))
     digest = F.sha2(F.concat_ws(":", "size", F.coalesce("lines", F.lit(""))), 256)
     found = files.join(contents, "file", "left").select(
         _source_file(_relative(spark, F.col("file"), root)).alias("path"), digest.alias("digest"), "size"
@@ -153,10 +161,14 @@ class Landing:
 
 
 def _read_changed(spark: SparkSession, root: str, kind: str, paths: Sequence[str]) -> DataFrame:
+    """Rows of source files, each with the ``path`` of its own, which is found out once for a file."""
     files = [f"{root.rstrip('/')}/{path}" for path in paths]
-    return scan_csv(spark, files, CSV_SCHEMAS[kind], keep_malformed=True).withColumn(
-        "path", _recognised_source_file(_relative(spark, F.col("_metadata.file_path"), root))
-    )
+    file = F.col("_metadata.file_path").alias("file")
+    # Their contents are not read for this.
+    named = spark.read.format("binaryFile").load(files).select(file)
+    named = stored(named.withColumn("path", _source_file(_relative(spark, F.col("file"), root))), "named")
+    rows = scan_csv(spark, files, CSV_SCHEMAS[kind], keep_malformed=True).select("*", file)
+    return rows.join(named, "file", "left").drop("file")
 
 
 def _new_id(at: datetime) -> str:
@@ -165,7 +177,8 @@ def _new_id(at: datetime) -> str:
 
 def _store(rows: DataFrame, bronze: str, kind: str) -> None:
     """Appends rows in files of balanced size: rows of small sources together, large ones split."""
-    rows.hint("rebalance", "path").sortWithinPartitions("path").write.mode("append").partitionBy(
+    # The order the writer needs for its folders, so that it does not sort once more.
+    rows.hint("rebalance", "path").sortWithinPartitions("dt", "landing", "path").write.mode("append").partitionBy(
         "dt", "landing"
     ).parquet(f"{bronze}/{kind}")
 
