@@ -16,8 +16,8 @@ are the keys of banded buckets.
   other centres in each of its buckets. What then still lies outside a bucket's largest
   component is compared with the other components, within the join, by bit sets of all
   shingles: a bit that only one side has is a shingle that the other lacks, which bounds the
-  similarity from above. Pairs that remain are confirmed. So two classes that share a bucket
-  are confirmed, ruled out, or connected anyway.
+  similarity from above. Pairs that remain leave the join in one of their buckets only and are
+  confirmed. So two classes that share a bucket are confirmed, ruled out, or connected anyway.
 
 A pair at similarity s shares no bucket with probability (1 - s^4)^32: 5e-8 at 0.8. The
 sketch drops such a pair with probability 7e-8.
@@ -109,15 +109,48 @@ def _possible(threshold: int) -> Column:
     return (apart <= SKETCH_APART) & sizes
 
 
+def _facts(classes: DataFrame) -> DataFrame:
+    """``c, n, s1, s2`` of every class, ``marked``, how many marks it has, and these as numbers."""
+    marks = [F.coalesce(F.col("bits")[k], F.lit(0)).alias(f"m{k}") for k in range(MARKS)]
+    marked = F.expr(" + ".join(f"bit_count(bits[{k}])" for k in range(MARKS)))
+    return classes.select("c", "n", "s1", "s2", marked.alias("marked"), *marks)
+
+
 def _allowed(threshold: int) -> Column:
-    """Whether the marks of all shingles (``a_bits``, ``b_bits``) allow it as well."""
-    terms = [
-        " + ".join(f"bit_count({x}_bits[{k}] & ~{y}_bits[{k}])" for k in range(MARKS))
+    """Whether the marks of all shingles (``a_m0`` and so on) allow it as well.
+
+    A set with ``n`` shingles and ``marked`` marks has ``marked - both`` that the other lacks. Of
+    these the join's generated method holds the long sum once, so that it is small enough to be
+    compiled.
+    """
+    both = F.expr(" + ".join(f"bit_count(a_m{k} & b_m{k})" for k in range(MARKS)))
+    least = [
+        threshold * (F.col(f"{x}_n") + F.col(f"{y}_marked")) - 100 * (F.col(f"{x}_n") - F.col(f"{x}_marked"))
         for x, y in ("ab", "ba")
     ]
-    only_a, only_b = (F.expr(t) for t in terms)
-    return _possible(threshold) & (100 * (F.col("a_n") - only_a) >= threshold * (F.col("a_n") + only_b)) & (
-        100 * (F.col("b_n") - only_b) >= threshold * (F.col("b_n") + only_a)
+    return _possible(threshold) & ((100 + threshold) * both >= F.greatest(*least))
+
+
+def _across(left: DataFrame, threshold: int) -> DataFrame:
+    """``a, b``: each pair of unlike components once that share a bucket and may be similar.
+
+    ``left``: the members of buckets with several components, with the bucket's largest one,
+    facts and all their ``bands``. Every bucket that such a pair shares has several components,
+    so the pair meets in all of them; it leaves the join in the smallest.
+    """
+    facts = [c for c in left.columns if c not in ("bucket", "largest", "component")]
+    sides = [
+        left.select("bucket", "largest", *(F.col(c).alias(f"{x}_{c}") for c in ["component", *facts]))
+        for x in "ab"
+    ]
+    a = sides[0].filter("a_component <> largest")
+    # Of two small components each pair is met twice; the second time is left out.
+    once = (F.col("b_component") == F.col("largest")) | (F.col("a_c") < F.col("b_c"))
+    here = F.col("bucket") == F.array_min(F.array_intersect("a_bands", "b_bands"))
+    return (
+        a.join(sides[1].drop("largest"), "bucket")
+        .filter((F.col("a_component") != F.col("b_component")) & once & _allowed(threshold) & here)
+        .select(F.col("a_c").alias("a"), F.col("b_c").alias("b"))
     )
 
 
@@ -157,7 +190,7 @@ def _linked_rows(docs: DataFrame, shingle_words: int, threshold: int) -> DataFra
         .select("h1", "h2", "n", "least_id", "one.*", F.monotonically_increasing_id().alias("c"))
     )
     classes = stored(classes, "classes")
-    facts = classes.select("c", "n", "s1", "s2", "bits")
+    facts = _facts(classes)
 
     members = classes.select("c", F.explode("bands").alias("bucket"))
     centres = (
@@ -234,26 +267,16 @@ def _linked_rows(docs: DataFrame, shingle_words: int, threshold: int) -> DataFra
         .agg(F.lit(1).alias("one"))
     )
     second = with_facts(second).filter(_allowed(threshold)).select("a", "b")
-    links = links.unionByName(confirmed(second, "second"))
-
-    placed = with_component(open_members.select("bucket", "c"), stored(components(links), "components"))
-    left = stored(placed.join(mixed_buckets(placed), "bucket").join(facts, "c"), "left")
-    a = left.filter("component <> largest").select(
-        "bucket", "largest", F.col("component").alias("a_component"), *(F.col(c).alias(f"a_{c}") for c in facts.columns)
-    )
-    b = left.select(
-        "bucket", F.col("component").alias("b_component"), *(F.col(c).alias(f"b_{c}") for c in facts.columns)
-    )
-    # Of two small components each pair is met twice; the second time is left out.
-    once = (F.col("b_component") == F.col("largest")) | (F.col("a_c") < F.col("b_c"))
-    rest = (
-        a.join(b, "bucket")
-        .filter((F.col("a_component") != F.col("b_component")) & once & _allowed(threshold))
-        .select(F.col("a_c").alias("a"), F.col("b_c").alias("b"))
-        .distinct()
-    )
-    links = links.unionByName(confirmed(rest, "rest"))
-    final = components(links)
+    # Components stand for the links they were found from.
+    edges = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    again = stored(components(edges.unionByName(confirmed(second, "second"))), "components")
+
+    placed = with_component(open_members.select("bucket", "c"), again)
+    placed = placed.join(mixed_buckets(placed), "bucket")
+    left = stored(placed.join(facts.join(classes.select("c", "bands"), "c"), "c"), "left")
+    rest = _across(left, threshold).distinct()
+    edges = again.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    final = components(edges.unionByName(confirmed(rest, "rest")))
 
     labelled = with_component(classes.select("c", "h1", "h2", "n", "least_id"), final)
     names = labelled.groupBy("component").agg(F.min("least_id").alias("least"))

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpus_pipeline import STAGES, run
-from courtledger.llm import attention, packing, scoring, suffixes, wavelet
+from courtledger.llm import attention, minhash, packing, scoring, suffixes, wavelet
 from courtledger.llm.blocks import shingle_sets, texts_of
 from courtledger.llm.chat import escape, parse, render_turn, unescape
 from courtledger.llm.common import components
@@ -581,3 +581,41 @@ def test_pipeline_runs_stage_by_stage(spark):
     rows = [r.asDict() for r in out.collect()]
     _gapless(rows, "sequence_id", 1024)
     assert 0 < len({r["doc_id"] for r in rows}) < docs.count()
+
+
+def test_a_pair_leaves_its_buckets_once(spark):
+    """Not once for each bucket that two sets share; nor are pairs lost by that."""
+    rng = random.Random(4)
+    sets = {c: {rng.randrange(1536) for _ in range(20)} for c in range(9)}
+    sets[1] = set(list(sets[0])[:19]) | {1535}
+    shared = {c: [10 * c + 1, 500, 501, 502] for c in sets} | {8: [81, 503]}
+    # In some buckets the first component is the largest one, in others another.
+    part = {c: 2 if c in (2, 3, 4) else c for c in sets}
+    largest = {500: 2, 501: 0, 502: 1}
+    words = lambda marks: [
+        sum(1 << b for b in range(63) if 64 * k + b in marks) for k in range(minhash.MARKS)
+    ]
+    rows = [
+        (bucket, largest[bucket], part[c], c, 20, 0, 0, sum(w.bit_count() for w in words(marks)), shared[c], *words(marks))
+        for c, marks in sets.items()
+        for bucket in shared[c]
+        if bucket in largest
+    ]
+    schema = "bucket bigint, largest bigint, component bigint, c bigint, n bigint, s1 bigint, s2 bigint, marked int, "
+    schema += "bands array<bigint>, " + ", ".join(f"m{k} bigint" for k in range(minhash.MARKS))
+    left = spark.createDataFrame(rows, schema)
+    every = [tuple(sorted((r.a, r.b))) for r in minhash._across(left, 0).collect()]
+    assert sorted(every) == [(a, b) for a in range(8) for b in range(a + 1, 8) if part[a] != part[b]]
+    alike = [tuple(sorted((r.a, r.b))) for r in minhash._across(left, 80).collect()]
+    assert alike == [(0, 1)]
+
+
+def test_components_take_their_own_rows_as_edges(spark):
+    """Repeated edges, both directions, loops; what was found stands for its edges."""
+    schema = "a bigint, b bigint"
+    found = components(spark.createDataFrame([(3, 1), (1, 3), (3, 1), (2, 2), (5, 4), (6, 5)], schema))
+    assert {tuple(r) for r in found.collect()} == {(1, 1), (3, 1), (4, 4), (5, 4), (6, 4)}
+    edges = found.toDF("a", "b").unionByName(spark.createDataFrame([(6, 3), (8, 7)], schema))
+    nodes = [tuple(r) for r in components(edges).collect()]
+    assert sorted(nodes) == [(1, 1), (3, 1), (4, 1), (5, 1), (6, 1), (7, 7), (8, 7)]
+    assert components(spark.createDataFrame([], schema)).collect() == []
