@@ -5,15 +5,16 @@ numbers of its words with a 0 for any other word and between pieces. Then, for p
 three and four words:
 
 * Candidates are Apriori-safe: the phrase without its last and without its first word is
-  frequent (as the level before has found), and so is the hash bucket of the phrase. Every task
-  counts the buckets it meets and Spark adds them up; a phrase that occurs often enough is in a
-  bucket that does.
+  frequent (as the level before has found), and so is the pair of these two, which overlap in
+  the phrase. Every task counts the pairs it meets and Spark adds them up; a frequent pair is
+  joined with the phrases of the level before by the numbers of its two parts. So a candidate is
+  made once, however many tasks and places meet it.
 * Candidates become the keys of a double-array trie over word numbers, which is broadcast. In
   every task all places of a batch advance through it together, level by level; accepting states
   are counted by ``bincount``, and Spark sums the counts of the tasks. These are exact.
 
 Nothing is broadcast whole that grows with the data: words and candidates are split into shards
-of at most ``MOST_KEYS`` keys, one trie and one pass each; so are the frequent buckets.
+of at most ``MOST_KEYS`` keys, one trie and one pass each.
 
 Words of more than ``LONG_WORD`` bytes are looked up by their SHA-256.
 """
@@ -31,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtledger.llm.blocks import first_of_text, groups, mix, texts_of, word_bounds
+from courtledger.llm.blocks import first_of_text, groups, texts_of, word_bounds
 from courtledger.llm.common import discard, ship, stored
 from courtledger.llm.ordering import ordered
 from courtledger.llm.tries import DoubleArray, number_keys
@@ -39,10 +40,9 @@ from courtledger.llm.tries import DoubleArray, number_keys
 #: Keys of one trie, and so of one broadcast.
 MOST_KEYS = 500_000
 LONG_WORD = 64
-BUCKET_BITS = 40
 #: Counts of accepting states that travel in one row.
 CHUNK = 1 << 14
-#: Distinct words, buckets or phrases a task holds before it hands them on.
+#: Distinct words or pairs a task holds before it hands them on.
 MOST_HELD = 200_000
 SLICE = 1 << 20
 #: Places that advance together, and bytes of text that are numbered together.
@@ -203,16 +203,12 @@ def _open_places(marks: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _identity(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """A phrase is told by the numbers of its two halves that overlap."""
-    return (marks[at].astype(np.uint64) << np.uint64(32)) | marks[at + 1].astype(np.uint64)
+    """A phrase is told by the numbers of its two halves that overlap, both below 2^31."""
+    return (marks[at].astype(np.int64) << 32) | marks[at + 1]
 
 
-def _bucket(identity: np.ndarray) -> np.ndarray:
-    return (mix(identity) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-
-
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Buckets of a task's phrases and how many each got."""
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of halves of a task's phrases and how often each is met."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def rows() -> pa.RecordBatch:
@@ -221,45 +217,30 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.concatenate([n for _, n in held]) if held else np.empty(0, np.int64)
         sums = np.bincount(which, weights, len(found)).astype(np.int64)
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums)], ["bucket", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(sums)], ["pair", "n"])
 
     for batch in batches:
         marks, _ = _int32(batch["marks"])
         for at in _open_places(marks):
-            held.append(np.unique(_bucket(_identity(marks, at)), return_counts=True))
+            held.append(np.unique(_identity(marks, at), return_counts=True))
             if sum(len(b) for b, _ in held) > 5 * MOST_HELD:
                 yield rows()
     yield rows()
 
 
-def _candidates(size: int, open_buckets):
-    """Distinct phrases of the buckets of one shard, of as many places as a task can hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = open_buckets.value
-        names, phrases = np.empty(0, np.uint64), np.empty((0, size), np.int32)
-
-        def rows() -> pa.RecordBatch:
-            ends = pa.array(np.arange(len(phrases) + 1, dtype=np.int32) * size)
-            lists = pa.ListArray.from_arrays(ends, pa.array(phrases.ravel(), pa.int32()))
-            return pa.RecordBatch.from_arrays([lists], ["ids"])
+def _candidates(pairs: DataFrame, former: DataFrame, size: int) -> DataFrame:
+    """``ids`` of the phrase of ``size`` words that each ``pair`` stands for.
 
-        for batch in batches:
-            ids, marks = _int32(batch["ids"])[0], _int32(batch["marks"])[0]
-            for at in _open_places(marks):
-                who, first = np.unique(_identity(marks, at), return_index=True)
-                bucket = _bucket(who)
-                place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
-                keep = buckets[place] == bucket
-                new = ids[at[first[keep]][:, None] + np.arange(size)]
-                names, first = np.unique(np.concatenate([names, who[keep]]), return_index=True)
-                phrases = np.concatenate([phrases, new])[first]
-                if len(names) > MOST_HELD:
-                    yield rows()
-                    names, phrases = names[:0], phrases[:0]
-        yield rows()
-
-    return run
+    ``former``: ``ids, no`` of the frequent phrases of one word less.
+    """
+    halves = pairs.select(
+        F.shiftright("pair", 32).alias("left"), F.col("pair").bitwiseAND(F.lit(2**32 - 1)).alias("right")
+    )
+    if size == 2:  # words are their own numbers
+        return halves.select(F.array(F.col("left").cast("int"), F.col("right").cast("int")).alias("ids"))
+    begun = former.select(F.col("no").alias("left"), F.col("ids").alias("begin"))
+    ended = former.select(F.col("no").alias("right"), F.slice("ids", size - 1, 1).alias("end"))
+    return halves.join(begun, "left").join(ended, "right").select(F.concat("begin", "end").alias("ids"))
 
 
 def _accepted(size: int, width: int, low: int, keys: int, trie):
@@ -355,25 +336,17 @@ def _encoded(texts: DataFrame, words: DataFrame, size: int) -> DataFrame:
     return state
 
 
-def _frequent(texts: DataFrame, size: int, width: int, least: int) -> DataFrame:
-    """``ids, no, n`` of the phrases of ``size`` words that occur ``least`` times."""
-    context = texts.sparkSession.sparkContext
-    counted = texts.mapInArrow(_buckets, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counted = counted.filter(F.col("n") >= least).select("bucket")
-    buckets = ordered(counted, [F.col("bucket")], "buckets", place="no").withColumn("no", F.col("no") + 1)
-    parts = []
-    for shard in _shards(buckets, buckets.count()):
-        open_buckets = context.broadcast(np.sort(shard.toArrow()["bucket"].to_numpy()))
-        rows = texts.mapInArrow(_candidates(size, open_buckets), "ids array<int>")
-        parts.append(stored(rows.distinct(), "candidates"))
-        open_buckets.destroy()
-    if not parts:
+def _frequent(texts: DataFrame, former: DataFrame, size: int, width: int, least: int) -> DataFrame:
+    """``ids, no, n`` of the phrases of ``size`` words that occur ``least`` times; ``former``:
+    those of one word less."""
+    counted = texts.mapInArrow(_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = stored(counted.filter(F.col("n") >= least).select("pair"), "pairs")
+    table = ordered(_candidates(pairs, former, size), [F.col("ids")], "candidates", place="no")
+    table = table.withColumn("no", F.col("no") + 1)
+    keys = table.count()
+    discard(pairs)
+    if not keys:
         return texts.sparkSession.createDataFrame([], "ids array<int>, n bigint, no bigint")
-    candidates = parts[0]
-    for part in parts[1:]:
-        candidates = candidates.unionByName(part)
-    table = ordered(candidates, [F.col("ids")], "candidates", place="no").withColumn("no", F.col("no") + 1)
-    discard(buckets, *parts)
 
     def count(trie, k: int) -> DataFrame:
         low = k * MOST_KEYS
@@ -381,7 +354,7 @@ def _frequent(texts: DataFrame, size: int, width: int, least: int) -> DataFrame:
         summed = rows.repartition("chunk").sortWithinPartitions("chunk")
         return stored(summed.mapInArrow(_summed(low, least), "no bigint, n bigint"), "accepted")
 
-    counts = list(_passes(texts, table, table.count(), width, count))
+    counts = list(_passes(texts, table, keys, width, count))
     accepted = counts[0]
     for more in counts[1:]:
         accepted = accepted.unionByName(more)
@@ -439,12 +412,12 @@ def collocations(
     ).withColumn("no", F.col("no") + 1)
     n_words = words.count()
     width = max(1, (n_words.bit_length() + 7) // 8)
-    known = words.select(F.array(F.col("no").cast("int")).alias("ids"), "n")
+    known = words.select(F.array(F.col("no").cast("int")).alias("ids"), "n", "no")
     levels = []
     if n_words:
-        state = _encoded(texts, words, n_words)
+        state, phrases = _encoded(texts, words, n_words), known
         for size in range(2, longest + 1):
-            phrases = _frequent(state, size, width, least)
+            phrases = _frequent(state, phrases, size, width, least)
             total = phrases.count()
             if not total:
                 break
@@ -455,11 +428,11 @@ def collocations(
                 discard(former)
         discard(state)
     if not levels:
-        levels = [known.limit(0)]
+        levels = [known.select("ids", "n").limit(0)]
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
-    return _judged(found, known, words, totals, covered, scale)
+    return _judged(found, known.select("ids", "n"), words, totals, covered, scale)
 
 
 def _judged(

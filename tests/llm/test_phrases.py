@@ -126,3 +126,30 @@ def test_tries_of_numbers(width):
     at = np.arange(len(numbers) - 2)
     expected = [number.get(tuple(numbers[i : i + 3].tolist()), 0) for i in at]
     assert trie.sequences(numbers, at, 3, width).tolist() == expected
+
+
+def test_candidates_are_made_once(spark, rows, monkeypatch):
+    """However many tasks and places meet them."""
+    made, stored = [], phrases.ordered
+
+    def kept(df, order, label, *args, **kw):
+        if label == "candidates":
+            made.extend(tuple(r.ids) for r in df.select("ids").collect())
+        return stored(df, order, label, *args, **kw)
+
+    monkeypatch.setattr(phrases, "ordered", kept)
+    monkeypatch.setattr(phrases, "MOST_HELD", 10)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(12)
+    assert found(collocations(docs, least=6)) == mined(rows, 6)
+    assert made and len(made) == len(set(made))
+    sizes = Counter(map(len, made))
+    assert set(sizes) == {2, 3, 4}
+
+
+def test_a_pair_stands_for_its_phrase(spark):
+    former = spark.createDataFrame([([7, 8], 1), ([8, 9], 2), ([9, 7], 3)], "ids array<int>, no bigint")
+    pairs = spark.createDataFrame([((1 << 32) | 2,), ((2 << 32) | 3,)], "pair bigint")
+    got = phrases._candidates(pairs, former, 3).collect()
+    assert sorted(r.ids for r in got) == [[7, 8, 9], [8, 9, 7]]
+    got = phrases._candidates(pairs, former, 2).collect()
+    assert sorted(r.ids for r in got) == [[1, 2], [2, 3]]
