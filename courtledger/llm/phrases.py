@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtledger.llm.blocks import first_of_text, groups, texts_of, word_bounds
-from courtledger.llm.common import discard, ship, stored
+from courtledger.llm.common import batches_of, discard, ship, stored
 from courtledger.llm.ordering import ordered
 from courtledger.llm.tries import DoubleArray, number_keys
 
@@ -47,6 +47,8 @@ MOST_HELD = 200_000
 SLICE = 1 << 20
 #: Places that advance together, and bytes of text that are numbered together.
 STEP = 1 << 18
+#: Bytes of texts or numbers that a task is handed at once.
+BATCH_BYTES = 4 << 20
 
 # What ends a piece, and what else ends a word.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -403,6 +405,14 @@ def collocations(
         F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(docs["text"], F.lit("")).alias("text"),
     )
+    # What is returned reads stored tables only and hands nothing to Python.
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        found, known, words, totals = _mined(texts, longest, least)
+    return _judged(found, known, words, totals, covered, scale)
+
+
+def _mined(texts: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Frequent phrases, the frequent words as such phrases, these words, words of each language."""
     counted = texts.mapInArrow(_word_counts, "lang string, word binary, n bigint")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = stored(counted.filter((F.col("n") >= least) | F.col("word").isNull()), "word-counts")
@@ -432,7 +442,7 @@ def collocations(
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
-    return _judged(found, known.select("ids", "n"), words, totals, covered, scale)
+    return found, known.select("ids", "n"), words, totals
 
 
 def _judged(

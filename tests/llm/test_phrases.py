@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from courtledger.llm import phrases
@@ -153,3 +154,26 @@ def test_a_pair_stands_for_its_phrase(spark):
     assert sorted(r.ids for r in got) == [[7, 8, 9], [8, 9, 7]]
     got = phrases._candidates(pairs, former, 2).collect()
     assert sorted(r.ids for r in got) == [[1, 2], [2, 3]]
+
+
+def test_batches_are_bounded_in_bytes(spark, monkeypatch):
+    """Few rows of long texts are many bytes; nothing changes for what runs afterwards."""
+    setting, kept, sizes = "spark.sql.execution.arrow.maxBytesPerBatch", phrases.stored, []
+    before = spark.conf.get(setting)
+
+    def bytes_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size_"])
+
+    def measured(df, label):
+        table = kept(df, label)
+        if label in ("numbered", "marked"):
+            sizes.extend(r.size_ for r in table.coalesce(1).mapInArrow(bytes_of, "size_ bigint").collect())
+        return table
+
+    monkeypatch.setattr(phrases, "stored", measured)
+    text = "match point lost " * 6000
+    docs = spark.createDataFrame([("en", text)] * 120, "lang string, text string").coalesce(1)
+    assert len(found(collocations(docs))) > 0
+    assert sum(sizes) > 3 * (12 << 20) and max(sizes) < 5 << 20
+    assert spark.conf.get(setting) == before
