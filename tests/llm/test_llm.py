@@ -558,6 +558,51 @@ def test_attention_model_is_a_distribution_and_learns():
     assert score > base + 0.3 * abs(base)
 
 
+def _plain_loss(w, x, absent, target, valid):
+    """What the attention model loses on the wanted classes, place by place in double precision."""
+    size, losses = attention.BLOCK, []
+    for b, i in zip(*np.nonzero(valid)):
+        at = size + i
+        q, keys, values = x[b, at] @ w["q"], x[b, : at + 1] @ w["k"], x[b, : at + 1] @ w["v"]
+        score = keys @ q * attention.WIDTH**-0.5 + w["distance"][i, : at + 1]
+        score[absent[b, : at + 1]] = -1e9
+        a = np.exp(score - score.max())
+        h = x[b, at] + a / a.sum() @ values @ w["o"]
+        one, member = divmod(int(target[b, i]), attention.MEMBERS)
+        for logits, k in (
+            (h @ w["group"] + w["group_bias"], one),
+            (h @ w["member"][one] + w["member_bias"][one], member),
+        ):
+            losses.append(np.log(np.exp(logits - logits.max()).sum()) + logits.max() - logits[k])
+    return sum(losses) / valid.sum()
+
+
+@pytest.mark.parametrize(("wide", "low"), [(0.1, 0), (3.0, 0), (0.1, -200)])
+def test_gradients_are_those_of_the_plain_formula(wide, low):
+    """Also where scores leave the range of plain exponentials, before a text and after its end."""
+    rng = np.random.default_rng(3)
+    shapes = {c: (attention.WIDTH,) * 2 for c in "qkvo"}
+    shapes |= {"distance": (attention.BLOCK, 2 * attention.BLOCK), "group": (attention.WIDTH, attention.GROUPS)}
+    shapes |= {"group_bias": (attention.GROUPS,), "member_bias": (attention.GROUPS, attention.MEMBERS)}
+    shapes |= {"member": (attention.GROUPS, attention.WIDTH, attention.MEMBERS)}
+    w = {c: (rng.standard_normal(s) * wide / 3).astype(np.float32) for c, s in shapes.items()}
+    w["distance"] += low
+    ids = np.concatenate([attention.blocks_of(np.arange(n), 7) for n in (40, 5)])
+    absent, valid = ids[:, :-1] < 0, ids[:, attention.BLOCK + 1 :] >= 0
+    x = (rng.standard_normal((len(ids), 2 * attention.BLOCK, attention.WIDTH)) * wide).astype(np.float32)
+    target = rng.integers(0, attention.CLASSES, valid.shape)
+    g, dx = attention._gradients(w, x, absent, target, valid)
+    exact = {c: v.astype(np.float64) for c, v in w.items()} | {"x": x.astype(np.float64)}
+    assert set(g) == set(w)
+    for c, gradient in {**g, "x": dx}.items():
+        step = gradient / np.linalg.norm(gradient) * 1e-5
+        loss = [
+            _plain_loss(moved, moved["x"], absent, target, valid)
+            for moved in (exact | {c: exact[c] + step}, exact | {c: exact[c] - step})
+        ]
+        assert (loss[0] - loss[1]) / 2e-5 == pytest.approx(np.linalg.norm(gradient), rel=2e-3), c
+
+
 def test_blocks_score_every_id_once():
     for n in (1, 31, 32, 33, 64, 100):
         ids = np.arange(100, 100 + n)
