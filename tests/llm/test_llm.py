@@ -603,6 +603,40 @@ def test_gradients_are_those_of_the_plain_formula(wide, low):
         assert (loss[0] - loss[1]) / 2e-5 == pytest.approx(np.linalg.norm(gradient), rel=2e-3), c
 
 
+def test_descent_takes_plain_steps():
+    """Against steps over whole tables of weights, with classes and ids added up place by place."""
+    rng = np.random.default_rng(6)
+    texts = [np.append(rng.integers(0, 40, n), 58) for n in (*rng.integers(0, 90, 60), 0, 31, 32)]
+    windows = np.concatenate([attention.blocks_of(t, 59) for t in texts])
+    classes = np.append(rng.integers(0, attention.CLASSES, 58), [attention.CLASSES - 1, 5])
+    w = attention.untrained(np.bincount(np.concatenate(texts), minlength=60), classes)
+    assert len(windows) > 2 * attention.BATCH
+    got, active, shown = attention.descend(w, classes, windows, 59, 1, 3)
+    context = np.where(windows < 0, 59, windows)
+    assert active.tolist() == np.unique(context).tolist() and 45 not in active
+    assert shown.tolist() == np.bincount(context[:, :-1].ravel(), minlength=60)[active].tolist()
+    want = {c: v.astype(np.float64) for c, v in w.items()}
+    first, second = ({c: np.zeros_like(v) for c, v in want.items()} for _ in range(2))
+    order, own = np.random.default_rng(3).permutation(len(windows)), slice(attention.BLOCK + 1, None)
+    for step, at in enumerate(range(0, len(order), attention.BATCH), 1):
+        ids, inputs = windows[order[at : at + attention.BATCH]], context[order[at : at + attention.BATCH], :-1]
+        now = {c: v.astype(np.float32) for c, v in want.items()}
+        x = now["class"][classes[inputs]] + now["own"][inputs]
+        target = classes[np.maximum(ids[:, own], 0)]
+        within = {c: v for c, v in now.items() if c not in ("class", "own")}
+        g, dx = attention._gradients(within, x, ids[:, :-1] < 0, target, ids[:, own] >= 0)
+        g |= {"class": np.zeros_like(want["class"]), "own": np.zeros_like(want["own"])}
+        np.add.at(g["class"], classes[inputs], dx)
+        np.add.at(g["own"], inputs, dx)
+        for c in want:
+            first[c] = 0.9 * first[c] + 0.1 * g[c]
+            second[c] = 0.99 * second[c] + 0.01 * g[c].astype(np.float64) ** 2
+            root = np.sqrt(second[c] / (1 - 0.99**step)) + 1e-8
+            want[c] -= attention.RATE * first[c] / (1 - 0.9**step) / root
+    for c in want:
+        assert got[c] == pytest.approx(want[c][active] if c == "own" else want[c], abs=3e-4), c
+
+
 def test_blocks_score_every_id_once():
     for n in (1, 31, 32, 33, 64, 100):
         ids = np.arange(100, 100 + n)
