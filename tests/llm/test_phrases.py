@@ -177,3 +177,80 @@ def test_batches_are_bounded_in_bytes(spark, monkeypatch):
     assert len(found(collocations(docs))) > 0
     assert sum(sizes) > 3 * (12 << 20) and max(sizes) < 5 << 20
     assert spark.conf.get(setting) == before
+
+
+def test_texts_are_read_once_for_all_shards(spark, rows, monkeypatch):
+    """However many tries there are: the tables made and the rows in them are as many, and the same phrases."""
+    kept, made = phrases.stored, []
+
+    def counted(df, label):
+        table = kept(df, label)
+        made[-1].append((label, table.filter("ids IS NOT NULL").count() if label == "numbered" else None))
+        return table
+
+    monkeypatch.setattr(phrases, "stored", counted)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    results = []
+    for keys in (1_000_000, 40):
+        monkeypatch.setattr(phrases, "MOST_KEYS", keys)
+        made.append([])
+        results.append(found(collocations(docs, least=6)))
+    assert made[0] == made[1] and [label for label, _ in made[0]].count("marked") == 3
+    assert results[0] == results[1] == mined(rows, 6)
+
+
+def test_places_go_to_the_shards_of_their_word():
+    rng = np.random.default_rng(3)
+    # Sorted first words of keys; a word may fill several shards or end one and begin the next.
+    keys = np.sort(np.append(rng.integers(1, 60, 120) * 2, [50] * 70))
+    shards = np.split(keys, range(25, len(keys), 25))
+    lows, highs = np.array([s[0] for s in shards]), np.array([s[-1] for s in shards])
+    first = rng.integers(0, 130, 1000)
+    order, begins, ends = phrases._by_shard(first, lows, highs)
+    assert sorted(order) == list(range(1000))
+    for k in range(len(shards)):
+        own = np.sort(order[begins[k] : ends[k]])
+        assert own.tolist() == np.flatnonzero((first >= lows[k]) & (first <= highs[k])).tolist()
+
+
+@pytest.mark.parametrize("n_langs", [1, 3, 500])
+def test_distinct_words_of_each_language(n_langs):
+    rng = random.Random(n_langs)
+    texts = [" ".join(rng.choice(["a", "B", "b", "é", "cc", "Cc."]) for _ in range(rng.randint(0, 9))) for _ in range(600)]
+    langs = [f"l{rng.randrange(n_langs)}" for _ in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts)], ["lang", "text"])
+    expected = Counter()
+    for lang, text in zip(langs, texts):
+        words = text.encode().translate(phrases._LOWER).split()
+        expected.update((lang, w) for w in [*words, *[None] * len(words)])
+    got = Counter()
+    for part in phrases._word_counts(iter([batch.slice(0, 250), batch.slice(250)])):
+        for lang, word, n in zip(*(c.to_pylist() for c in part.columns)):
+            got[lang, word] += n
+    assert got == expected
+
+
+def test_counts_of_buckets_and_chunks_add_up(monkeypatch):
+    """What tasks hand on in packed rows is the sum over all of them."""
+    monkeypatch.setattr(phrases, "MOST_HELD", 20)
+    rng = np.random.default_rng(8)
+    marks = rng.integers(0, 6, 5000).astype(np.int32)
+    column = phrases._binary(marks, np.arange(0, 5001, 500))
+    batch = pa.RecordBatch.from_arrays([column], ["marks"])
+    packed = list(phrases._pairs(7)(iter([batch.slice(0, 4), batch.slice(4)])))
+    table = pa.Table.from_batches(packed).sort_by("bucket")
+    got = [p for part in phrases._paired(170)(iter(table.to_batches(max_chunksize=3))) for p in part["pair"].to_pylist()]
+    expected = Counter()
+    for a in (0, 2000):  # the batches
+        part = marks[a : 2000 if not a else 5000].astype(np.int64)
+        expected.update(((part[:-1] << 32) | part[1:])[(part[:-1] > 0) & (part[1:] > 0)].tolist())
+    assert sorted(got) == sorted(p for p, n in expected.items() if n >= 170) and 0 < len(got) < len(expected)
+
+    counts = [rng.integers(0, 4, 40_000) * (rng.random(40_000) < 0.2) for _ in range(3)]
+    arrays = [phrases._chunked(c, 30_000) for c in counts]
+    batches = [pa.RecordBatch.from_arrays(list(a), ["chunk", "at", "times"]) for a in arrays]
+    table = pa.Table.from_batches(batches).sort_by("chunk")
+    summed = pa.Table.from_batches(list(phrases._summed(3)(iter(table.to_batches(max_chunksize=2)))))
+    total = sum(counts)
+    assert summed["no"].to_pylist() == (np.flatnonzero(total >= 3) + 30_001).tolist()
+    assert summed["n"].to_pylist() == total[total >= 3].tolist()
